@@ -25,12 +25,26 @@ from pyspark.sql import functions as F
 from roomrate.operators.encode import assembler
 
 MAX_CENTRES = 10_000
+# Iterative MLlib fits pay a scheduling cost per task and per pass; give
+# each task at least this many rows, and never more tasks than the
+# session's shuffle partitions.
+ML_ROWS_PER_PARTITION = 50_000
 
 
 def deterministic_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def fit_partitions(df: DataFrame, cap: int | None = None,
+                   rows_per_partition: int = ML_ROWS_PER_PARTITION) -> int:
+    """Partition count for an iterative fit: rows / ``rows_per_partition``,
+    between 1 and ``cap`` (default: spark.sql.shuffle.partitions). Costs
+    one count over the (pruned) input - small next to the fit's passes."""
+    cap = cap or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = df.count()
+    return max(1, min(cap, -(-n // rows_per_partition)))
+
+
 def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
                key: str | None = None, partitions: int | None = None,
                max_iter: int = 20, scale: bool = False,
@@ -39,8 +53,7 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
     optionally standardise (the reference clustered unscaled mixed units;
     ``scale=False`` keeps that), then K-means."""
     if key is not None:
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = deterministic_layout(df, key, n)
+        df = deterministic_layout(df, key, partitions or fit_partitions(df))
     stages = [assembler(inputs, "_features", "skip")]
     feat = "_features"
     if scale:

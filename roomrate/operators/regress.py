@@ -14,11 +14,13 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomrate.operators.cluster import deterministic_layout, fit_partitions
 from roomrate.operators.encode import assembler, categorical_indexer
 from roomrate.operators.evaluate import error_metrics
 from roomrate.operators.joins import join_small
@@ -38,10 +40,24 @@ def gbt_pipeline(inputs: list[str], label: str, max_iter: int = 20,
 
 
 def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
-            max_categories: int = 5, seed: int = 123, **gbt_params) -> PipelineModel:
-    """M4."""
+            max_categories: int = 5, seed: int = 123, key: str | None = None,
+            partitions: int | None = None, **gbt_params) -> PipelineModel:
+    """M4. With ``key``, the training rows are first hash-partitioned by key
+    into a fixed number of partitions and sorted inside each: MLlib's
+    split-candidate sample is drawn per partition, so this makes the model
+    independent of the input's file layout, and it spreads a training set
+    that arrived in few partitions over all cores. The laid-out rows are
+    persisted for the duration of the fit (the indexer pass and the
+    boosting passes then share one shuffle) and released afterwards."""
     pipe = gbt_pipeline(inputs, label, max_iter, max_categories, seed, **gbt_params)
-    return pipe.fit(train.withColumn(label, F.col(label).cast("double")))
+    t = train.withColumn(label, F.col(label).cast("double"))
+    if key is not None:
+        t = deterministic_layout(t, key, partitions or fit_partitions(t))
+    t = t.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipe.fit(t)
+    finally:
+        t.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -70,16 +86,21 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
     if len(groups_rows) > max_groups:
         raise ValueError(f"more than {max_groups} groups to fit")
     groups = [r[0] for r in groups_rows]
+    workers = max(1, min(parallelism, len(groups) or 1))
+    # the pool runs ``workers`` fits at once; together they should fill the
+    # cluster's shuffle slots, not each of them
+    per_fit_cap = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // workers)
 
     def fit_one(g):
         part = df.filter(F.col(group) == F.lit(g))
-        model = gbt_fit(part.filter(F.col(flag) == 1), inputs, label, max_iter,
-                        max_categories, seed)
+        train = part.filter(F.col(flag) == 1)
+        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key,
+                        partitions=fit_partitions(train, per_fit_cap))
         scored = predict(model, part.filter(F.col(flag) == 0),
                          keep=[key, group, F.col(label).cast("double").alias(label)])
         return g, model, scored
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(groups) or 1))) as pool:
+    with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(fit_one, groups))
     models = {g: m for g, m, _ in results}
     if results:

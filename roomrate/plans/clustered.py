@@ -92,7 +92,7 @@ def leak_free_cluster_model(df: DataFrame, key: str, features: list[str], label:
     rows against their real prices."""
     flagged = split_flag(df, key, train_pct, seed, FLAG)
     first = gbt_fit(flagged.filter(F.col(FLAG) == 1), features, label, max_iter,
-                    max_categories, seed)
+                    max_categories, seed, key=key)
     seen = flagged.withColumn(seen_label, F.col(label).cast("double"))
     overlaid = overlay_from_model(seen, first, FLAG, seen_label)
     km = kmeans_fit(overlaid, features + [seen_label], k, seed, key=key,

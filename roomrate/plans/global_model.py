@@ -17,6 +17,6 @@ def global_price_model(df: DataFrame, key: str, features: list[str], label: str,
     """Returns ``(predictions, metrics, model)``; predictions are
     (key, label, prediction) over the test rows."""
     train, test = split(df, key, train_pct, seed)
-    model = gbt_fit(train, features, label, max_iter, max_categories, seed)
+    model = gbt_fit(train, features, label, max_iter, max_categories, seed, key=key)
     preds = predict(model, test, keep=[key, F.col(label).cast("double").alias(label)])
     return preds, error_metrics(preds, label, "prediction"), model

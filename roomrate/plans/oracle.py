@@ -113,7 +113,8 @@ ORACLE: dict[str, str] = {
     "filter_in_set": """select o_orderkey, o_orderpriority, o_totalprice from orders
         where o_orderpriority in ('1-URGENT', '2-HIGH')""",
     "trainable_groups": f"""select o_orderpriority, count(*) as n_rows,
-        count_if(is_train = 1) as n_train, count_if(is_train = 0) as n_test
+        cast(count_if(is_train = 1) as bigint) as n_train,
+        cast(count_if(is_train = 0) as bigint) as n_test
         from {_FLAGGED} f group by o_orderpriority
         having count_if(is_train = 1) > 0 and count_if(is_train = 0) > 0""",
     "price_moments": """select event_type, count(value) as n, round(avg(value), 6) as mean,
