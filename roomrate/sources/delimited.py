@@ -18,6 +18,10 @@ from pyspark.sql import types as T
 from roomrate.operators.columns import bulk_cast
 
 CORRUPT_COL = "_corrupt_record"
+_EXTRA_COL = "_extra_field"
+# never present in real data: lets an empty field ("") be told apart from a
+# missing one (null) in short rows
+_NULL_SENTINEL = "\u0001<missing>\u0001"
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
@@ -28,26 +32,35 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
 
     Fields are read as text and converted with lenient casts (bad values
     become null rather than failing the job, the behaviour the reference
-    relied on). Rows with too few or too many fields go to
-    ``_corrupt_record``; they are dropped unless ``keep_corrupt``.
-    ``drop_repeated_header`` also removes data lines equal to the header
-    (concatenated exports repeat it).
+    relied on); empty fields are null. Rows with too few or too many
+    fields are dropped. The test for them uses data columns only (the
+    last declared field must be present, a field past it must not), so it
+    holds under column pruning and for a bare ``count()`` - unlike
+    DROPMALFORMED, whose count skips parsing. ``keep_corrupt=True`` keeps
+    every row and adds ``_corrupt_record`` with the raw text of the
+    malformed ones. ``drop_repeated_header`` also removes data lines equal
+    to the header (concatenated exports repeat it).
     """
     names = [f.name for f in schema.fields]
-    text_schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
-                               + [T.StructField(CORRUPT_COL, T.StringType(), True)])
-    raw = (spark.read.schema(text_schema)
-           .option("header", header).option("sep", sep)
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT_COL)
-           .option("enforceSchema", True)
-           .csv(path))
+    fields = [T.StructField(n, T.StringType(), True) for n in names]
+    reader = (spark.read.option("header", header).option("sep", sep)
+              .option("mode", "PERMISSIVE"))
+    if keep_corrupt:
+        raw = (reader.schema(T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType())]))
+               .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
+        text = {n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names}
+        extra = [CORRUPT_COL]
+    else:
+        raw = (reader.schema(T.StructType(fields + [T.StructField(_EXTRA_COL, T.StringType())]))
+               .option("nullValue", _NULL_SENTINEL).csv(path))
+        raw = raw.filter(F.col(f"`{names[-1]}`").isNotNull() & F.col(_EXTRA_COL).isNull())
+        text = {n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names}
+        extra = []
     if drop_repeated_header:
         is_header = reduce(lambda a, b: a & b,
                            [F.coalesce(F.col(f"`{n}`") == F.lit(n), F.lit(False)) for n in names])
         raw = raw.filter(~is_header)
-    if not keep_corrupt:
-        raw = raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL)
+    raw = raw.select(*[text[n].alias(n) for n in names], *extra)
     by_type: dict[str, list[str]] = {}
     for f in schema.fields:
         if not isinstance(f.dataType, T.StringType):
