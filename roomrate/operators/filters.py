@@ -26,12 +26,19 @@ def frequency_filter(df: DataFrame, by: str, min_share: float = 1 / 200) -> Data
     when that bound is small; the big side is then never shuffled, even if
     one value owns a third of the rows.
     """
+    if not 0 < min_share < 1:
+        raise ValueError("min_share must be in (0, 1)")
     total = df.select(F.count(F.lit(1))).scalar()
+    n = F.col("_n")
+    inv = 1 / min_share
+    if abs(inv - round(inv)) < 1e-9:
+        # share = 1/d: compare n * d > total in exact integer arithmetic
+        frequent_cond = n * F.lit(int(round(inv))) > total
+    else:
+        frequent_cond = n.cast("double") > total * F.lit(float(min_share))
     frequent = (df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-                .filter(F.col("_n") > total * F.lit(float(min_share)))
-                .select(by))
-    bound = math.floor(1 / min_share) if min_share > 0 else None
-    return semi_join_keys(df, frequent, by, bound=bound)
+                .filter(frequent_cond).select(by))
+    return join_small(df, frequent, by, "left_semi", bound=math.floor(inv))
 
 
 def _moment_cols(col: str):

@@ -22,12 +22,21 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     """Join ``big`` with a side expected to be small.
 
     ``bound``: a static upper bound on ``small``'s rows, if one is known.
-    Without it the small side is persisted and counted (one job that also
-    materialises it, so the join does not compute it again).
+    Without one (or when it is above ``max_rows``) the small side is
+    persisted and counted - one job that also materialises it, so the join
+    does not compute it again; it is broadcast only if the count is within
+    ``max_rows``, otherwise released and joined by shuffle.
     """
-    if bound is None:
-        small = small.persist(StorageLevel.MEMORY_AND_DISK)
-        bound = small.count()
+    if bound is None or bound > max_rows:
+        # no static proof of smallness: measure it
+        cached = small.persist(StorageLevel.MEMORY_AND_DISK)
+        bound = cached.count()
+        if bound <= max_rows:
+            small = cached
+        else:
+            # too big to broadcast: do not pin it in executor storage; the
+            # shuffle join recomputes it (AQE splits skewed partitions)
+            cached.unpersist()
     if bound <= max_rows:
         small = F.broadcast(small)
     return big.join(small, on, how)

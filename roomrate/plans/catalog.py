@@ -12,8 +12,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roomrate.operators import aggregates as agg
 from roomrate.operators import columns as cols
@@ -22,7 +24,7 @@ from roomrate.operators import evaluate as ev
 from roomrate.operators import filters as flt
 from roomrate.operators.cluster import (assign_nearest, collect_centres, kmeans_assign,
                                         kmeans_fit, label_centres)
-from roomrate.operators.encode import assemble, index_categorical, one_hot
+from roomrate.operators.encode import assemble, index_categorical, one_hot, one_hot_vector
 from roomrate.operators.joins import attach, semi_join_keys
 from roomrate.operators.overlay import overlay_prediction
 from roomrate.operators.regress import fit_group_mean, fit_per_group, predict, predict_group_mean
@@ -32,6 +34,8 @@ from roomrate.plans.global_model import global_price_model
 from roomrate.plans.prepare import prepare_listings
 from roomrate.plans.tables import (ORDER_PRIORITIES, PRICED_ORDER_FEATURES, load,
                                    located_customers, priced_orders)
+from roomrate.session import scratch_path
+from roomrate.sources.delimited import read_delimited, write_delimited
 from roomrate.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +225,16 @@ def q_index_categorical(spark, d):
     return index_categorical(wide, wide.columns, MAX_CATEGORIES)
 
 
+def q_one_hot_vector(spark, d):
+    """E1, feature path: StringIndexer (alphabetical) + OneHotEncoder with
+    no dropped level, shown as one column per vector slot."""
+    o = _orders(spark, d).select("o_orderkey", "o_orderpriority")
+    enc = Pipeline(stages=one_hot_vector(["o_orderpriority"])).fit(o).transform(o)
+    arr = vector_to_array(F.col("o_orderpriority_vec"))
+    return enc.select("o_orderkey", *[arr[i].alias(f"o_orderpriority_vec_{i}")
+                                      for i in range(len(ORDER_PRIORITIES))])
+
+
 def q_assemble_features(spark, d):
     o = _orders(spark, d).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
     o = one_hot(o, ["o_orderpriority"], vocab={"o_orderpriority": ORDER_PRIORITIES})
@@ -351,6 +365,20 @@ def q_prepare_listings(spark, d):
                             RARE_SHARE, Z_K, drop=["ts", "props"])
 
 
+ORDERS_TEXT_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderpriority", T.StringType())])
+
+
+def q_delimited_roundtrip(spark, d):
+    """S3 then S1: the whole orders table written as CSV (in parallel, into
+    the shared checkpoint folder) and read back with a declared schema."""
+    path = scratch_path(spark, "orders-csv")
+    write_delimited(_orders(spark, d).select(*ORDERS_TEXT_SCHEMA.fieldNames()), path)
+    return read_delimited(spark, path, ORDERS_TEXT_SCHEMA)
+
+
 def q_stage_roundtrip(spark, d):
     o = _orders(spark, d).select("o_orderkey", "o_orderstatus", "o_totalprice")
     return stage(o, "orders", partition_by="o_orderstatus")

@@ -199,5 +199,12 @@ ORACLE: dict[str, str] = {
         {_ind('f.event_type', 'view', 'event_type_view')}
         from {_FREQUENT} f, (select avg(value) as m, stddev_pop(value) as sd from {_FREQUENT} g) z
         where abs((f.value - z.m) / nullif(z.sd, 0)) < 2.5""",
+    "delimited_roundtrip": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+        o_orderpriority from orders""",
+    "one_hot_vector": "select o_orderkey, " + ", ".join(
+        f"case when o_orderpriority = '{v}' then cast(1 as double) else cast(0 as double) end "
+        f"as o_orderpriority_vec_{i}"
+        for i, v in enumerate(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]))
+        + " from orders",
     "stage_roundtrip": "select o_orderkey, o_orderstatus, o_totalprice from orders",
 }
