@@ -28,7 +28,7 @@ MAX_CENTRES = 10_000
 # Iterative MLlib fits pay a scheduling cost per task and per pass; give
 # each task at least this many rows, and never more tasks than the
 # session's shuffle partitions.
-ML_ROWS_PER_PARTITION = 50_000
+ML_ROWS_PER_PARTITION = 20_000
 
 
 def deterministic_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:

@@ -26,6 +26,7 @@ from roomrate.operators.evaluate import error_metrics
 from roomrate.operators.joins import join_small
 
 MAX_GROUPS = 1000
+MAX_CONCURRENT_FITS = 16
 
 
 def gbt_pipeline(inputs: list[str], label: str, max_iter: int = 20,
@@ -68,7 +69,7 @@ def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None)
 
 def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key: str,
                   flag: str, max_iter: int = 10, max_categories: int = 5,
-                  seed: int = 123, parallelism: int = 4,
+                  seed: int = 123, parallelism: int | None = None,
                   max_groups: int = MAX_GROUPS):
     """C4: one model per group, trained on its ``flag`` = 1 rows and scored
     on its ``flag`` = 0 rows. Groups lacking either half are skipped.
@@ -86,7 +87,9 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
     if len(groups_rows) > max_groups:
         raise ValueError(f"more than {max_groups} groups to fit")
     groups = [r[0] for r in groups_rows]
-    workers = max(1, min(parallelism, len(groups) or 1))
+    # default: every group's fit at once (each is a small distributed job;
+    # running them together keeps the cluster's slots busy)
+    workers = max(1, min(parallelism or MAX_CONCURRENT_FITS, len(groups) or 1))
     # the pool runs ``workers`` fits at once; together they should fill the
     # cluster's shuffle slots, not each of them
     per_fit_cap = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // workers)

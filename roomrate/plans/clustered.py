@@ -63,7 +63,7 @@ def clustered_price_model(df: DataFrame, key: str, cluster_features: list[str],
                           features: list[str], label: str, k: int = 7, seed: int = 123,
                           kmeans_iter: int = 20, max_iter: int = 10, z_k: float = 2.5,
                           max_categories: int = 5, train_pct: int = 70,
-                          parallelism: int = 4, partitions: int | None = None,
+                          parallelism: int | None = None, partitions: int | None = None,
                           scale: bool = False) -> ClusteredResult:
     """PL3. ``cluster_features`` must not contain the label (clustering on
     the price would leak it into the cluster choice)."""
@@ -82,7 +82,7 @@ def clustered_price_model(df: DataFrame, key: str, cluster_features: list[str],
 def leak_free_cluster_model(df: DataFrame, key: str, features: list[str], label: str,
                             k: int = 10, seed: int = 123, kmeans_iter: int = 20,
                             max_iter: int = 10, max_categories: int = 5,
-                            train_pct: int = 70, parallelism: int = 4,
+                            train_pct: int = 70, parallelism: int | None = None,
                             partitions: int | None = None,
                             seen_label: str = "price_seen") -> ClusteredResult:
     """PL4: cluster on the features plus a price that is real for training
