@@ -32,7 +32,7 @@ from roomrate.operators.split import split, split_flag, union_tagged
 from roomrate.plans.clustered import clustered_price_model, leak_free_cluster_model
 from roomrate.plans.global_model import global_price_model
 from roomrate.plans.prepare import prepare_listings
-from roomrate.plans.tables import (ORDER_PRIORITIES, PRICED_ORDER_FEATURES, load,
+from roomrate.plans.tables import (EVENT_TYPES, ORDER_PRIORITIES, PRICED_ORDER_FEATURES, load,
                                    located_customers, priced_orders)
 from roomrate.session import scratch_path
 from roomrate.sources.delimited import read_delimited, write_delimited
@@ -361,8 +361,11 @@ def q_comparables_report(spark, d):
 
 # ------------------------------------------------------- composed plans
 def q_prepare_listings(spark, d):
+    # a fixed vocabulary keeps the schema stable when the share filter keeps
+    # few (or no) rows
     return prepare_listings(_events(spark, d), "user_id", ["event_type"], "value",
-                            RARE_SHARE, Z_K, drop=["ts", "props"])
+                            RARE_SHARE, Z_K, drop=["ts", "props"],
+                            vocab={"event_type": EVENT_TYPES})
 
 
 ORDERS_TEXT_SCHEMA = T.StructType([

@@ -19,6 +19,7 @@ from roomrate.operators.encode import dummy_name, one_hot
 # given tables, listed so the wide tables have a stable schema).
 ORDER_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 ORDER_STATUSES = ["F", "O", "P"]
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -101,3 +101,18 @@ def test_leak_free_plan_scores_only_test_rows(spark):
     # labels scored against are the real prices, not the overlaid ones
     real = {r.o_orderkey: float(r.price) for r in o.collect()}
     assert all(real[r.o_orderkey] == r.price for r in res.predictions.collect())
+
+
+def test_assign_nearest_arrow_equals_sql(spark):
+    from roomrate.operators.cluster import collect_centres, label_centres
+
+    e = load(spark, SF001, "embeddings")
+    centres = collect_centres(label_centres(e, "embedding", "label"), "label")
+    a = assign_nearest(e, "embedding", centres, method="arrow").select("vec_id", "cluster")
+    b = assign_nearest(e, "embedding", centres, method="sql").select("vec_id", "cluster")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert dict(a.dtypes)["cluster"] == "int"
+    # a null vector gets a null id, not an error
+    with_null = e.limit(3).union(e.limit(1).withColumn("embedding", F.lit(None)))
+    got = assign_nearest(with_null, "embedding", centres).collect()
+    assert sum(r.cluster is None for r in got) == 1
