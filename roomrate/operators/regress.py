@@ -24,6 +24,7 @@ from roomrate.operators.cluster import deterministic_layout, fit_partitions
 from roomrate.operators.encode import assembler, categorical_indexer
 from roomrate.operators.evaluate import error_metrics
 from roomrate.operators.joins import join_small
+from roomrate.session import checkpoint_root
 
 MAX_GROUPS = 1000
 MAX_CONCURRENT_FITS = 16
@@ -50,6 +51,10 @@ def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
     that arrived in few partitions over all cores. The laid-out rows are
     persisted for the duration of the fit (the indexer pass and the
     boosting passes then share one shuffle) and released afterwards."""
+    # MLlib checkpoints the boosting state every ``checkpointInterval``
+    # trees into the SparkContext checkpoint folder: make sure it is the
+    # shared one, so a lost executor does not cost the whole lineage
+    checkpoint_root(train.sparkSession)
     pipe = gbt_pipeline(inputs, label, max_iter, max_categories, seed, **gbt_params)
     t = train.withColumn(label, F.col(label).cast("double"))
     if key is not None:
