@@ -57,6 +57,9 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
     optionally standardise (the reference clustered unscaled mixed units;
     ``scale=False`` keeps that), then K-means."""
     if key is not None:
+        # shuffle only the key and the inputs (the layout is for the fit;
+        # ``kmeans_assign`` then runs on the full rows where they are)
+        df = df.select(key, *inputs)
         df = deterministic_layout(df, key, partitions or fit_partitions(df))
     stages = [assembler(inputs, "_features", "skip")]
     feat = "_features"

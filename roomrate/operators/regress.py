@@ -56,7 +56,9 @@ def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
     # shared one, so a lost executor does not cost the whole lineage
     checkpoint_root(train.sparkSession)
     pipe = gbt_pipeline(inputs, label, max_iter, max_categories, seed, **gbt_params)
-    t = train.withColumn(label, F.col(label).cast("double"))
+    # only what the fit reads is shuffled and cached
+    t = train.select(*([key] if key is not None else []), *inputs,
+                     F.col(label).cast("double").alias(label))
     if key is not None:
         t = deterministic_layout(t, key, partitions or fit_partitions(t))
     t = t.persist(StorageLevel.MEMORY_AND_DISK)
@@ -95,15 +97,13 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
     # default: every group's fit at once (each is a small distributed job;
     # running them together keeps the cluster's slots busy)
     workers = max(1, min(parallelism or MAX_CONCURRENT_FITS, len(groups) or 1))
-    # the pool runs ``workers`` fits at once; together they should fill the
-    # cluster's shuffle slots, not each of them
-    per_fit_cap = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // workers)
 
     def fit_one(g):
         part = df.filter(F.col(group) == F.lit(g))
+        # each fit is sized by its own rows: a cluster holding a third of
+        # the data gets a third-of-the-data's worth of tasks, small ones few
         train = part.filter(F.col(flag) == 1)
-        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key,
-                        partitions=fit_partitions(train, per_fit_cap))
+        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key)
         scored = predict(model, part.filter(F.col(flag) == 0),
                          keep=[key, group, F.col(label).cast("double").alias(label)])
         return g, model, scored
