@@ -27,7 +27,7 @@ from roomrate.operators.cluster import (assign_nearest, collect_centres, kmeans_
 from roomrate.operators.encode import assemble, index_categorical, one_hot, one_hot_vector
 from roomrate.operators.joins import attach, semi_join_keys
 from roomrate.operators.overlay import overlay_prediction
-from roomrate.operators.regress import fit_group_mean, fit_per_group, predict, predict_group_mean
+from roomrate.operators.regress import fit_group_mean, fit_per_group, predict_group_mean
 from roomrate.operators.split import split, split_flag, union_tagged
 from roomrate.plans.clustered import clustered_price_model, leak_free_cluster_model
 from roomrate.plans.global_model import global_price_model
