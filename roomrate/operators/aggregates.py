@@ -25,7 +25,8 @@ def annotate_count(df: DataFrame, by: str, name: str = "count",
     broadcast when its size is proven small.
     """
     counts = count_by(df, by, name)
-    return join_small(df, counts, by, "inner", bound=max_groups).select(*df.columns, name)
+    out = join_small(df, counts, by, "inner", bound=max_groups)
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], name)
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:

@@ -89,7 +89,7 @@ def zscore_filter_by(df: DataFrame, group: str, col: str, k: float = 2.5,
     stats = group_moments(df, group, col)
     joined = join_small(df, stats, group, "inner", bound=max_groups)
     cond = _z_condition(F.col(col), F.col("_mean"), F.col("_std"), k, keep_constant)
-    return joined.filter(cond).select(*df.columns)
+    return joined.filter(cond).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def all_of(predicates: list[Column]) -> Column:

@@ -39,7 +39,11 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
             cached.unpersist()
     if bound <= max_rows:
         small = F.broadcast(small)
-    return big.join(small, on, how)
+    out = big.join(small, on, how)
+    # a semi/anti join returns the left rows as they were, column order too
+    if how in ("left_semi", "left_anti"):
+        return out.select(*[F.col(f"`{c}`") for c in big.columns])
+    return out
 
 
 def semi_join_keys(df: DataFrame, keys: DataFrame, on, bound: int | None = None) -> DataFrame:
@@ -48,7 +52,7 @@ def semi_join_keys(df: DataFrame, keys: DataFrame, on, bound: int | None = None)
     non-unique id would have multiplied rows)."""
     if bound is not None and bound <= MAX_BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    return df.join(keys, on, "left_semi")
+    return df.join(keys, on, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def attach(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

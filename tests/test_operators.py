@@ -210,3 +210,14 @@ def test_in_set_and_select_group(spark):
     assert flt.in_set(df, "g", ["a", "c"]).count() == 2
     assert flt.select_group(df, "g", "b").first().id == 2
     assert flt.comparables(df, {"g": "a"}, {"id": 0}).count() == 1
+
+
+def test_odd_column_names_survive_joins(spark):
+    df = spark.createDataFrame([(1, "a", 2.0), (2, "a", 4.0), (3, "b", 5.0)],
+                               "id int, `room type` string, `price/night (usd)` double")
+    kept = flt.zscore_filter_by(df, "room type", "price/night (usd)", 2.0, keep_constant=True)
+    assert kept.columns == df.columns and kept.count() == 3
+    ann = agg.annotate_count(df, "room type")
+    assert ann.columns == df.columns + ["count"]
+    semi = semi_join_keys(df, df.select("id").filter("id < 3"), "id")
+    assert semi.columns == df.columns and semi.count() == 2
