@@ -20,7 +20,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.operators.cluster import deterministic_layout, fit_partitions
+from roomrate.operators.cluster import ML_ROWS_PER_PARTITION, deterministic_layout, fit_partitions
 from roomrate.operators.encode import assembler, categorical_indexer
 from roomrate.operators.evaluate import error_metrics
 from roomrate.operators.joins import join_small
@@ -89,11 +89,13 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
     """
     from roomrate.operators.filters import trainable_groups
 
-    groups_rows = (trainable_groups(df, group, flag).select(group).orderBy(group)
+    groups_rows = (trainable_groups(df, group, flag).select(group, "n_train").orderBy(group)
                    .limit(max_groups + 1).collect())
     if len(groups_rows) > max_groups:
         raise ValueError(f"more than {max_groups} groups to fit")
     groups = [r[0] for r in groups_rows]
+    n_train = {r[0]: r[1] for r in groups_rows}
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # default: every group's fit at once (each is a small distributed job;
     # running them together keeps the cluster's slots busy)
     workers = max(1, min(parallelism or MAX_CONCURRENT_FITS, len(groups) or 1))
@@ -103,7 +105,9 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
         # each fit is sized by its own rows: a cluster holding a third of
         # the data gets a third-of-the-data's worth of tasks, small ones few
         train = part.filter(F.col(flag) == 1)
-        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key)
+        n = max(1, min(cap, -(-n_train[g] // ML_ROWS_PER_PARTITION)))
+        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key,
+                        partitions=n)
         scored = predict(model, part.filter(F.col(flag) == 0),
                          keep=[key, group, F.col(label).cast("double").alias(label)])
         return g, model, scored

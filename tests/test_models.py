@@ -116,3 +116,12 @@ def test_assign_nearest_arrow_equals_sql(spark):
     with_null = e.limit(3).union(e.limit(1).withColumn("embedding", F.lit(None)))
     got = assign_nearest(with_null, "embedding", centres).collect()
     assert sum(r.cluster is None for r in got) == 1
+
+
+def test_kmeans_scaled_option(spark):
+    o = priced_orders(spark, SF0001)
+    km = kmeans_fit(o, PRICED_ORDER_FEATURES, 4, 123, key="o_orderkey", scale=True)
+    out = kmeans_assign(km, o)
+    assert "_scaled" not in out.columns and "_features" not in out.columns
+    assert out.count() == o.count()
+    assert {r.cluster for r in out.select("cluster").distinct().collect()} <= set(range(4))
