@@ -23,3 +23,11 @@ def to_double(c) -> Column:
 
 def to_int(c) -> Column:
     return _col(c).try_cast("double").try_cast("int")
+
+
+def to_long(c) -> Column:
+    """Exact text -> bigint first (ids above 2**53 must not pass through a
+    double); only text that is not an integer ('1.0', '1.9') goes via
+    double and is truncated."""
+    x = _col(c)
+    return F.coalesce(x.try_cast("bigint"), x.try_cast("double").try_cast("bigint"))

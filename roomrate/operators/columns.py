@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.functions.casts import to_double, to_int
+from roomrate.functions.casts import to_double, to_int, to_long
 
 
 def _q(name: str) -> Column:
@@ -28,6 +28,8 @@ def drop_columns(df: DataFrame, names: list[str]) -> DataFrame:
 _CASTERS = {
     "int": to_int,
     "integer": to_int,
+    "bigint": to_long,
+    "long": to_long,
     "double": to_double,
 }
 

@@ -221,3 +221,9 @@ def test_odd_column_names_survive_joins(spark):
     assert ann.columns == df.columns + ["count"]
     semi = semi_join_keys(df, df.select("id").filter("id < 3"), "id")
     assert semi.columns == df.columns and semi.count() == 2
+
+
+def test_lenient_long_cast_is_exact_for_big_ids(spark):
+    df = spark.createDataFrame([("9007199254740993",), ("1.9",), (" 42 ",), ("x",)], "t string")
+    got = [r.t for r in cols.bulk_cast(df, {"bigint": ["t"]}).collect()]
+    assert got == [9007199254740993, 1, 42, None]
