@@ -29,6 +29,42 @@ def vocabulary(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list:
     return [r[0] for r in rows]
 
 
+def vocabularies(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted vocabularies of several columns in one pass over ``df``.
+
+    String columns are stacked into (column, value) pairs and de-duplicated
+    by one distributed ``distinct`` (partial-aggregated, so a value owning a
+    third of the rows costs nothing extra); at most ``len(cols) *
+    max_levels + 1`` pairs are collected. Other column types take one job
+    each.
+    """
+    types = dict(df.dtypes)
+    strings = [c for c in cols if types[c] == "string"]
+    out: dict[str, list] = {}
+    if len(strings) > 1:
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(f"`{c}`").alias("val"))
+                                    for c in strings])).alias("p")
+        stacked = (df.select(pairs).select("p.col", "p.val").where(F.col("val").isNotNull())
+                   .distinct())
+        # pigeonhole: more than L*M pairs means some column has more than M
+        # levels; otherwise the collected set is complete
+        cap = len(strings) * max_levels
+        rows = stacked.limit(cap + 1).collect()
+        if len(rows) > cap:
+            raise ValueError(f"one of {strings} has more than {max_levels} distinct values; "
+                             "use one_hot_vector for high-cardinality columns")
+        for c in strings:
+            vals = sorted(r["val"] for r in rows if r["col"] == c)
+            if len(vals) > max_levels:
+                raise ValueError(f"{c} has more than {max_levels} distinct values; "
+                                 "use one_hot_vector for high-cardinality columns")
+            out[c] = vals
+    for c in cols:
+        if c not in out:
+            out[c] = vocabulary(df, c, max_levels)
+    return out
+
+
 def dummy_name(source: str, value) -> str:
     """``<source>_<value>`` with every non-alphanumeric run replaced by
     ``_``; the reference named dummies by the raw value, so the same value
@@ -43,13 +79,13 @@ def one_hot(df: DataFrame, cols: list[str] | str, vocab: dict[str, list] | None
     from a supplied vocabulary (e.g. seen only in test rows) gets all 0."""
     cols = [cols] if isinstance(cols, str) else list(cols)
     vocab = dict(vocab or {})
+    missing = [c for c in cols if c not in vocab]
+    if missing:
+        vocab.update(vocabularies(df, missing, max_levels))
     new_cols = []
     seen = set(c.lower() for c in df.columns)
     for c in cols:
-        levels = vocab.get(c)
-        if levels is None:
-            levels = vocabulary(df, c, max_levels)
-        for v in levels:
+        for v in vocab[c]:
             name = dummy_name(c, v)
             if name.lower() in seen:
                 raise ValueError(f"dummy column {name!r} collides with an existing column")

@@ -227,3 +227,14 @@ def test_lenient_long_cast_is_exact_for_big_ids(spark):
     df = spark.createDataFrame([("9007199254740993",), ("1.9",), (" 42 ",), ("x",)], "t string")
     got = [r.t for r in cols.bulk_cast(df, {"bigint": ["t"]}).collect()]
     assert got == [9007199254740993, 1, 42, None]
+
+
+def test_vocabularies_one_pass_and_bound(spark):
+    from roomrate.operators.encode import vocabularies
+
+    df = spark.createDataFrame([("a", "x", 1), ("b", "x", 2), ("a", None, 3)],
+                               "p string, q string, n int")
+    assert vocabularies(df, ["p", "q", "n"]) == {"p": ["a", "b"], "q": ["x"], "n": [1, 2, 3]}
+    wide = spark.range(30).select(F.col("id").cast("string").alias("p"), F.lit("x").alias("q"))
+    with pytest.raises(ValueError):
+        vocabularies(wide, ["p", "q"], max_levels=10)
