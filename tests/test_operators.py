@@ -189,7 +189,7 @@ def test_distance_anchor_antipode_and_brute_force(spark):
     assert got[2] == pytest.approx(6371 * math.pi, rel=1e-9)
     for k, la, lo in pts:
         assert got[k] == pytest.approx(haversine_km_py(pts[0][1], pts[0][2], la, lo), abs=1e-9)
-    # a pair from the reference's Queens sheet: 0.846585907 km
+    # two listings 0.846585907 km apart (golden value, R = 6371 km)
     d = df.select(haversine_km(F.lit(40.76903722), F.lit(-73.92942684),
                                F.lit(40.76633963), F.lit(-73.92002632)).alias("d")).first().d
     assert d == pytest.approx(0.846585907, abs=1e-6)
