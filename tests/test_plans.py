@@ -69,3 +69,45 @@ def test_nearest_centre_has_no_join(spark):
 def test_split_is_a_pure_projection(spark):
     p = plan(QUERIES["split_train"](spark, SF001))
     assert "Exchange" not in p and "Join" not in p
+
+
+def test_hot_key_third_of_rows(spark):
+    """One user owns a third of the rows: counts, per-group moments and the
+    rare-category filter stay partial aggregates plus a broadcast of the
+    per-key table, so the hot key never lands whole in one task."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from roomrate.operators import aggregates as agg
+    from roomrate.operators import filters as flt
+
+    n = 3000
+    df = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("user_id"),
+        ((F.col("id") * 7919) % 1000 / 10.0).alias("value"))
+    rows = [(r.event_id, r.user_id, r.value) for r in df.collect()]
+    counts = {}
+    for _, u, _ in rows:
+        counts[u] = counts.get(u, 0) + 1
+    assert counts[0] == n // 3
+
+    ann = agg.annotate_count(df, "user_id", "n")
+    assert {(r.event_id, r.n) for r in ann.collect()} == {(e, counts[u]) for e, u, _ in rows}
+    freq = flt.frequency_filter(df, "user_id", 1 / 200)
+    assert freq.count() == sum(c for c in counts.values() if c * 200 > n)
+    zg = flt.zscore_filter_by(df, "user_id", "value", 1.5)
+    by = {}
+    for _, u, v in rows:
+        by.setdefault(u, []).append(v)
+    want = 0
+    for vs in by.values():
+        m = sum(vs) / len(vs)
+        sd = math.sqrt(sum((v - m) ** 2 for v in vs) / len(vs))
+        want += sum(1 for v in vs if sd > 0 and abs((v - m) / sd) < 1.5)
+    assert zg.count() == want
+    for out in (ann, freq, zg):
+        p = plan(out)
+        assert "SortMergeJoin" not in p and "Window" not in p
+        assert "BroadcastHashJoin" in p
