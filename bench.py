@@ -4,7 +4,8 @@ Each query is forced with the ``noop`` sink (full execution, nothing
 collected). Model queries also include their fits, which run when the
 query is built. Every query is first run once, untimed, on the sf0.001
 tables so the timings are steady-state rather than JVM warm-up
-(``BENCH_WARMUP=0`` to skip). Prints one JSON line.
+(``BENCH_WARMUP=0`` to skip). ``BENCH_EVENT_LOG=<folder>`` writes Spark's
+event log under a fresh sub-folder of it. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -43,8 +45,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # stage/task timings for offline reading (the UI stays off)
+        log_dir = tempfile.mkdtemp(prefix="roomrate-events-", dir=os.environ["BENCH_EVENT_LOG"])
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
+        print(f"event log: {log_dir}", file=sys.stderr)
     spark = build_session(master=f"local[{cpus}]", app="roomrate-bench",
-                          shuffle_partitions=int(cpus) * 2)
+                          shuffle_partitions=int(cpus) * 2, extra=extra)
     # steady-state timing: run every query once on the smallest tables first
     # (JIT compilation, class loading, MLlib initialisation), untimed
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")

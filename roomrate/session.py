@@ -19,7 +19,6 @@ def build_session(master: str = "local[8]", app: str = "roomrate",
     the platform gives you and leave these settings to its config."""
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.default.parallelism", str(shuffle_partitions))
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
