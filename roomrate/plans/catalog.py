@@ -109,6 +109,17 @@ def q_filter_in_set(spark, d):
         .select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
+def q_select_group(spark, d):
+    return flt.select_group(_orders(spark, d), "o_orderstatus", "F") \
+        .select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+def q_drop_empty_groups(spark, d):
+    """Orders of customers that have both training and test orders."""
+    o = _flagged_orders(spark, d).select("o_orderkey", "o_custkey", "is_train")
+    return flt.drop_empty_groups(o, "o_custkey", "is_train")
+
+
 def q_trainable_groups(spark, d):
     return flt.trainable_groups(_flagged_orders(spark, d), "o_orderpriority", "is_train")
 
@@ -128,6 +139,10 @@ def q_annotate_count(spark, d):
     return agg.annotate_count(e, "user_id", "n")
 
 
+def q_row_count(spark, d):
+    return agg.row_count(_events(spark, d), "n_rows")
+
+
 def q_group_sizes(spark, d):
     return agg.group_sizes(_orders(spark, d), "o_orderstatus", "size")
 
@@ -188,6 +203,12 @@ def q_move_last(spark, d):
     return cols.move_last(o, "o_totalprice", "price")
 
 
+def q_flag_when(spark, d):
+    o = _orders(spark, d).select("o_orderkey", "o_orderpriority")
+    return cols.flag_when(o, F.col("o_orderpriority") == "1-URGENT", "is_urgent") \
+        .select("o_orderkey", "is_urgent")
+
+
 def _damaged_text(spark, d):
     """Text versions of numbers, damaged by a fixed rule on the key:
     clean, padded with blanks, a decimal where an int is expected, a

@@ -206,5 +206,13 @@ ORACLE: dict[str, str] = {
         f"as o_orderpriority_vec_{i}"
         for i, v in enumerate(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]))
         + " from orders",
+    "select_group": """select o_orderkey, o_orderstatus, o_totalprice from orders
+        where o_orderstatus = 'F'""",
+    "drop_empty_groups": f"""select o_orderkey, o_custkey, is_train from {_FLAGGED} f
+        where o_custkey in (select o_custkey from {_FLAGGED} g group by o_custkey
+                            having count_if(is_train = 1) > 0 and count_if(is_train = 0) > 0)""",
+    "row_count": "select count(*) as n_rows from events",
+    "flag_when": """select o_orderkey,
+        case when o_orderpriority = '1-URGENT' then 1 else 0 end as is_urgent from orders""",
     "stage_roundtrip": "select o_orderkey, o_orderstatus, o_totalprice from orders",
 }
