@@ -64,9 +64,13 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    base = os.path.basename(sf_dir.rstrip("/"))
+    try:
+        sf = float(base[2:]) if base.startswith("sf") else base
+    except ValueError:
+        sf = base
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir}))
+                      "unit": "sec", "queries": times, "sf": sf}))
     spark.stop()
 
 

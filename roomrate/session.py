@@ -25,7 +25,9 @@ def build_session(master: str = "local[8]", app: str = "roomrate",
          .config("spark.driver.memory", driver_memory)
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC"))
+         .config("spark.sql.session.timeZone", "UTC")
+         # MLlib's periodic checkpoints are removed once their RDDs are gone
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
