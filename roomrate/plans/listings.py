@@ -18,6 +18,7 @@ from roomrate.plans.clustered import ClusteredResult, clustered_price_model, lea
 from roomrate.plans.global_model import global_price_model
 from roomrate.plans.prepare import prepare_listings
 from roomrate.sources.delimited import read_delimited
+from roomrate.sources.staging import stage
 
 # The reduced listings file, column by column (name, type).
 LISTING_SCHEMA = T.StructType([
@@ -58,11 +59,21 @@ def read_listings(spark: SparkSession, path: str, drop_repeated_header: bool = T
 
 
 def prepare(spark: SparkSession, path: str, out_path: str | None = None,
-            min_share: float = MIN_SHARE, k: float = Z_K) -> DataFrame:
+            min_share: float = MIN_SHARE, k: float = Z_K,
+            stage_raw: bool = True) -> DataFrame:
     """Listings CSV -> rare neighbourhoods dropped -> 0/1 columns for the
-    five categories -> price outliers dropped -> (staged to ``out_path``)."""
-    return prepare_listings(read_listings(spark, path), RARE, CATEGORIES, PRICE,
-                            min_share, k, out_path=out_path)
+    five categories -> price outliers dropped -> (staged to ``out_path``).
+
+    The preparation reads its input several times (row total, neighbourhood
+    counts, vocabularies, price moments, the final pass). With
+    ``stage_raw`` the CSV is parsed once into Parquet in the shared
+    checkpoint folder and those passes read only the columns they need from
+    it, instead of re-parsing the full text each time.
+    """
+    raw = read_listings(spark, path)
+    if stage_raw:
+        raw = stage(raw, "listings-raw")
+    return prepare_listings(raw, RARE, CATEGORIES, PRICE, min_share, k, out_path=out_path)
 
 
 def features(prepared: DataFrame) -> list[str]:
