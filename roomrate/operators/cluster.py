@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler
@@ -61,6 +62,11 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
         # ``kmeans_assign`` then runs on the full rows where they are)
         df = df.select(key, *inputs)
         df = deterministic_layout(df, key, partitions or fit_partitions(df))
+    else:
+        df = df.select(*inputs)
+    # K-means makes ~20 passes: materialise its input once for the fit, so
+    # no pass replays the lineage above it (upstream models, subqueries)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     stages = [assembler(inputs, "_features", "skip")]
     feat = "_features"
     if scale:
@@ -68,7 +74,10 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
         feat = "_scaled"
     stages.append(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=feat,
                          predictionCol=cluster_col))
-    return Pipeline(stages=stages).fit(df)
+    try:
+        return Pipeline(stages=stages).fit(df)
+    finally:
+        df.unpersist()
 
 
 def kmeans_assign(model: PipelineModel, df: DataFrame) -> DataFrame:

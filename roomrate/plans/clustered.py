@@ -94,7 +94,9 @@ def leak_free_cluster_model(df: DataFrame, key: str, features: list[str], label:
     first = gbt_fit(flagged.filter(F.col(FLAG) == 1), features, label, max_iter,
                     max_categories, seed, key=key)
     seen = flagged.withColumn(seen_label, F.col(label).cast("double"))
-    overlaid = overlay_from_model(seen, first, FLAG, seen_label)
+    # written once: K-means (count, layout) and the assignment read these
+    # files instead of re-running the input's lineage and the first model
+    overlaid = stage(overlay_from_model(seen, first, FLAG, seen_label), "overlaid-input")
     km = kmeans_fit(overlaid, features + [seen_label], k, seed, key=key,
                     partitions=partitions, max_iter=kmeans_iter, cluster_col=CLUSTER)
     staged = stage(kmeans_assign(km, overlaid), "overlaid", partition_by=CLUSTER)
