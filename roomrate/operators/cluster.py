@@ -56,7 +56,9 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
                cluster_col: str = "cluster") -> PipelineModel:
     """M2 fit: assemble ``inputs`` by name (rows with nulls skipped),
     optionally standardise (the reference clustered unscaled mixed units;
-    ``scale=False`` keeps that), then K-means."""
+    ``scale=False`` keeps that), then K-means. With ``key`` the rows are
+    first laid out by key (see the module docstring); either way only the
+    key and inputs are kept, persisted for the fit and released after."""
     if key is not None:
         # shuffle only the key and the inputs (the layout is for the fit;
         # ``kmeans_assign`` then runs on the full rows where they are)
