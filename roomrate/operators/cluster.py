@@ -24,7 +24,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomrate.operators.encode import assembler
@@ -129,11 +129,15 @@ def nearest_centre_arrow(vec: Column, centres: list[tuple[int, list[float]]],
     distance wins, so ties go to the lowest id as in the built-in form.
     """
     ids = np.array([cid for cid, _ in centres])
-    mat = np.array([c for _, c in centres], dtype=np.float64)
     out_type = "int" if ids.size == 0 or np.abs(ids).max() < 2**31 else "bigint"
+    # the centre matrix travels once per executor as a broadcast, not inside
+    # every task's closure (K x dim doubles can be megabytes)
+    centres_bc = SparkSession.active().sparkContext.broadcast(
+        np.array([c for _, c in centres], dtype=np.float64))
 
     @F.pandas_udf(out_type)
     def _nearest(batch: pd.Series) -> pd.Series:
+        mat = centres_bc.value
         present = batch.notna().to_numpy()
         result = pd.Series(pd.NA, index=batch.index,
                            dtype="Int32" if out_type == "int" else "Int64")
