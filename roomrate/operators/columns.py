@@ -34,14 +34,24 @@ _CASTERS = {
 }
 
 
-def bulk_cast(df: DataFrame, by_type: dict[str, list[str]]) -> DataFrame:
-    """Cast lists of columns in one projection; a value that does not parse
-    becomes null instead of failing the job (ANSI-safe)."""
+def bulk_cast(df: DataFrame, by_type: dict[str, list[str]], on_bad: str = "null") -> DataFrame:
+    """Cast lists of columns in one projection, with the lenient parsing
+    rules above. ``on_bad='null'``: a value that does not parse becomes
+    null; ``on_bad='error'``: it fails the job, naming the column (whatever
+    the session's ANSI setting)."""
+    if on_bad not in ("null", "error"):
+        raise ValueError("on_bad must be 'null' or 'error'")
     target: dict[str, Column] = {}
     for typ, names in by_type.items():
         caster = _CASTERS.get(typ.lower())
         for n in names:
-            target[n] = caster(_q(n)) if caster else _q(n).try_cast(typ)
+            parsed = caster(_q(n)) if caster else _q(n).try_cast(typ)
+            if on_bad == "error":
+                parsed = F.when(_q(n).isNotNull() & parsed.isNull(),
+                                F.raise_error(F.concat(F.lit(f"bad {typ} value in {n}: "),
+                                                       _q(n).cast("string")))
+                                ).otherwise(parsed)
+            target[n] = parsed
     return df.select(*[target[c].alias(c) if c in target else _q(c) for c in df.columns])
 
 

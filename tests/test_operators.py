@@ -238,3 +238,14 @@ def test_vocabularies_one_pass_and_bound(spark):
     wide = spark.range(30).select(F.col("id").cast("string").alias("p"), F.lit("x").alias("q"))
     with pytest.raises(ValueError):
         vocabularies(wide, ["p", "q"], max_levels=10)
+
+
+def test_bulk_cast_strict_mode(spark):
+    df = spark.createDataFrame([("1",), ("x",)], "t string")
+    with pytest.raises(Exception):
+        cols.bulk_cast(df, {"int": ["t"]}, on_bad="error").collect()
+    ok = spark.createDataFrame([("1",), ("2.0",), (None,)], "t string")
+    assert [r.t for r in cols.bulk_cast(ok, {"int": ["t"]}, on_bad="error").collect()] == \
+        [1, 2, None]
+    with pytest.raises(ValueError):
+        cols.bulk_cast(df, {"int": ["t"]}, on_bad="drop")
