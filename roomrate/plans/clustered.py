@@ -64,11 +64,19 @@ def clustered_price_model(df: DataFrame, key: str, cluster_features: list[str],
                           kmeans_iter: int = 20, max_iter: int = 10, z_k: float = 2.5,
                           max_categories: int = 5, train_pct: int = 70,
                           parallelism: int | None = None, partitions: int | None = None,
-                          scale: bool = False) -> ClusteredResult:
+                          scale: bool = False, stage_input: bool = False) -> ClusteredResult:
     """PL3. ``cluster_features`` must not contain the label (clustering on
-    the price would leak it into the cluster choice)."""
+    the price would leak it into the cluster choice).
+
+    The input is read four times (row count, K-means layout, per-cluster
+    moments, the staged write). For a table already on storage that is four
+    pruned scans; for a long lazy plan pass ``stage_input=True`` to write
+    the needed columns once and read those instead."""
     if label in cluster_features:
         raise ValueError("the label must not be a clustering feature")
+    if stage_input:
+        needed = list(dict.fromkeys([key, *cluster_features, *features, label]))
+        df = stage(df.select(*needed), "clustered-input")
     km = kmeans_fit(df, cluster_features, k, seed, key=key, partitions=partitions,
                     max_iter=kmeans_iter, scale=scale, cluster_col=CLUSTER)
     clustered = kmeans_assign(km, df)

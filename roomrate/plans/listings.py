@@ -85,9 +85,11 @@ def global_model(prepared: DataFrame, max_iter: int = 20):
     return global_price_model(prepared, KEY, features(prepared), PRICE, max_iter)
 
 
-def clustered_model(prepared: DataFrame, k: int = K, max_iter: int = 10) -> ClusteredResult:
+def clustered_model(prepared: DataFrame, k: int = K, max_iter: int = 10,
+                    stage_input: bool = False) -> ClusteredResult:
     f = features(prepared)
-    return clustered_price_model(prepared, KEY, f, f, PRICE, k, max_iter=max_iter)
+    return clustered_price_model(prepared, KEY, f, f, PRICE, k, max_iter=max_iter,
+                                 stage_input=stage_input)
 
 
 def leak_free_model(prepared: DataFrame, k: int = K_LEAK_FREE,

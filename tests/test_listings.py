@@ -85,7 +85,7 @@ def test_models_on_prepared_listings(spark, listing_file):
     m = metrics.first()
     assert m.n == preds.count() > 0
     assert m.rmse < 25                       # price is mostly explained by room and guests
-    res = listings.clustered_model(prepared, k=3, max_iter=3)
+    res = listings.clustered_model(prepared, k=3, max_iter=3, stage_input=True)
     assert 1 <= res.metrics.count() <= 3
     lf = listings.leak_free_model(prepared, k=3, max_iter=3)
     assert 1 <= lf.metrics.count() <= 3
