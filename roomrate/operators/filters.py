@@ -41,10 +41,6 @@ def frequency_filter(df: DataFrame, by: str, min_share: float = 1 / 200) -> Data
     return join_small(df, frequent, by, "left_semi", bound=math.floor(inv))
 
 
-def _moment_cols(col: str):
-    return F.avg(col), F.stddev_pop(col)
-
-
 def zscore_filter(df: DataFrame, col: str, k: float = 2.5,
                   nan_policy: str = "omit", keep_constant: bool = False) -> DataFrame:
     """keep rows with |x - mean| / population std < k (strict).
