@@ -3,8 +3,8 @@
 The reference read CSV as raw lines, split on every comma and pasted names
 on by position; a quoted value holding a comma shifted all later columns.
 Here the Spark CSV reader parses quotes, a declared schema names the
-columns, and rows whose field count is wrong are kept aside in a corrupt
-record column instead of being silently shifted.
+columns, and rows whose field count is wrong are dropped (or kept aside in
+a corrupt record column) instead of being silently shifted.
 """
 
 from __future__ import annotations
@@ -18,10 +18,6 @@ from pyspark.sql import types as T
 from roomrate.operators.columns import bulk_cast
 
 CORRUPT_COL = "_corrupt_record"
-_EXTRA_COL = "_extra_field"
-# never present in real data: lets an empty field ("") be told apart from a
-# missing one (null) in short rows
-_NULL_SENTINEL = "\u0001<missing>\u0001"
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
@@ -33,34 +29,33 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
     Fields are read as text and converted with lenient casts (bad values
     become null rather than failing the job, the behaviour the reference
     relied on); empty fields are null. Rows with too few or too many
-    fields are dropped. The test for them uses data columns only (the
-    last declared field must be present, a field past it must not), so it
-    holds under column pruning and for a bare ``count()`` - unlike
-    DROPMALFORMED, whose count skips parsing. ``keep_corrupt=True`` keeps
-    every row and adds ``_corrupt_record`` with the raw text of the
-    malformed ones. ``drop_repeated_header`` also removes data lines equal
-    to the header (concatenated exports repeat it).
+    fields are dropped, or kept with their raw text in ``_corrupt_record``
+    when ``keep_corrupt``. ``drop_repeated_header`` also removes data lines
+    equal to the header (concatenated exports repeat it).
+
+    Spark flags such rows only while it parses every field of the line; with
+    CSV column pruning (a query needing a few columns, or a bare
+    ``count()``) they would pass unnoticed. The row test therefore refers
+    to every declared field through an always-true term, which keeps the
+    whole line parsed whatever the downstream projection.
     """
     names = [f.name for f in schema.fields]
     fields = [T.StructField(n, T.StringType(), True) for n in names]
-    reader = (spark.read.option("header", header).option("sep", sep)
-              .option("mode", "PERMISSIVE"))
+    raw = (spark.read.schema(T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType())]))
+           .option("header", header).option("sep", sep)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
+           .csv(path))
+    every_field = F.length(F.concat_ws("", *[F.col(f"`{n}`") for n in names])) >= 0
     if keep_corrupt:
-        raw = (reader.schema(T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType())]))
-               .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
-        text = {n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names}
-        extra = [CORRUPT_COL]
+        extra = [F.when(every_field, F.col(CORRUPT_COL)).alias(CORRUPT_COL)]
     else:
-        raw = (reader.schema(T.StructType(fields + [T.StructField(_EXTRA_COL, T.StringType())]))
-               .option("nullValue", _NULL_SENTINEL).csv(path))
-        raw = raw.filter(F.col(f"`{names[-1]}`").isNotNull() & F.col(_EXTRA_COL).isNull())
-        text = {n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names}
+        raw = raw.filter(F.col(CORRUPT_COL).isNull() & every_field)
         extra = []
     if drop_repeated_header:
         is_header = reduce(lambda a, b: a & b,
                            [F.coalesce(F.col(f"`{n}`") == F.lit(n), F.lit(False)) for n in names])
         raw = raw.filter(~is_header)
-    raw = raw.select(*[text[n].alias(n) for n in names], *extra)
+    raw = raw.select(*[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names], *extra)
     by_type: dict[str, list[str]] = {}
     for f in schema.fields:
         if not isinstance(f.dataType, T.StringType):

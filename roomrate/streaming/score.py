@@ -20,9 +20,13 @@ from roomrate.operators.regress import predict
 
 def score_stream(spark: SparkSession, model: PipelineModel, source: str, schema: T.StructType,
                  sink: str, checkpoint: str, keep: list[str], file_glob: str | None = None,
-                 available_now: bool = True, max_files_per_trigger: int | None = None
-                 ) -> StreamingQuery:
+                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 recursive: bool = False) -> StreamingQuery:
+    """``recursive``: also pick up files in sub-folders of ``source`` (one
+    folder per landed batch, for instance)."""
     reader = spark.readStream.schema(schema)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:

@@ -130,3 +130,19 @@ def test_cli_prepare_and_global(spark, listing_file, capsys):
     assert "prepared" in capsys.readouterr().out
     main(["global", out])
     assert "rmse" in capsys.readouterr().out
+
+
+def test_cli_comparables(spark, listing_file, capsys):
+    from roomrate.__main__ import main
+
+    path, rows = listing_file
+    anchor = next(r for r in rows if r[1] == "Queens" and r[2] == "Astoria"
+                  and r[6] == "Private room" and r[5] == "Apartment" and r[11] == "Real Bed"
+                  and r[7] == 1 and r[8] == 1 and r[9] == 1)
+    out = os.path.join(tempfile.mkdtemp(prefix="roomrate-cli-comp-"), "report")
+    main(["comparables", path, "--anchor", str(anchor[0]), "--borough", "Queens",
+          "--neighbourhood", "Astoria", "--out", out])
+    text = capsys.readouterr().out
+    assert "std_samp" in text
+    back = spark.read.option("header", True).csv(out)
+    assert "distance_km" in back.columns and back.count() >= 1

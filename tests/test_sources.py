@@ -76,3 +76,23 @@ def test_stage_keeps_types_and_partitions(spark):
     assert ck.count() == 3
     root = spark.conf.get("spark.checkpoint.dir").replace("file:", "").rstrip("/")
     assert ck.inputFiles()[0].replace("file://", "").replace("file:", "").startswith(root + "/")
+
+
+def test_headerless_semicolon_file(spark):
+    p = _write("1;a;10;1.5\n2;b;;2\n3;c;x;\n")
+    got = {r.id: (r.roomType, r.price, r.bathrooms)
+           for r in read_delimited(spark, p, SCHEMA, header=False, sep=";").collect()}
+    assert got == {1: ("a", 10, 1.5), 2: ("b", None, 2.0), 3: ("c", None, None)}
+
+
+def test_empty_last_field_is_not_malformed(spark):
+    p = _write("id,roomType,price,bathrooms\n1,a,10,\n2,short\n3,b,,2\n")
+    df = read_delimited(spark, p, SCHEMA)
+    assert df.count() == 2                       # bare count: no pruning shortcut
+    assert sorted(r.id for r in df.select("id").collect()) == [1, 3]
+    got = {r.id: (r.price, r.bathrooms) for r in df.collect()}
+    assert got == {1: (10, None), 3: (None, 2.0)}
+    kept = read_delimited(spark, p, SCHEMA, keep_corrupt=True)
+    bad = [r.id for r in kept.select("id", "_corrupt_record").collect()
+           if r._corrupt_record is not None]
+    assert bad == [2]

@@ -32,3 +32,24 @@ def test_stream_scoring_matches_batch_and_is_idempotent(spark):
     again.awaitTermination(300)
     assert spark.read.parquet(sink).count() == len(want)
     assert spark.read.parquet(sink).filter(F.col("prediction").isNull()).count() == 0
+
+
+def test_stream_picks_up_new_files_once(spark):
+    o = priced_orders(spark, SF0001)
+    model = gbt_fit(o, PRICED_ORDER_FEATURES, "price", max_iter=2, key="o_orderkey")
+    src = tempfile.mkdtemp(prefix="roomrate-stream-inc-")
+    out = tempfile.mkdtemp(prefix="roomrate-stream-inc-out-")
+    sink, ck = os.path.join(out, "sink"), os.path.join(out, "ck")
+    first, second = o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 2 = 1")
+    first.write.parquet(os.path.join(src, "part-a"))
+    q = score_stream(spark, model, src, o.schema, sink, ck, keep=["o_orderkey"],
+                     file_glob="*.parquet", max_files_per_trigger=1, recursive=True)
+    q.awaitTermination(300)
+    n1 = spark.read.parquet(sink).count()
+    assert n1 == first.count()
+    second.write.parquet(os.path.join(src, "part-b"))
+    q = score_stream(spark, model, src, o.schema, sink, ck, keep=["o_orderkey"],
+                     file_glob="*.parquet", max_files_per_trigger=1, recursive=True)
+    q.awaitTermination(300)
+    keys = [r.o_orderkey for r in spark.read.parquet(sink).collect()]
+    assert len(keys) == len(set(keys)) == o.count()
