@@ -38,6 +38,9 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--anchor", type=int, required=True)
     c.add_argument("--borough", required=True)
     c.add_argument("--neighbourhood", required=True)
+    c.add_argument("--room-type", default="Private room")
+    c.add_argument("--property-type", default="Apartment")
+    c.add_argument("--bed-type", default="Real Bed")
     c.add_argument("--out")
     a = ap.parse_args(argv)
 
@@ -57,7 +60,10 @@ def main(argv: list[str] | None = None) -> None:
         res.summary.show(truncate=False)
     else:
         rows, summary = listings.comparables(listings.read_listings(spark, a.listings),
-                                             a.anchor, a.borough, a.neighbourhood)
+                                             a.anchor, a.borough, a.neighbourhood,
+                                             room_type=a.room_type,
+                                             property_type=a.property_type,
+                                             bed_type=a.bed_type)
         if a.out:
             rows.write.mode("overwrite").option("header", True).csv(a.out)
         else:

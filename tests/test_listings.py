@@ -136,12 +136,12 @@ def test_cli_comparables(spark, listing_file, capsys):
     from roomrate.__main__ import main
 
     path, rows = listing_file
-    anchor = next(r for r in rows if r[1] == "Queens" and r[2] == "Astoria"
-                  and r[6] == "Private room" and r[5] == "Apartment" and r[11] == "Real Bed"
-                  and r[7] == 1 and r[8] == 1 and r[9] == 1)
+    anchor = next(r for r in rows if r[7] == 1 and r[8] == 1 and r[9] == 1
+                  and r[13] > 0 and r[12] < 1000)
     out = os.path.join(tempfile.mkdtemp(prefix="roomrate-cli-comp-"), "report")
-    main(["comparables", path, "--anchor", str(anchor[0]), "--borough", "Queens",
-          "--neighbourhood", "Astoria", "--out", out])
+    main(["comparables", path, "--anchor", str(anchor[0]), "--borough", anchor[1],
+          "--neighbourhood", anchor[2], "--room-type", anchor[6],
+          "--property-type", anchor[5], "--bed-type", anchor[11], "--out", out])
     text = capsys.readouterr().out
     assert "std_samp" in text
     back = spark.read.option("header", True).csv(out)
