@@ -45,22 +45,30 @@ def zscore_filter(df: DataFrame, col: str, k: float = 2.5,
                   nan_policy: str = "omit", keep_constant: bool = False) -> DataFrame:
     """keep rows with |x - mean| / population std < k (strict).
 
-    ``nan_policy='omit'``: null values are ignored in the moments and their
-    rows dropped; ``'propagate'`` mirrors scipy's default, where one null
-    makes every comparison fail and the result is empty. A constant column
+    ``nan_policy='omit'``: null and NaN values are ignored in the moments and
+    their rows dropped; ``'propagate'`` mirrors scipy's default, where one
+    missing value makes every comparison fail and the result is empty. A constant column
     (std 0) drops every row unless ``keep_constant``.
     """
-    m = df.select(F.avg(col)).scalar()
-    sd = df.select(F.stddev_pop(col)).scalar()
-    cond = _z_condition(F.col(col), m, sd, k, keep_constant)
+    if nan_policy not in ("omit", "propagate"):
+        raise ValueError(f"nan_policy must be 'omit' or 'propagate', not {nan_policy!r}")
+    x = _missing_as_null(df, col) if nan_policy == "omit" else F.col(col)
+    m = df.select(F.avg(x)).scalar()
+    sd = df.select(F.stddev_pop(x)).scalar()
+    cond = _z_condition(x, m, sd, k, keep_constant)
     if nan_policy == "propagate":
         n_null = df.select(F.count(F.lit(1)) - F.count(col)).scalar()
         cond = cond & (n_null == 0)
-    elif nan_policy != "omit":
-        raise ValueError(f"nan_policy must be 'omit' or 'propagate', not {nan_policy!r}")
     return df.filter(cond)
 
 
+def _missing_as_null(df: DataFrame, col: str) -> Column:
+    """NaN (pandas' missing marker) counts as missing, like null."""
+    if dict(df.dtypes)[col] in ("double", "float"):
+        return F.nanvl(F.col(col), F.lit(None).cast("double"))
+    return F.col(col)
+
+
 def _z_condition(x: Column, m: Column, sd: Column, k: float, keep_constant: bool) -> Column:
     z_ok = F.abs((x - m) / F.nullif(sd, F.lit(0.0))) < F.lit(float(k))
     if keep_constant:
@@ -69,7 +77,8 @@ def _z_condition(x: Column, m: Column, sd: Column, k: float, keep_constant: bool
 
 
 def group_moments(df: DataFrame, group: str, col: str) -> DataFrame:
-    return df.groupBy(group).agg(F.avg(col).alias("_mean"), F.stddev_pop(col).alias("_std"))
+    x = _missing_as_null(df, col)
+    return df.groupBy(group).agg(F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_std"))
 
 
 def zscore_filter_by(df: DataFrame, group: str, col: str, k: float = 2.5,
@@ -84,7 +93,8 @@ def zscore_filter_by(df: DataFrame, group: str, col: str, k: float = 2.5,
     """
     stats = group_moments(df, group, col)
     joined = join_small(df, stats, group, "inner", bound=max_groups)
-    cond = _z_condition(F.col(col), F.col("_mean"), F.col("_std"), k, keep_constant)
+    cond = _z_condition(_missing_as_null(df, col), F.col("_mean"), F.col("_std"), k,
+                        keep_constant)
     return joined.filter(cond).select(*[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -249,3 +249,12 @@ def test_bulk_cast_strict_mode(spark):
         [1, 2, None]
     with pytest.raises(ValueError):
         cols.bulk_cast(df, {"int": ["t"]}, on_bad="drop")
+
+
+def test_zscore_nan_is_missing_in_omit_mode(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, float("nan")), (4, 3.0)],
+                               "id int, x double")
+    assert {r.id for r in flt.zscore_filter(df, "x", 2.5).collect()} == {1, 2, 4}
+    assert flt.zscore_filter(df, "x", 2.5, nan_policy="propagate").count() == 0
+    g = df.withColumn("g", F.lit("a"))
+    assert {r.id for r in flt.zscore_filter_by(g, "g", "x", 2.5).collect()} == {1, 2, 4}
