@@ -133,15 +133,22 @@ class Words:
         self.end = self.start + lens
         #: words of document i are bounds[i]:bounds[i + 1]
         self.bounds = np.searchsorted(self.start, offsets)
-        self.hash = self._hash(inside, at, lens)
-
-    @staticmethod
-    def _hash(inside: np.ndarray, at: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        if not len(at):
-            return np.zeros(0, np.uint64)
-        pos = np.arange(len(inside)) - np.repeat(at, lens)
-        vals = _BYTE_VALUE[inside] * _powers(int(lens.max()))[pos]
-        return mix64(np.add.reduceat(vals, at))
+        self._at = at
+        if len(at):
+            pos = np.arange(len(inside)) - np.repeat(at, lens)
+            self._terms = _BYTE_VALUE[inside] * _powers(int(lens.max()))[pos]
+            self.hash = mix64(np.add.reduceat(self._terms, at))
+        else:
+            self._terms = self.hash = np.zeros(0, np.uint64)
+
+    def stems(self, n: int, which: np.ndarray) -> np.ndarray:
+        """Hashes of the first ``n`` bytes of the words of ``which``, all of
+        which have more. A stem never equals a whole word's hash."""
+        at = self._at[which]
+        x = np.full(len(at), 0x5851F42D4C957F2D, np.uint64)
+        for j in range(n):
+            x += self._terms[at + j]
+        return mix64(x)
 
     def __len__(self) -> int:
         return len(self.start)

@@ -13,10 +13,10 @@ Interpolated Kneser-Ney: P(c | ab) = (n(abc) - D)/n(ab.) + D * t(ab)/n(ab.) * P(
 with continuation counts for the lower orders and a uniform floor.
 
 The prediction is the language of the lowest cross-entropy per character.
-Rejection is calibrated: on a bounded sample of training documents
-(``CALIBRATION`` per language) the mean and the spread of the cross-entropy
-give, for each language, the highest value that a text of n characters may
-have; a text above it is in no learned language.
+Rejection is calibrated: a text is in no learned language if its best model
+fits it no better than that model fits texts of the other languages (the
+median over a bounded sample of training documents, ``CALIBRATION`` per
+language), with room for the spread of short texts.
 
 Defined results: null texts and texts without a letter are ``und``, rejected,
 score 0. Ties go to the language that sorts first. With nothing to learn from,
@@ -40,8 +40,8 @@ SPACE = 32
 DISCOUNT = 0.75
 #: Documents per language whose cross-entropy calibrates the rejection.
 CALIBRATION = 1_000
-#: Standard errors and nats above the mean that are still accepted.
-SLACK_Z, SLACK_NATS = 6.0, 0.5
+#: Standard errors above the limit that are still accepted, for short texts.
+SLACK_Z = 4.0
 #: Characters in a prediction's favour that count at most for its score.
 SCORE_CHARS = 50
 UND = "und"
@@ -202,7 +202,7 @@ class Model:
     ctx: list[np.ndarray]          # per order: sorted contexts
     log_weight: list[np.ndarray]   # per order: (context, language); 0 if unseen
     floor: float                   # log-probability of a symbol never seen
-    limit: np.ndarray | None = None  # per language: mean, spread of the cross-entropy
+    limit: np.ndarray | None = None  # per language: highest cross-entropy, spread
 
     def _level(self, codes: np.ndarray, k: int) -> np.ndarray:
         n_lang = len(self.languages)
@@ -264,39 +264,38 @@ def _assemble(counts, order: int) -> Model | None:
 
 
 def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str, id_col: str) -> None:
-    """Mean and spread (of one character's share) of the cross-entropy of the
-    right language over at most ``CALIBRATION`` documents per language,
-    those of the smallest hashed ids."""
+    """For each language, the cross-entropy that its model gives texts of the
+    other languages (median; of even odds over all symbols, if there is no
+    other) and the spread of one character's share, over about
+    ``CALIBRATION`` documents per language, those of small hashed ids."""
     box = train.sparkSession.sparkContext.broadcast(model)
-    # the share of rows to look at follows from the counts, so at most a few
-    # thousand scalars come back
-    sizes = {r[0]: r[1] for r in train.groupBy(lang_col).count().collect()}
+    # at most a few thousand rows of scalars come back
+    sizes = {r[0]: r[1] for r in train.groupBy(F.col(lang_col).cast("string")).count().collect()}
     share = F.create_map(*[x for lang in sizes for x in (
         F.lit(lang), F.lit(min(1.0, CALIBRATION / sizes[lang])))])
     u = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    sample = train.filter(u < share[F.col(lang_col)])
+    sample = train.filter(u < share[F.col(lang_col).cast("string")])
 
     def run(batches):
         m = box.value
         for b in batches:
             for langs, raw, offsets in string_slices(b.column(0), b.column(1)):
                 n, h = m.cross_entropy(raw, offsets)
-                at = np.array([m.languages.index(x) for x in langs.to_pylist()], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [langs, pa.array(n, pa.int64()), pa.array(h[np.arange(len(at)), at])],
+                    [langs, pa.array(n, pa.int64()), pa.array(list(h), pa.list_(pa.float64()))],
                     ["lang", "n", "h"])
 
-    stats = (sample.select(F.col(lang_col).cast("string"), text_col)
-             .mapInArrow(run, "lang string, n long, h double").filter("n > 0"))
-    got = {r["lang"]: r for r in stats.groupBy("lang").agg(
-        F.collect_list(F.struct("n", "h")).alias("all")).collect()}
-    limit = np.full((len(model.languages), 2), np.inf)
-    for j, lang in enumerate(model.languages):
-        if lang in got:
-            n = np.array([x["n"] for x in got[lang]["all"]], np.float64)
-            h = np.array([x["h"] for x in got[lang]["all"]])
-            mean = float(np.median(h))
-            limit[j] = mean, float(np.sqrt(np.mean(np.minimum(n * (h - mean) ** 2, 25.0))))
+    got = (sample.select(F.col(lang_col).cast("string"), text_col)
+           .mapInArrow(run, "lang string, n long, h array<double>").filter("n > 0").toPandas())
+    limit = np.tile([-model.floor, 0.0], (len(model.languages), 1))
+    if len(got):
+        n, h = got["n"].to_numpy(np.float64), np.stack(got["h"].to_numpy())
+        for j, lang in enumerate(model.languages):
+            own = (got["lang"] == lang).to_numpy()
+            if (~own).any():
+                limit[j, 0] = np.median(h[~own, j])
+            if own.any():
+                limit[j, 1] = np.sqrt(np.mean(np.minimum(n[own] * (h[own, j] - np.median(h[own, j])) ** 2, 25.0)))
     model.limit = limit
 
 
@@ -319,8 +318,8 @@ def _predict_slice(model: Model | None, raw: np.ndarray, offsets: np.ndarray) ->
     low = h[np.arange(n_docs), best]
     gain = np.exp(-(h - low[:, None]) * np.minimum(n, SCORE_CHARS)[:, None])
     score = np.where(n > 0, 1.0 / gain.sum(axis=1), 0.0)
-    mean, spread = model.limit[best, 0], model.limit[best, 1]
-    reject = (n == 0) | (low > mean + SLACK_NATS + SLACK_Z * spread / np.sqrt(np.maximum(n, 1)))
+    limit, spread = model.limit[best, 0], model.limit[best, 1]
+    reject = (n == 0) | (low > limit + SLACK_Z * spread / np.sqrt(np.maximum(n, 1)))
     lang = [model.languages[i] if k else UND for i, k in zip(best.tolist(), n.tolist())]
     return lang, score, np.where(n > 0, low, np.nan), reject
 

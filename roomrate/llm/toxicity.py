@@ -5,17 +5,18 @@ documents are unlabelled, toxic ones among them. With class prior p the risk
 of a classifier is p * R+(positives) + max(0, R-(unlabelled) - p * R-(positives)):
 the part of the unlabelled risk that the hidden positives cause is taken off,
 and the rest is held at or above 0 (Kiryo et al., 2017). The classifier is
-a logistic model over the presence of words, trained in numpy on the driver
+a logistic model over the presence of words and word stems, trained in numpy on the driver
 from a bounded sample: at most ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
-documents, those of the smallest hashed ids, and ``MAX_WORDS`` words. Every
+documents, those of the smallest hashed ids, and ``MAX_WORDS`` features. Every
 document is scored, from its whole text alone.
 
-Words are hashed (64 bits) after ASCII lower-casing. Those whose share among
+Words, and their stems of ``STEMS`` bytes, are hashed (64 bits) after ASCII
+lower-casing. Those whose share among
 positives exceeds that expected of negatives (the prior-corrected share of
 unlabelled documents) most, and most surely, become features.
 
 Defined results: null and empty texts have no words and get the score of the
-intercept. Without positives or without unlabelled documents every score is
+bias. Without positives or without unlabelled documents every score is
 the prior. Ids and all columns but the text are not inputs of a score.
 """
 
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 
 from roomrate.llm.common import ALNUM, Words, lower_ascii, staged, string_slices
 
-MAX_POSITIVE, MAX_UNLABELLED = 3_000, 12_000
+MAX_POSITIVE, MAX_UNLABELLED = 2_000, 8_000
+#: Lengths of the stems (beginnings of longer words), in bytes.
+STEMS = (3, 4, 5, 6, 7, 8)
 MAX_WORDS = 1_000
 #: A word has to be in this many sampled documents, and a share this many
 #: standard errors from what the other class explains, to be a feature.
@@ -43,22 +46,38 @@ DEFAULT_PRIOR = 0.1
 class Model:
     words: np.ndarray    # sorted word hashes
     weights: np.ndarray
-    intercept: float
+    bias: float
 
     def scores(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         doc, feature = present(raw, offsets, self.words)
-        z = self.intercept + np.bincount(doc, self.weights[feature], minlength=len(offsets) - 1)
+        z = self.bias + np.bincount(doc, self.weights[feature], minlength=len(offsets) - 1)
         return 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
 
 
+def _hashes(raw: np.ndarray, offsets: np.ndarray):
+    """(document, hash) of every word and stem, an array pair at a time."""
+    words = Words(lower_ascii(raw), offsets, ALNUM)
+    if not len(words):
+        return
+    doc = words.doc_of_word()
+    yield doc, words.hash
+    lens = words.end - words.start
+    for n in STEMS:
+        longer = lens > n
+        yield doc[longer], words.stems(n, longer)
+
+
 def present(raw: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tuple:
     """Distinct (document, feature) pairs of a slice."""
-    words = Words(lower_ascii(raw), offsets, ALNUM)
-    if not len(words) or not len(vocabulary):
+    pairs = []
+    if len(vocabulary):
+        for doc, h in _hashes(raw, offsets):
+            i = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+            known = np.flatnonzero(vocabulary[i] == h)
+            pairs.append(doc[known] * len(vocabulary) + i[known])
+    if not pairs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    i = np.minimum(np.searchsorted(vocabulary, words.hash), len(vocabulary) - 1)
-    known = vocabulary[i] == words.hash
-    pair = np.unique(words.doc_of_word()[known] * len(vocabulary) + i[known])
+    pair = np.unique(np.concatenate(pairs))
     return pair // len(vocabulary), pair % len(vocabulary)
 
 
@@ -75,10 +94,13 @@ def _word_counts(sample: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for kinds, raw, offsets in string_slices(b.column(0), b.column(1)):
-                words = Words(lower_ascii(raw), offsets, ALNUM)
                 kind = np.array(kinds.to_pylist(), bool)
-                order = np.lexsort((words.doc_of_word(), words.hash))
-                h, d = words.hash[order], words.doc_of_word()[order]
+                found = list(_hashes(raw, offsets))
+                if not found:
+                    continue
+                d, h = (np.concatenate(x) for x in zip(*found))
+                order = np.lexsort((d, h))
+                h, d = h[order], d[order]
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
                 u, at = np.unique(h[new], return_inverse=True)
@@ -125,7 +147,7 @@ def _matrix(sample: DataFrame, words: np.ndarray) -> tuple[list[np.ndarray], np.
 
 
 def train_nnpu(x: np.ndarray, positive: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
-    """Weights and intercept of the logistic model of the smallest
+    """Weights and bias of the logistic model of the smallest
     non-negative PU risk (Adam, full batches; where the negative part of the
     risk falls below 0 a step raises it instead)."""
     xp, xu = x[positive], x[~positive]
@@ -182,8 +204,8 @@ def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc
     x = np.zeros((len(lists), len(words)), np.float32)
     for i, f in enumerate(lists):
         x[i, f] = 1
-    weights, intercept = train_nnpu(x, positive, prior)
-    return Model(words, weights, intercept)
+    weights, bias = train_nnpu(x, positive, prior)
+    return Model(words, weights, bias)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
