@@ -120,6 +120,14 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _passes(kind: str):
+    return lambda s: valid(kind, s["value"])
+
+
+def _is(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, base, loose): arrays of spans of every row."""
     clean = docs.select(id_col, F.translate(F.coalesce(F.col(text_col), F.lit("")), "\u0001", "\u0002")
@@ -127,7 +135,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col("text")
     digit = text.rlike("[0-9]")
     may = {"email": F.contains(text, F.lit("@")), "phone": F.contains(text, F.lit("+"))}
-    base = [F.when(may.get(k, digit), F.filter(spans(text, p, k, True), lambda s, k=k: valid(k, s["value"])))
+    base = [F.when(may.get(k, digit), F.filter(spans(text, p, k, True), _passes(k)))
             .otherwise(F.array().cast(_SPAN)) for k, p in BASE.items()]
     loose_may = {"email": F.contains(text, F.lit("@")) | text.rlike(r"[(\[{]at[)\]}]"),
                  "secret": text.rlike(r"[=:]")}
@@ -290,5 +298,5 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     def text(col):
         return F.array_join(F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    n = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    n = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in BASE]
     return found.select(id_col, *n, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
