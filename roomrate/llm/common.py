@@ -18,6 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from roomrate.session import checkpoint_root, scratch_path
 
 SLICE_BYTES = 1 << 20
+#: Largest table of a few integers a row that is broadcast after its rows are
+#: counted; a larger one is joined by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -5,8 +5,9 @@ each shingle to a place in a universe of 2**32, the second, shifted by k
 places, orders the universe for coordinate k, and the smallest value is the
 coordinate. Both are bijections, so this is one initial permutation and one
 circularly shifted one. ``BANDS`` bands of ``ROWS`` coordinates: a pair at
-the threshold 0.85 misses every band with probability
-(1 - 0.85**6)**32 < 3e-7, and pairs above it less.
+the threshold 0.8 misses every band with probability
+(1 - 0.8**5)**38 < 3e-7, and pairs above it less; at a threshold of 0.85, 32
+bands of 6 give the same.
 
 1. One pass over the documents: number of shingles, a 128-bit key of the
    shingle set, the band keys. Documents with equal sets are one class from
@@ -29,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import (NOT_SPACE, Words, lower_ascii, mix64, shingle_hashes, staged,
+from roomrate.llm.common import (BROADCAST_ROWS, NOT_SPACE, Words, lower_ascii, mix64, shingle_hashes, staged,
                                  string_slices)
 from roomrate.llm.components import components
 
-ROWS, BANDS = 6, 32
+ROWS, BANDS = 5, 38
 #: Sizes of a chunk of a cluster in verification: documents, shingles.
 CHUNK_DOCS, CHUNK_SHINGLES = 512, 400_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -210,8 +211,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     Two rows are linked if 100 * |A & B| >= percent * |A | B| on their sets of
     ``shingle``-word shingles (the whole sequence if there are fewer words);
     ``component_id`` is the smallest id reachable. Null and empty texts have
-    no set and are linked with nothing. Rows that repeat an id are judged each
-    by its own text. Other columns are not read. Ids are integers.
+    no set and are linked with nothing. Rows that repeat an id are one
+    document, with the links of all its texts. Other columns are not read. Ids
+    are integers.
     """
     sig = staged(signatures(docs, shingle, rows, bands, id_col, text_col), "signatures")
     keys = ["key_a", "key_b", "n_shingles"]
@@ -231,3 +233,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
            .withColumn("component_id", F.coalesce("component_id", "id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
                       (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         **parameters) -> DataFrame:
+    """The rows of ``docs`` that are the first of their group, columns as they
+    were. Rows whose id is null stay."""
+    gone = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
+                  .filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct(), "near-duplicates")
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")

@@ -80,18 +80,20 @@ def spans(text: Column, pattern: str, kind: str, base: bool) -> Column:
     """Array of the pattern's matches in ``text`` (no U+0001 in it)."""
     parts = F.split(F.regexp_replace(text, pattern, "\u0001$0\u0001"), "\u0001")
 
-    def add(acc, part):
-        end = acc["at"] + F.length(part)
-        one = F.struct(F.lit(kind).alias("kind"), acc["at"].alias("start"), end.alias("end"),
-                       part.alias("value"),
-                       F.substring(text, F.greatest(acc["at"] - AROUND + 1, F.lit(1)),
-                                   F.least(F.lit(AROUND), acc["at"])).alias("before"),
-                       F.substring(text, end + 1, F.lit(2)).alias("after"), F.lit(base).alias("base"))
-        return F.struct(end.alias("at"), (~acc["hit"]).alias("hit"),
-                        F.when(acc["hit"], F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), F.array().cast(_SPAN).alias("out"))
-    return F.when(F.size(parts) > 1, F.aggregate(parts, start, add)["out"]).otherwise(F.array().cast(_SPAN))
+    # where each part ends; every other part is a match
+    ends = F.aggregate(parts, F.array(F.lit(0)), lambda acc, part: F.concat(
+        acc, F.array(F.element_at(acc, -1) + F.length(part))))
+
+    def cuts(row):
+        p, e = row["p"], row["e"]
+        return F.transform(F.sequence(F.lit(1), F.size(p) - 2, F.lit(2)), lambda i: F.struct(
+            F.lit(kind).alias("kind"), e[i].alias("start"), e[i + 1].alias("end"), p[i].alias("value"),
+            F.right(p[i - 1], F.lit(AROUND)).alias("before"), F.left(p[i + 1], F.lit(2)).alias("after"),
+            F.lit(base).alias("base")))
+
+    # parts and ends are bound to a name, so that they are found once per text
+    once = F.array(F.struct(parts.alias("p"), ends.alias("e")))
+    return F.when(F.size(parts) > 1, F.flatten(F.transform(once, cuts))).otherwise(F.array().cast(_SPAN))
 
 
 def _digits(value: Column) -> Column:

@@ -66,7 +66,7 @@ def op9_language(spark, sf_dir):
 @query
 def op10_minhash(spark, sf_dir):
     """Near-duplicate groups of documents: 3-word shingles, Jaccard 0.85."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85, rows=6, bands=32)
 
 
 @query

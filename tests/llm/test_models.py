@@ -1,0 +1,122 @@
+"""Language and toxicity models: held-out accuracy, awkward rows (operators 7, 9)."""
+
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from llm_fixtures import awkward, docs, nothing  # noqa: F401
+from roomrate.llm import langid, toxicity
+from roomrate.llm.queries import QUERIES
+
+
+def test_language_held_out(spark):
+    got = QUERIES["op9_language"](spark, SF001)
+    assert got.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    rows = got.collect()
+    assert len(rows) == len(truth)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    out = [r for r in rows if r.held_out]
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in out]) > 0.98
+    assert np.mean([r.rejected for r in rows]) < 0.005
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_awkward(spark, docs, awkward, nothing):
+    model = langid.fit(docs, F.lit(True))
+    rows = {r.doc_id: r for r in langid.predict(awkward, model).collect()}
+    for i in (1, 2, 3, 9):
+        assert (rows[i].lang_pred, rows[i].score, rows[i].rejected) == ("und", 0.0, True)
+    assert rows[5].lang_pred in model.languages
+    assert langid.predict(nothing, model).count() == 0
+    kept = langid.drop_rejected(awkward, model)
+    assert kept.columns == awkward.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(
+        r.doc_id for r in langid.predict(awkward, model).filter("not rejected").collect())
+    none = langid.fit(nothing, F.lit(True))
+    assert none is None
+    assert all(r.lang_pred == "und" for r in langid.predict(awkward, none).collect())
+    other = spark.createDataFrame([(1, "Привет как дела сегодня " * 20), (2, "xqzk wvxj qqzx " * 30)],
+                                  "doc_id long, text string")
+    assert langid.drop_rejected(other, model).count() == 0
+
+
+def test_language_counts_are_whole(docs):
+    rows = docs.limit(30).collect()
+    some = docs.filter(F.col("doc_id").isin([r.doc_id for r in rows]))
+    want = {}
+    for r in rows:
+        s = " " + "".join(c if c.isalpha() else " " for c in r.text.lower()) + " "
+        s = " ".join(["", *s.split(), ""]) if not r.text.lower()[-1:].isalpha() else " " + " ".join(s.split()) + " "
+        n = len(s) - 2
+        want[r.lang] = want.get(r.lang, 0) + n
+    got = {r[0]: r[1] for r in langid.count_ngrams(some, 3, "lang", "text").groupBy("lang")
+           .agg(F.sum("n")).collect()}
+    for lang, n in want.items():
+        assert abs(got[lang] - n) <= 2 * len(rows)
+
+
+def test_kneser_ney_sums_to_one():
+    rng = np.random.default_rng(0)
+    sym = rng.integers(97, 103, 4000)
+    codes, counts = np.unique((sym[:-2] << 16) | (sym[1:-1] << 8) | sym[2:], return_counts=True)
+    tables = langid._kneser_ney(codes, counts, 3, 6)
+    t = tables[-1]
+    for c in t["ctx"]:
+        own = t["p"][(t["codes"] >> 8) == c].sum()
+        seen = t["codes"][(t["codes"] >> 8) == c] & 255
+        low = tables[1]
+        last = c & 255
+        rest = low["p"][((low["codes"] >> 8) == last) & ~np.isin(low["codes"] & 255, seen)].sum()
+        total = own + t["weight"][t["ctx"] == c][0] * rest
+        assert total <= 1 + 1e-9
+        assert total > 0.9
+
+
+def test_toxicity_held_out(spark):
+    got = QUERIES["op7_toxicity"](spark, SF001)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
+    rows = got.collect()
+    assert len(rows) == spark.read.parquet(f"{SF001}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    known = [(r.score, toxic[r.doc_id]) for r in rows if r.doc_id in toxic]
+    pos, neg = [s for s, y in known if y], [s for s, y in known if not y]
+    auc = np.mean([(p > n) + 0.5 * (p == n) for p in pos for n in neg])
+    assert auc > 0.85
+
+
+def test_toxicity_ignores_labels_of_the_held_out_fold(spark, docs):
+    labels = spark.createDataFrame([(r.doc_id, r.doc_id % 3 == 0) for r in docs.collect()], "doc_id long, toxic boolean")
+    labels = labels.withColumn("toxic", F.col("toxic").cast("int"))
+    out = langid.held_out("doc_id", 5, 0)
+    a = toxicity.fit(docs, labels, ~out)
+    b = toxicity.fit(docs, labels.withColumn("toxic", F.when(out, 1 - F.col("toxic")).otherwise(F.col("toxic"))), ~out)
+    assert np.array_equal(a.words, b.words) and np.array_equal(a.weights, b.weights)
+
+
+def test_nnpu_finds_the_signal_behind_unlabelled_positives():
+    rng = np.random.default_rng(0)
+    y = rng.random(4000) < 0.3
+    x = (rng.random((4000, 20)) < 0.2).astype(np.float32)
+    x[y, 0] = 1
+    labelled = y & (rng.random(4000) < 0.3)
+    w, b = toxicity.train_nnpu(x, labelled, 0.23)
+    s = x @ w + b
+    assert w.argmax() == 0
+    assert np.mean((s > 0)[y & ~labelled]) > 0.9
+
+
+def test_toxicity_awkward(spark, docs, awkward, nothing):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    rows = {r.doc_id: r.score for r in toxicity.score(awkward, model).collect()}
+    assert rows[1] == rows[2] == rows[3] == rows[9]
+    assert toxicity.score(nothing, model).count() == 0
+    none = toxicity.fit(docs, labels.limit(0), F.lit(True))
+    assert {round(r.score, 6) for r in toxicity.score(awkward, none).collect()} == {0.1}
+    odd = labels.limit(3).withColumn("toxic", F.lit(None).cast("int"))
+    assert toxicity.score(awkward, toxicity.fit(awkward, odd, F.lit(True))).count() == awkward.count()
