@@ -21,8 +21,8 @@ def annotate_count(df: DataFrame, by: str, name: str = "count",
 
     Aggregate-then-join rather than ``count(*) OVER (PARTITION BY by)``: the
     window moves every row into its key's partition, the aggregate moves
-    only partial counts, and the counts table (one row per value) is
-    broadcast when its size is proven small.
+    only partial counts; how the counts (one row per value, null included)
+    are joined back is decided at run time by their real size.
     """
     counts = count_by(df, by, name)
     out = join_small(df, counts, by, "inner", bound=max_groups)

@@ -27,12 +27,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomrate.operators.encode import assembler
+from roomrate.operators.encode import drop_feature_columns, feature_stages
 
 MAX_CENTRES = 10_000
-# Iterative MLlib fits pay a scheduling cost per task and per pass; give
-# each task at least this many rows, and never more tasks than the
-# session's shuffle partitions.
+# Rows per task of an iterative fit. The number of tasks decides a fit's
+# result, so it follows from the data alone, never from the session.
 ML_ROWS_PER_PARTITION = 20_000
 
 
@@ -40,22 +39,23 @@ def deterministic_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
-def fit_partitions(df: DataFrame, cap: int | None = None,
-                   rows_per_partition: int = ML_ROWS_PER_PARTITION) -> int:
+def fit_partitions(df: DataFrame, rows_per_partition: int = ML_ROWS_PER_PARTITION) -> int:
     """Partition count for an iterative fit: rows / ``rows_per_partition``,
-    between 1 and ``cap`` (default: spark.sql.shuffle.partitions). Costs
-    one count over the (pruned) input - small next to the fit's passes."""
-    cap = cap or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = df.count()
-    return max(1, min(cap, -(-n // rows_per_partition)))
+    at least 1. Costs one count over the (pruned) input - small next to the
+    fit's passes."""
+    return partitions_for(df.count(), rows_per_partition)
+
+
+def partitions_for(rows: int, rows_per_partition: int = ML_ROWS_PER_PARTITION) -> int:
+    return max(1, -(-rows // rows_per_partition))
 
 
 def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
                key: str | None = None, partitions: int | None = None,
                max_iter: int = 20, scale: bool = False,
-               cluster_col: str = "cluster") -> PipelineModel:
-    """M2 fit: assemble ``inputs`` by name (rows with nulls skipped),
-    optionally standardise (the reference clustered unscaled mixed units;
+               cluster_col: str = "cluster", missing: str = "impute") -> PipelineModel:
+    """M2 fit: assemble ``inputs`` by name (missing values as ``missing``
+    says, see ``encode.feature_stages``), optionally standardise (the reference clustered unscaled mixed units;
     ``scale=False`` keeps that), then K-means. With ``key`` the rows are
     first laid out by key (see the module docstring); either way only the
     key and inputs are kept, persisted for the fit and released after."""
@@ -69,7 +69,7 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
     # K-means makes ~20 passes: materialise its input once for the fit, so
     # no pass replays the lineage above it (upstream models, subqueries)
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    stages = [assembler(inputs, "_features", "skip")]
+    stages = feature_stages(df, inputs, "_features", missing)
     feat = "_features"
     if scale:
         stages.append(StandardScaler(inputCol=feat, outputCol="_scaled", withMean=True, withStd=True))
@@ -86,7 +86,7 @@ def kmeans_assign(model: PipelineModel, df: DataFrame) -> DataFrame:
     """M2 transform: every input column plus the cluster id. Because the row
     key travels through ``transform`` there is nothing to join back."""
     out = model.transform(df)
-    return out.drop(*[c for c in ("_features", "_scaled") if c in out.columns])
+    return drop_feature_columns(out, "_features", "_scaled")
 
 
 def label_centres(df: DataFrame, vec_col: str, label: str) -> DataFrame:
@@ -117,7 +117,7 @@ def nearest_centre(vec: Column, centres: list[tuple[int, list[float]]],
     return F.array_min(F.array(*cands))["id"]
 
 
-def nearest_centre_arrow(vec: Column, centres: list[tuple[int, list[float]]],
+def nearest_centre_arrow(spark: SparkSession, vec: Column, centres: list[tuple[int, list[float]]],
                          decimals: int = 9) -> Column:
     """Same result as ``nearest_centre``, computed per Arrow batch with numpy.
 
@@ -132,7 +132,7 @@ def nearest_centre_arrow(vec: Column, centres: list[tuple[int, list[float]]],
     out_type = "int" if ids.size == 0 or np.abs(ids).max() < 2**31 else "bigint"
     # the centre matrix travels once per executor as a broadcast, not inside
     # every task's closure (K x dim doubles can be megabytes)
-    centres_bc = SparkSession.active().sparkContext.broadcast(
+    centres_bc = spark.sparkContext.broadcast(
         np.array([c for _, c in centres], dtype=np.float64))
 
     @F.pandas_udf(out_type)
@@ -163,7 +163,7 @@ def assign_nearest(df: DataFrame, vec_col: str, centres: list[tuple[int, list[fl
     functions only)."""
     centres = sorted(centres, key=lambda t: t[0])
     if method == "arrow":
-        return df.withColumn(name, nearest_centre_arrow(F.col(vec_col), centres))
+        return df.withColumn(name, nearest_centre_arrow(df.sparkSession, F.col(vec_col), centres))
     if method == "sql":
         return df.withColumn(name, nearest_centre(F.col(vec_col), centres))
     raise ValueError("method must be 'arrow' or 'sql'")

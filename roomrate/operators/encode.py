@@ -1,41 +1,39 @@
 """Category encoding and feature vectors.
 
-The vocabulary of a category column is the one thing we collect: it is the
-set of distinct values, bounded by ``max_levels`` (checked with a
-``limit(max_levels + 1)`` so an unexpectedly wide column fails fast rather
-than producing a million columns). The wide 0/1 table is then one
-``select``; for model input prefer ``one_hot_vector`` (sparse vector, no
-wide schema).
+The vocabulary of a category column is the one thing we collect: its distinct
+values, one column each in the wide 0/1 table. ``max_levels``, if given, makes
+a wider column an error instead. For columns of many levels prefer
+``one_hot_vector`` (sparse vector, no wide schema, nothing collected here).
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
+from functools import reduce
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 1000
 
-
-def vocabulary(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list:
+def vocabulary(df: DataFrame, col: str, max_levels: int | None = None) -> list:
     """Sorted distinct non-null values of ``col`` (small by contract)."""
     rows = (df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
+            .orderBy(col).collect())
+    if max_levels is not None and len(rows) > max_levels:
         raise ValueError(f"{col} has more than {max_levels} distinct values; "
                          "use one_hot_vector for high-cardinality columns")
     return [r[0] for r in rows]
 
 
-def vocabularies(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+def vocabularies(df: DataFrame, cols: list[str], max_levels: int | None = None) -> dict[str, list]:
     """Sorted vocabularies of several columns in one pass over ``df``.
 
     String columns are stacked into (column, value) pairs and de-duplicated
     by one distributed ``distinct`` (partial-aggregated, so a value owning a
-    third of the rows costs nothing extra); at most ``len(cols) *
-    max_levels + 1`` pairs are collected. Other column types take one job
+    third of the rows costs nothing extra). Other column types take one job
     each.
     """
     types = dict(df.dtypes)
@@ -46,16 +44,10 @@ def vocabularies(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -
                                     for c in strings])).alias("p")
         stacked = (df.select(pairs).select("p.col", "p.val").where(F.col("val").isNotNull())
                    .distinct())
-        # pigeonhole: more than L*M pairs means some column has more than M
-        # levels; otherwise the collected set is complete
-        cap = len(strings) * max_levels
-        rows = stacked.limit(cap + 1).collect()
-        if len(rows) > cap:
-            raise ValueError(f"one of {strings} has more than {max_levels} distinct values; "
-                             "use one_hot_vector for high-cardinality columns")
+        rows = stacked.collect()
         for c in strings:
             vals = sorted(r["val"] for r in rows if r["col"] == c)
-            if len(vals) > max_levels:
+            if max_levels is not None and len(vals) > max_levels:
                 raise ValueError(f"{c} has more than {max_levels} distinct values; "
                                  "use one_hot_vector for high-cardinality columns")
             out[c] = vals
@@ -66,15 +58,24 @@ def vocabularies(df: DataFrame, cols: list[str], max_levels: int = MAX_LEVELS) -
 
 
 def dummy_name(source: str, value) -> str:
-    """``<source>_<value>`` with every non-alphanumeric run replaced by
-    ``_``; the reference named dummies by the raw value, so the same value
-    in two columns collided and names such as ``Entire home/apt`` needed
-    quoting everywhere."""
-    return re.sub(r"[^0-9A-Za-z]+", "_", f"{source}_{value}").strip("_")
+    """``<source>_<value>`` with every run of other characters than letters
+    (of any script) and digits replaced by ``_``; the reference named dummies
+    by the raw value, so the same value in two columns collided and names such
+    as ``Entire home/apt`` needed quoting everywhere."""
+    return re.sub(r"[\W_]+", "_", f"{source}_{value}").strip("_")
+
+
+def dummy_names(source: str, values: list) -> list[str]:
+    """Names of the dummies of one column. Values whose names would be equal
+    (they differ in punctuation or case only) get a short hash of the value."""
+    plain = [dummy_name(source, v) for v in values]
+    count = Counter(n.lower() for n in plain)
+    return [n if count[n.lower()] == 1 and n.lower() != source.lower() else
+            f"{n}_{hashlib.md5(str(v).encode()).hexdigest()[:6]}" for n, v in zip(plain, values)]
 
 
 def one_hot(df: DataFrame, cols: list[str] | str, vocab: dict[str, list] | None = None,
-            drop_source: bool = True, max_levels: int = MAX_LEVELS) -> DataFrame:
+            drop_source: bool = True, max_levels: int | None = None) -> DataFrame:
     """One int 0/1 column per level, no level dropped. A value absent
     from a supplied vocabulary (e.g. seen only in test rows) gets all 0."""
     cols = [cols] if isinstance(cols, str) else list(cols)
@@ -85,8 +86,7 @@ def one_hot(df: DataFrame, cols: list[str] | str, vocab: dict[str, list] | None
     new_cols = []
     seen = set(c.lower() for c in df.columns)
     for c in cols:
-        for v in vocab[c]:
-            name = dummy_name(c, v)
+        for name, v in zip(dummy_names(c, vocab[c]), vocab[c]):
             if name.lower() in seen:
                 raise ValueError(f"dummy column {name!r} collides with an existing column")
             seen.add(name.lower())
@@ -115,6 +115,43 @@ def assembler(inputs: list[str], output: str = "features",
                            handleInvalid=handle_invalid)
 
 
+MISSING = ("impute", "skip", "error")
+
+
+def feature_stages(df: DataFrame, inputs: list[str], output: str = "features",
+                   missing: str = "impute") -> list:
+    """Stages that turn ``inputs`` into one vector, with a stated choice for
+    missing values (null, NaN): ``impute`` puts the median of the rows the
+    pipeline is fitted on (training rows) in their place, so that every row is
+    fitted, clustered and scored; ``skip`` leaves such rows out (count them
+    with ``missing_counts``); ``error`` fails. Columns that cannot be null and
+    vector columns are taken as they are."""
+    if missing not in MISSING:
+        raise ValueError(f"missing must be one of {MISSING}, not {missing!r}")
+    if missing != "impute":
+        return [assembler(inputs, output, missing)]
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    gaps = [f.name for f in df.schema.fields if f.name in inputs and f.nullable
+            and (f.dataType.simpleString() in numbers or f.dataType.simpleString().startswith("decimal"))]
+    filled = {c: f"_filled_{c}" for c in gaps}
+    stages = [Imputer(strategy="median", inputCols=gaps, outputCols=[filled[c] for c in gaps])] if gaps else []
+    return [*stages, assembler([filled.get(c, c) for c in inputs], output, "error")]
+
+
+def drop_feature_columns(df: DataFrame, *more: str) -> DataFrame:
+    """Without the columns that the feature stages added."""
+    return df.drop(*[c for c in df.columns if c.startswith("_filled_") or c in more])
+
+
+def missing_counts(df: DataFrame, inputs: list[str]) -> DataFrame:
+    """One row: rows, rows with any missing input, and missing values by input."""
+    gap = {c: (F.col(f"`{c}`").isNull() | F.isnan(c) if dict(df.dtypes)[c] in ("double", "float")
+               else F.col(f"`{c}`").isNull()) for c in inputs}
+    some = reduce(lambda a, b: a | b, gap.values(), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(some).alias("n_incomplete"),
+                  *[F.count_if(g).alias(c) for c, g in gap.items()])
+
+
 def assemble(df: DataFrame, inputs: list[str], label: str | None = None,
              output: str = "features", handle_invalid: str = "skip",
              keep: list[str] | None = None) -> DataFrame:

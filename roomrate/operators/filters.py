@@ -85,9 +85,9 @@ def zscore_filter_by(df: DataFrame, group: str, col: str, k: float = 2.5,
                      keep_constant: bool = False, max_groups: int | None = None) -> DataFrame:
     """the z-score test inside each group.
 
-    Per-group moments are one partial+final aggregate; the moments table
-    has one row per group and is broadcast when its size is proven small
-    (``max_groups``, e.g. K for clusters, or a count). The window form
+    Per-group moments are one partial+final aggregate; the moments table has
+    one row per group (the null group included) and carries a broadcast hint
+    only when ``max_groups`` bounds it (K clusters). The window form
     (``avg OVER (PARTITION BY g)``) would shuffle every row and put a hot
     group in one task, so it is not used.
     """
@@ -118,9 +118,10 @@ def in_set(df: DataFrame, col: str, values: list) -> DataFrame:
 
 
 def select_group(df: DataFrame, group_col: str, value) -> DataFrame:
-    """rows of one group, addressed by name (prunes partitions when the
-    table was staged partitioned by ``group_col``)."""
-    return df.filter(F.col(group_col) == F.lit(value))
+    """rows of one group, addressed by name, ``None`` being the null
+    group (skips the files of other groups when the table was staged
+    partitioned by ``group_col``)."""
+    return df.filter(F.col(group_col).eqNullSafe(F.lit(value)))
 
 
 def group_flag_counts(df: DataFrame, group: str, flag: str) -> DataFrame:
@@ -133,7 +134,8 @@ def group_flag_counts(df: DataFrame, group: str, flag: str) -> DataFrame:
 
 def trainable_groups(df: DataFrame, group: str, flag: str) -> DataFrame:
     """groups that have both training and test rows (a group with no
-    test rows cannot be scored, one with no training rows cannot be fit)."""
+    test rows cannot be scored, one with no training rows cannot be fit);
+    the null group counts as one."""
     return group_flag_counts(df, group, flag).filter(
         (F.col("n_train") > 0) & (F.col("n_test") > 0))
 

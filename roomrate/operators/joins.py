@@ -1,68 +1,69 @@
-"""Equi-joins (J1-J4) and the size-checked broadcast used by the other
-operators.
-
-Broadcast rule: a side is broadcast only when its row count is *proven*
-small - either by a static bound the caller can justify (one row of
-moments, K cluster centres, at most 1/share frequent keys) or by counting
-it after persisting it. Beyond the bound the join stays a shuffle join and
-AQE's skew-join handling splits hot keys.
+"""Equi-joins.
+
+Keys compare null-safely: a null key is a value like any other, so a join
+never loses the rows of the null group.
+
+Broadcast rule: a side carries a broadcast hint only when its row count is
+bounded by construction (one row of moments, K cluster centres, at most
+1/share frequent keys) and that bound is small. Every other join is left to
+the adaptive optimiser, which sees the bytes each side really shuffled:
+it broadcasts a small one, and splits hot keys of a large one.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
+#: Rows of a structurally bounded side up to which the hint is given.
+HINT_ROWS = 10_000
+
+
+def _renamed_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in keys]
+    return df.select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(keys)], *rest)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner",
+                   bound: int | None = None) -> DataFrame:
+    """Join on columns of the same names, null equal to null; the key columns
+    appear once, as the left side has them. ``bound``: rows that ``right``
+    has at most, by construction."""
+    keys = [on] if isinstance(on, str) else list(on)
+    right = _renamed_keys(right, keys)
+    if bound is not None and bound <= HINT_ROWS:
+        right = F.broadcast(right)
+    cond = reduce(lambda a, b: a & b,
+                  [left[f"`{k}`"].eqNullSafe(right[f"_key_{i}"]) for i, k in enumerate(keys)])
+    out = left.join(right, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_key_{i}" for i in range(len(keys))])
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               bound: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join ``big`` with a side expected to be small.
-
-    ``bound``: a static upper bound on ``small``'s rows, if one is known.
-    Without one (or when it is above ``max_rows``) the small side is
-    persisted and counted - one job that also materialises it, so the join
-    does not compute it again; it is broadcast only if the count is within
-    ``max_rows``, otherwise released and joined by shuffle.
-    """
-    if bound is None or bound > max_rows:
-        # no static proof of smallness: measure it
-        cached = small.persist(StorageLevel.MEMORY_AND_DISK)
-        bound = cached.count()
-        if bound <= max_rows:
-            small = cached
-        else:
-            # too big to broadcast: do not pin it in executor storage; the
-            # shuffle join recomputes it (AQE splits skewed partitions)
-            cached.unpersist()
-    if bound <= max_rows:
-        small = F.broadcast(small)
-    out = big.join(small, on, how)
-    # a semi/anti join returns the left rows as they were, column order too
-    if how in ("left_semi", "left_anti"):
-        return out.select(*[F.col(f"`{c}`") for c in big.columns])
-    return out
+               bound: int | None = None) -> DataFrame:
+    """Join ``big`` with a side of one row per key (see ``null_safe_join``)."""
+    return null_safe_join(big, small, on, how, bound)
 
 
 def semi_join_keys(df: DataFrame, keys: DataFrame, on, bound: int | None = None) -> DataFrame:
     """Keep rows of ``df`` whose key appears in ``keys``; each row at
     most once even if ``keys`` repeats (the reference's inner join on a
     non-unique id would have multiplied rows)."""
-    if bound is not None and bound <= MAX_BROADCAST_ROWS:
-        keys = F.broadcast(keys)
-    return df.join(keys, on, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+    return null_safe_join(df, keys, on, "left_semi", bound)
 
 
 def attach(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
            how: str = "inner", bound: int | None = None) -> DataFrame:
     """Join on differently named keys; the right key is cast to the
-    left key's type first (the reference compared an int to a string)."""
+    left key's type first (the reference compared an int to a string). Text
+    that does not parse matches nothing; nulls do not match each other here,
+    as a failed cast is null too."""
     ltype = dict(left.dtypes)[left_key]
     r = right.withColumn(right_key, F.col(right_key).try_cast(ltype))
     if right_key != left_key:
         r = r.withColumnRenamed(right_key, left_key)
-    if bound is not None and bound <= MAX_BROADCAST_ROWS:
+    if bound is not None and bound <= HINT_ROWS:
         r = F.broadcast(r)
     return left.join(r, left_key, how)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomrate.operators.columns import replace_when
+from roomrate.operators.regress import predict
 from roomrate.operators.split import TEST
 
 
@@ -28,9 +29,17 @@ def overlay_prediction(df: DataFrame, predictions: DataFrame, key: str, flag: st
 
 def overlay_from_model(df: DataFrame, model: PipelineModel, flag: str,
                        target: str) -> DataFrame:
-    """Same result without the join: the model scores every row where it
-    already is and the test rows take the prediction. Scoring the training
-    rows too is cheaper than shuffling 30 % of the table back by key."""
-    scored = model.transform(df).drop("features", "indexedFeatures")
-    out = replace_when(scored, F.col(flag) == F.lit(TEST), target, F.col("prediction"))
-    return out.drop("prediction")
+    """Same result without the join: test rows are scored where they are and
+    take the prediction; all other rows stay as they were, unscored."""
+    is_test = F.col(flag).eqNullSafe(F.lit(TEST))
+    return overlay_scored(df.filter(~is_test), predict(model, df.filter(is_test)), target)
+
+
+def overlay_scored(untouched: DataFrame, scored: DataFrame, target: str,
+                   prediction: str = "prediction") -> DataFrame:
+    """Join-free overlay: the rows of ``scored`` with ``prediction`` in the
+    place of ``target``, and the rows of ``untouched``."""
+    kind = dict(untouched.dtypes)[target]
+    cols = [F.col(prediction).cast(kind).alias(c) if c == target else F.col(f"`{c}`")
+            for c in untouched.columns]
+    return untouched.unionByName(scored.select(*cols))

@@ -14,27 +14,26 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.operators.cluster import ML_ROWS_PER_PARTITION, deterministic_layout, fit_partitions
-from roomrate.operators.encode import assembler, categorical_indexer
+from roomrate.operators.cluster import deterministic_layout, fit_partitions, partitions_for
+from roomrate.operators.encode import categorical_indexer, drop_feature_columns, feature_stages
 from roomrate.operators.evaluate import error_metrics
 from roomrate.operators.joins import join_small
 from roomrate.session import checkpoint_root
 
-MAX_GROUPS = 1000
 MAX_CONCURRENT_FITS = 16
 
 
-def gbt_pipeline(inputs: list[str], label: str, max_iter: int = 20,
+def gbt_pipeline(df: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
                  max_categories: int = 5, seed: int = 123,
-                 handle_invalid: str = "skip", **gbt_params) -> Pipeline:
+                 missing: str = "impute", **gbt_params) -> Pipeline:
     return Pipeline(stages=[
-        assembler(inputs, "features", handle_invalid),
+        *feature_stages(df, inputs, "features", missing),
         categorical_indexer(max_categories, "features", "indexedFeatures"),
         GBTRegressor(featuresCol="indexedFeatures", labelCol=label, maxIter=max_iter,
                      seed=seed, **gbt_params),
@@ -43,8 +42,11 @@ def gbt_pipeline(inputs: list[str], label: str, max_iter: int = 20,
 
 def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
             max_categories: int = 5, seed: int = 123, key: str | None = None,
-            partitions: int | None = None, **gbt_params) -> PipelineModel:
-    """M4. With ``key``, the training rows are first hash-partitioned by key
+            partitions: int | None = None, missing: str = "impute",
+            **gbt_params) -> PipelineModel:
+    """M4. Rows without a label cannot train and are left out; missing
+    inputs are treated as ``missing`` says (see ``encode.feature_stages``), in
+    the fit and whenever the model scores. With ``key``, the training rows are first hash-partitioned by key
     into a fixed number of partitions and sorted inside each: MLlib's
     split-candidate sample is drawn per partition, so this makes the model
     independent of the input's file layout, and it spreads a training set
@@ -55,10 +57,10 @@ def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
     # trees into the SparkContext checkpoint folder: make sure it is the
     # shared one, so a lost executor does not cost the whole lineage
     checkpoint_root(train.sparkSession)
-    pipe = gbt_pipeline(inputs, label, max_iter, max_categories, seed, **gbt_params)
     # only what the fit reads is shuffled and cached
-    t = train.select(*([key] if key is not None else []), *inputs,
-                     F.col(label).cast("double").alias(label))
+    t = train.filter(F.col(label).isNotNull()).select(
+        *([key] if key is not None else []), *inputs, F.col(label).cast("double").alias(label))
+    pipe = gbt_pipeline(t, inputs, label, max_iter, max_categories, seed, missing, **gbt_params)
     if key is not None:
         t = deterministic_layout(t, key, partitions or fit_partitions(t))
     t = t.persist(StorageLevel.MEMORY_AND_DISK)
@@ -70,16 +72,18 @@ def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
 
 def predict(model: PipelineModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """M5: append ``prediction`` (and drop the intermediate vectors)."""
-    out = model.transform(df).drop("features", "indexedFeatures")
+    out = drop_feature_columns(model.transform(df), "features", "indexedFeatures")
     return out.select(*keep, "prediction") if keep else out
 
 
 def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key: str,
                   flag: str, max_iter: int = 10, max_categories: int = 5,
                   seed: int = 123, parallelism: int | None = None,
-                  max_groups: int = MAX_GROUPS):
+                  max_groups: int | None = None, missing: str = "impute"):
     """C4: one model per group, trained on its ``flag`` = 1 rows and scored
-    on its ``flag`` = 0 rows. Groups lacking either half are skipped.
+    on its ``flag`` = 0 rows. Groups lacking either half are skipped; the null
+    group is one like any other. ``max_groups``, if given, makes more groups
+    an error (each is a model that the driver keeps).
 
     ``df`` should be staged partitioned by ``group`` (see
     ``sources.stage``) so each fit reads only its own folder.
@@ -89,31 +93,28 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
     """
     from roomrate.operators.filters import trainable_groups
 
-    groups_rows = (trainable_groups(df, group, flag).select(group, "n_train").orderBy(group)
-                   .limit(max_groups + 1).collect())
-    if len(groups_rows) > max_groups:
+    groups_rows = trainable_groups(df, group, flag).select(group, "n_train").orderBy(group).collect()
+    if max_groups is not None and len(groups_rows) > max_groups:
         raise ValueError(f"more than {max_groups} groups to fit")
     groups = [r[0] for r in groups_rows]
     n_train = {r[0]: r[1] for r in groups_rows}
-    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # default: every group's fit at once (each is a small distributed job;
     # running them together keeps the cluster's slots busy)
     workers = max(1, min(parallelism or MAX_CONCURRENT_FITS, len(groups) or 1))
 
     def fit_one(g):
-        part = df.filter(F.col(group) == F.lit(g))
+        part = df.filter(F.col(group).eqNullSafe(F.lit(g)))
         # each fit is sized by its own rows: a cluster holding a third of
         # the data gets a third-of-the-data's worth of tasks, small ones few
         train = part.filter(F.col(flag) == 1)
-        n = max(1, min(cap, -(-n_train[g] // ML_ROWS_PER_PARTITION)))
         model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key,
-                        partitions=n)
+                        partitions=partitions_for(n_train[g]), missing=missing)
         scored = predict(model, part.filter(F.col(flag) == 0),
                          keep=[key, group, F.col(label).cast("double").alias(label)])
         return g, model, scored
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(fit_one, groups))
+        results = list(pool.map(inheritable_thread_target(df.sparkSession)(fit_one), groups))
     models = {g: m for g, m, _ in results}
     if results:
         preds = results[0][2]
@@ -138,5 +139,5 @@ def fit_group_mean(train: DataFrame, group: str, target: str,
 def predict_group_mean(df: DataFrame, means: DataFrame, group: str,
                        max_groups: int | None = None) -> DataFrame:
     """Attach the group mean as ``prediction``; rows of a group unseen in
-    training get null. The means table is broadcast when proven small."""
+    training get null (the null group is a group like any other)."""
     return join_small(df, means, group, "left", bound=max_groups)

@@ -82,7 +82,7 @@ def _group_mean_predictions(spark, d):
     the metric operators can be checked exactly."""
     train, test = split(_orders(spark, d), "o_orderkey", TRAIN_PCT, SEED)
     means = fit_group_mean(train, "o_orderpriority", "o_totalprice")
-    return predict_group_mean(test, means, "o_orderpriority", max_groups=len(ORDER_PRIORITIES)) \
+    return predict_group_mean(test, means, "o_orderpriority") \
         .select("o_orderkey", "o_orderstatus",
                 F.col("o_totalprice").alias("label"), "prediction")
 
@@ -289,8 +289,8 @@ def q_overlay_prediction(spark, d):
     o = _flagged_orders(spark, d).select("o_orderkey", "o_orderpriority", "o_totalprice",
                                          "is_train")
     means = fit_group_mean(o.filter(F.col("is_train") == 1), "o_orderpriority", "o_totalprice")
-    preds = predict_group_mean(o.filter(F.col("is_train") == 0), means, "o_orderpriority",
-                               max_groups=len(ORDER_PRIORITIES)).select("o_orderkey", "prediction")
+    preds = predict_group_mean(o.filter(F.col("is_train") == 0), means, "o_orderpriority") \
+        .select("o_orderkey", "prediction")
     out = overlay_prediction(o, preds, "o_orderkey", "is_train", "o_totalprice")
     return out.select("o_orderkey", "is_train", _r6("o_totalprice", "price"))
 

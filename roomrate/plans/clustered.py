@@ -40,23 +40,25 @@ FLAG = "is_train"
 @dataclass
 class ClusteredResult:
     predictions: DataFrame
-    metrics: DataFrame          # cluster, n (test rows), mape, rmse, size
+    metrics: DataFrame          # cluster, n (test rows), mape, rmse, n_mape, n_rmse, size
     best: DataFrame             # the lowest-MAPE cluster's row
     summary: DataFrame          # best/mean/pooled metrics over clusters
     kmeans: PipelineModel
     models: dict = field(default_factory=dict)
+    clustered: DataFrame | None = None   # all clustered rows, flagged
 
 
 def _score_clusters(staged: DataFrame, key: str, features: list[str], label: str, k: int,
                     kmeans: PipelineModel, max_iter: int, max_categories: int,
-                    seed: int, parallelism: int) -> ClusteredResult:
+                    seed: int, parallelism: int, missing: str) -> ClusteredResult:
     preds, metrics, models = fit_per_group(staged, CLUSTER, features, label, key, FLAG,
                                            max_iter, max_categories, seed, parallelism,
-                                           max_groups=k)
+                                           max_groups=k, missing=missing)
     sizes = group_sizes(staged, CLUSTER, "size")
-    metrics = metrics.join(F.broadcast(sizes), CLUSTER, "inner")   # both K rows
+    # K rows, written once: metrics, best and summary do not score again
+    metrics = stage(metrics.join(F.broadcast(sizes), CLUSTER, "inner"), "cluster-metrics")
     return ClusteredResult(preds, metrics, best_group(metrics, CLUSTER, "mape"),
-                           metric_summary(metrics, "size"), kmeans, models)
+                           metric_summary(metrics, "size"), kmeans, models, staged)
 
 
 def clustered_price_model(df: DataFrame, key: str, cluster_features: list[str],
@@ -64,7 +66,8 @@ def clustered_price_model(df: DataFrame, key: str, cluster_features: list[str],
                           kmeans_iter: int = 20, max_iter: int = 10, z_k: float = 2.5,
                           max_categories: int = 5, train_pct: int = 70,
                           parallelism: int | None = None, partitions: int | None = None,
-                          scale: bool = False, stage_input: bool = False) -> ClusteredResult:
+                          scale: bool = False, stage_input: bool = False,
+                          missing: str = "impute") -> ClusteredResult:
     """PL3. ``cluster_features`` must not contain the label (clustering on
     the price would leak it into the cluster choice).
 
@@ -78,13 +81,13 @@ def clustered_price_model(df: DataFrame, key: str, cluster_features: list[str],
         needed = list(dict.fromkeys([key, *cluster_features, *features, label]))
         df = stage(df.select(*needed), "clustered-input")
     km = kmeans_fit(df, cluster_features, k, seed, key=key, partitions=partitions,
-                    max_iter=kmeans_iter, scale=scale, cluster_col=CLUSTER)
+                    max_iter=kmeans_iter, scale=scale, cluster_col=CLUSTER, missing=missing)
     clustered = kmeans_assign(km, df)
     kept = zscore_filter_by(clustered, CLUSTER, label, z_k, max_groups=k)
     staged = stage(split_flag(kept, key, train_pct, seed, FLAG), "clustered",
                    partition_by=CLUSTER)
     return _score_clusters(staged, key, features, label, k, km, max_iter,
-                           max_categories, seed, parallelism)
+                           max_categories, seed, parallelism, missing)
 
 
 def leak_free_cluster_model(df: DataFrame, key: str, features: list[str], label: str,
@@ -92,7 +95,7 @@ def leak_free_cluster_model(df: DataFrame, key: str, features: list[str], label:
                             max_iter: int = 10, max_categories: int = 5,
                             train_pct: int = 70, parallelism: int | None = None,
                             partitions: int | None = None,
-                            seen_label: str = "price_seen") -> ClusteredResult:
+                            seen_label: str = "price_seen", missing: str = "impute") -> ClusteredResult:
     """PL4: cluster on the features plus a price that is real for training
     rows and *predicted* for test rows (a first GBT fitted on the training
     rows), so test prices never steer the clustering; then one GBT per
@@ -100,13 +103,13 @@ def leak_free_cluster_model(df: DataFrame, key: str, features: list[str], label:
     rows against their real prices."""
     flagged = split_flag(df, key, train_pct, seed, FLAG)
     first = gbt_fit(flagged.filter(F.col(FLAG) == 1), features, label, max_iter,
-                    max_categories, seed, key=key)
+                    max_categories, seed, key=key, missing=missing)
     seen = flagged.withColumn(seen_label, F.col(label).cast("double"))
     # written once: K-means (count, layout) and the assignment read these
     # files instead of re-running the input's lineage and the first model
     overlaid = stage(overlay_from_model(seen, first, FLAG, seen_label), "overlaid-input")
     km = kmeans_fit(overlaid, features + [seen_label], k, seed, key=key,
-                    partitions=partitions, max_iter=kmeans_iter, cluster_col=CLUSTER)
+                    partitions=partitions, max_iter=kmeans_iter, cluster_col=CLUSTER, missing=missing)
     staged = stage(kmeans_assign(km, overlaid), "overlaid", partition_by=CLUSTER)
     return _score_clusters(staged, key, features, label, k, km, max_iter,
-                           max_categories, seed, parallelism)
+                           max_categories, seed, parallelism, missing)

@@ -13,10 +13,10 @@ from roomrate.operators.split import split
 
 def global_price_model(df: DataFrame, key: str, features: list[str], label: str,
                        max_iter: int = 20, max_categories: int = 5,
-                       train_pct: int = 70, seed: int = 123):
-    """Returns ``(predictions, metrics, model)``; predictions are
+                       train_pct: int = 70, seed: int = 123, missing: str = "impute"):
+    """Every test row is scored (missing features as ``missing`` says). Returns ``(predictions, metrics, model)``; predictions are
     (key, label, prediction) over the test rows."""
     train, test = split(df, key, train_pct, seed)
-    model = gbt_fit(train, features, label, max_iter, max_categories, seed, key=key)
+    model = gbt_fit(train, features, label, max_iter, max_categories, seed, key=key, missing=missing)
     preds = predict(model, test, keep=[key, F.col(label).cast("double").alias(label)])
     return preds, error_metrics(preds, label, "prediction"), model

@@ -121,7 +121,7 @@ ORACLE: dict[str, str] = {
         round(stddev_pop(value), 6) as std_pop from events group by event_type""",
     "count_by": "select user_id, count(*) as n from events group by user_id",
     "annotate_count": """select event_id, user_id, count(*) over (partition by user_id) as n
-        from events where user_id is not null""",
+        from events""",
     "group_sizes": "select o_orderstatus, count(*) as size from orders group by o_orderstatus",
     "distinct_values": "select distinct o_orderpriority from orders order by o_orderpriority",
     "semi_join_keys": """select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice
