@@ -17,6 +17,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from roomrate.plans import listings
+from roomrate.sources.staging import release_staged
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -69,6 +70,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             rows.show(50, truncate=False)
         summary.show(truncate=False)
+    release_staged(spark)
 
 
 if __name__ == "__main__":

@@ -24,18 +24,19 @@ from roomrate.operators import evaluate as ev
 from roomrate.operators import filters as flt
 from roomrate.operators.cluster import (assign_nearest, collect_centres, kmeans_assign,
                                         kmeans_fit, label_centres)
-from roomrate.operators.encode import assemble, index_categorical, one_hot, one_hot_vector
-from roomrate.operators.joins import attach, semi_join_keys
-from roomrate.operators.overlay import overlay_prediction
+from roomrate.operators.encode import (assemble, index_categorical, missing_counts, one_hot,
+                                       one_hot_vector)
+from roomrate.operators.joins import attach, null_safe_join, semi_join_keys
+from roomrate.operators.overlay import overlay_prediction, overlay_scored
 from roomrate.operators.regress import fit_group_mean, fit_per_group, predict_group_mean
 from roomrate.operators.split import split, split_flag, union_tagged
 from roomrate.plans.clustered import clustered_price_model, leak_free_cluster_model
 from roomrate.plans.global_model import global_price_model
 from roomrate.plans.prepare import prepare_listings
-from roomrate.plans.tables import (EVENT_TYPES, ORDER_PRIORITIES, PRICED_ORDER_FEATURES, load,
+from roomrate.plans.tables import (ORDER_PRIORITIES, PRICED_ORDER_FEATURES, load,
                                    located_customers, priced_orders)
 from roomrate.session import scratch_path
-from roomrate.sources.delimited import read_delimited, write_delimited
+from roomrate.sources.delimited import corrupt_rows, read_delimited, read_inferred, write_delimited
 from roomrate.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +59,8 @@ MAX_CATEGORIES = 5
 EVENT_COLS = ["event_id", "user_id", "event_type", "value"]
 SEGMENT = "HOUSEHOLD"
 ANCHOR_CUSTKEY = 0
+# Error that every row of the planted price stays below (its range is 216).
+MODEL_BOUND = 60.0
 
 
 def _r6(c, name: str):
@@ -104,6 +107,11 @@ def q_frequency_filter(spark, d):
     return flt.frequency_filter(_events(spark, d), "user_id", RARE_SHARE).select(*EVENT_COLS)
 
 
+def q_frequency_filter_mean(spark, d):
+    e = _events(spark, d)
+    return flt.frequency_filter(e, "user_id", mean_share(e, "user_id")).select(*EVENT_COLS)
+
+
 def q_filter_in_set(spark, d):
     return flt.in_set(_orders(spark, d), "o_orderpriority", ["1-URGENT", "2-HIGH"]) \
         .select("o_orderkey", "o_orderpriority", "o_totalprice")
@@ -381,12 +389,77 @@ def q_comparables_report(spark, d):
 
 
 # ------------------------------------------------------- composed plans
+def mean_share(df: DataFrame, col: str) -> float:
+    """The share of an average value of ``col``: a rarity bound under which
+    some values stay and some go at every scale."""
+    return 1 / max(2, df.select(F.count_distinct(col)).first()[0])
+
+
 def q_prepare_listings(spark, d):
-    # a fixed vocabulary keeps the schema stable when the share filter keeps
-    # few (or no) rows
-    return prepare_listings(_events(spark, d), "user_id", ["event_type"], "value",
-                            RARE_SHARE, Z_K, drop=["ts", "props"],
-                            vocab={"event_type": EVENT_TYPES})
+    """PL1 in full: rare users dropped, two categories encoded with the
+    vocabulary of the data, text cast, price outliers dropped, staged. Null
+    categories are kept."""
+    e = _events(spark, d)
+    dated = e.select("event_id", "user_id", "event_type", F.date_format("ts", "EEE").alias("day"),
+                     F.col("user_id").cast("string").alias("user_text"),
+                     F.concat(F.lit(" "), F.col("value").cast("string")).alias("value_text"),
+                     "value")
+    return prepare_listings(dated, "user_id", ["event_type", "day"], "value", mean_share(e, "user_id"),
+                            Z_K, int_cols=["user_text"], double_cols=["value_text"],
+                            out_path=scratch_path(spark, "prepared"))
+
+
+# -------------------------------------- nulls by a fixed rule over the key
+def _events_with_nulls(spark, d):
+    return _events(spark, d).select(
+        "event_id", F.when(F.col("event_id") % 4 != 0, F.col("user_id")).alias("user_id"),
+        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type"), "value")
+
+
+def q_annotate_count_nulls(spark, d):
+    return agg.annotate_count(_events_with_nulls(spark, d).select("event_id", "user_id"), "user_id", "n")
+
+
+def q_frequency_filter_nulls(spark, d):
+    e = _events_with_nulls(spark, d)
+    return flt.frequency_filter(e, "user_id", mean_share(e, "user_id")).select(*EVENT_COLS)
+
+
+def q_zscore_by_group_nulls(spark, d):
+    return flt.zscore_filter_by(_events_with_nulls(spark, d), "event_type", "value", Z_K).select(*EVENT_COLS)
+
+
+def q_drop_empty_groups_nulls(spark, d):
+    o = _flagged_orders(spark, d).select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("o_custkey"), "is_train")
+    return flt.drop_empty_groups(o, "o_custkey", "is_train")
+
+
+def _is_nearest(km, assigned, features: str = "_features"):
+    """Whether each row's cluster is the nearest of the model's centres,
+    computed apart from the model."""
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(km.stages[-1].clusterCenters())]
+    out = assigned
+    for st in km.stages[:-1]:
+        out = st.transform(out)
+    again = assign_nearest(out.withColumn("_x", vector_to_array(features)), "_x", centres, "_nearest",
+                           method="sql")
+    return again.withColumn("is_nearest", F.col("_nearest") == F.col("cluster"))
+
+
+def q_assign_all_rows(spark, d):
+    """M2 on features with nulls: every row has a cluster, and the nearest one."""
+    o = priced_orders(spark, d).withColumn(
+        "cust_band", F.when(F.col("o_orderkey") % 5 != 0, F.col("cust_band")))
+    km = kmeans_fit(o, ["cust_band", "price"], K_FINAL, SEED, key="o_orderkey")
+    out = _is_nearest(km, kmeans_assign(km, o))
+    return out.select("o_orderkey", F.col("cluster").between(0, K_FINAL - 1).alias("has_cluster"), "is_nearest")
+
+
+def q_missing_counts(spark, d):
+    o = priced_orders(spark, d).withColumn(
+        "cust_band", F.when(F.col("o_orderkey") % 5 != 0, F.col("cust_band")))
+    return missing_counts(o, ["cust_band", "o_totalprice"])
 
 
 ORDERS_TEXT_SCHEMA = T.StructType([
@@ -408,47 +481,206 @@ def q_stage_roundtrip(spark, d):
     return stage(o, "orders", partition_by="o_orderstatus")
 
 
-# ------------------------------------------- model plans (rows-only oracle)
+def q_stage_values(spark, d):
+    """S4 keeps the values of its partition column: leading zeros, empty
+    strings and nulls, by a fixed rule over the key."""
+    k = F.col("o_orderkey") % 4
+    code = F.when(k == 0, "007").when(k == 1, "").when(k == 2, F.col("o_orderstatus"))
+    return stage(_orders(spark, d).select("o_orderkey", code.alias("code")), "coded", partition_by="code")
+
+
+def _damaged_file(spark, d):
+    """Orders as CSV lines; each seventh has a field too many."""
+    o = _orders(spark, d)
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority")
+    line = F.when(F.col("o_orderkey") % 7 == 0, F.concat(line, F.lit(",x"))).otherwise(line)
+    path = scratch_path(spark, "damaged-csv")
+    o.select(line.alias("value")).write.text(path)
+    return path
+
+
+DAMAGED_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()),
+                               T.StructField("o_orderstatus", T.StringType()),
+                               T.StructField("o_orderpriority", T.StringType())])
+
+
+def q_corrupt_rows(spark, d):
+    return corrupt_rows(spark, _damaged_file(spark, d), DAMAGED_SCHEMA, header=False)
+
+
+def q_read_without_corrupt(spark, d):
+    return read_delimited(spark, _damaged_file(spark, d), DAMAGED_SCHEMA, header=False)
+
+
+def q_read_inferred(spark, d):
+    """Names and types found in the file."""
+    path = scratch_path(spark, "inferred-csv")
+    write_delimited(_orders(spark, d).select("o_orderkey", "o_orderstatus", "o_totalprice"), path)
+    r = read_inferred(spark, path)
+    return r.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderstatus", "o_totalprice")
+
+
+def q_comparables_by_nation(spark, d):
+    """Comparables with every kind of predicate, summarised per nation."""
+    c = located_customers(spark, d)
+    kept = flt.zscore_filter(c, "price", Z_K_COMPARABLES)
+    rows = flt.comparables(kept, {"c_mktsegment": SEGMENT}, {"price": 0, "c_nationkey": 4})
+    s = agg.spread_summary(rows, "price", by="c_nationkey")
+    return s.select("c_nationkey", "n", _r6("std_samp", "std_samp"), _r6("range", "range"))
+
+
+def q_comparables_place(spark, d):
+    """One place and kind: segment and nation equal, price above 0; ranked."""
+    c = located_customers(spark, d)
+    kept = flt.zscore_filter(c, "price", Z_K_COMPARABLES)
+    rows = flt.comparables(kept, {"c_mktsegment": SEGMENT, "c_nationkey": 3}, {"price": 0})
+    return comp.rank_by(rows, "price", "c_custkey").select("c_custkey", "c_nationkey", "price")
+
+
+def q_pipeline_overlay(spark, d):
+    """PL4 with a predictor SQL can state: test rows take the training mean of
+    their priority, rows go to the nearest status centre of the overlaid price,
+    and per cluster a mean model is trained and scored on real prices."""
+    o = _flagged_orders(spark, d).select("o_orderkey", "o_orderstatus", "o_orderpriority",
+                                         F.col("o_totalprice").alias("seen"),
+                                         F.col("o_totalprice").alias("price"), "is_train")
+    train, test = (o.filter(F.col("is_train") == x) for x in (1, 0))
+    first = fit_group_mean(train, "o_orderpriority", "price")
+    overlaid = overlay_scored(train, predict_group_mean(test, first, "o_orderpriority"), "seen")
+    overlaid = stage(overlaid.withColumn("vec", F.array(F.round("seen", 6))), "overlaid-orders")
+    statuses = overlaid.withColumn("label", F.ascii("o_orderstatus"))
+    centres = collect_centres(label_centres(statuses, "vec", "label"), "label")
+    members = assign_nearest(overlaid, "vec", [(i, [round(x, 6) for x in c]) for i, c in centres],
+                             "cluster", method="sql")
+    by = ["cluster", "o_orderpriority"]
+    means = (members.filter(F.col("is_train") == 1).groupBy(*by)
+             .agg(F.avg("price").alias("prediction")))
+    scored = null_safe_join(members.filter(F.col("is_train") == 0), means, by, "left")
+    m = ev.error_metrics(scored, "price", "prediction", by="cluster")
+    return m.select("cluster", "n", _r6("mape", "mape"), _r6("rmse", "rmse"))
+
+
+# ------------------------------------------------------------ model plans
+# A model's numbers have no SQL; these queries return, for every row, facts
+# about it that hold for any right result and that SQL can state.
 def q_kmeans_sizes(spark, d):
     e = load(spark, d, "embeddings").withColumn("emb", array_to_vector("embedding"))
     km = kmeans_fit(e, ["emb"], K_LEAK_FREE, SEED, key="vec_id")
-    return agg.group_sizes(kmeans_assign(km, e), "cluster", "size")
+    out = kmeans_assign(km, e)
+    total = agg.group_sizes(out, "cluster", "size").select(F.sum("size")).scalar()
+    return _is_nearest(km, out).select("vec_id", "is_nearest", total.alias("total_size"))
+
+
+def _model_input(spark, d):
+    """Priced orders with a missing feature in each ninth row."""
+    return priced_orders(spark, d).withColumn(
+        "cust_band", F.when(F.col("o_orderkey") % 9 != 0, F.col("cust_band")))
 
 
 def q_gbt_predict(spark, d):
-    preds, _, _ = global_price_model(priced_orders(spark, d), "o_orderkey",
-                                     PRICED_ORDER_FEATURES, "price", ITER_GROUP,
+    """Every test row is scored, also with a missing feature; where nothing is
+    missing the error is below two steps of the planted noise and rest
+    (``MODEL_BOUND``)."""
+    preds, _, _ = global_price_model(_model_input(spark, d), "o_orderkey",
+                                     PRICED_ORDER_FEATURES, "price", ITER_GLOBAL,
                                      MAX_CATEGORIES, TRAIN_PCT, SEED)
-    return preds
+    close = F.abs(F.col("price") - F.col("prediction")) < MODEL_BOUND
+    return preds.select("o_orderkey", "price", F.col("prediction").isNotNull().alias("is_scored"),
+                        (close | (F.col("o_orderkey") % 9 == 0)).alias("is_close"))
+
+
+def _agrees(a: str, b: str):
+    return F.abs(F.col(a) - F.col(b)) <= 1e-9 * F.greatest(F.lit(1.0), F.abs(F.col(a)))
+
+
+def _recomputed(preds, by: list[str]):
+    """RMSE and MAPE in plain expressions, apart from ``error_metrics``."""
+    e = F.col("price") - F.col("prediction")
+    return preds.groupBy(*by).agg(F.sqrt(F.sum(e * e) / F.count(e)).alias("_rmse"),
+                                  (F.sum(F.abs(e) / F.col("prediction")) / F.count(e)).alias("_mape"),
+                                  F.stddev_pop("price").alias("_spread"))
 
 
 def q_global_price_model(spark, d):
-    _, metrics, _ = global_price_model(priced_orders(spark, d), "o_orderkey",
-                                       PRICED_ORDER_FEATURES, "price", ITER_GLOBAL,
-                                       MAX_CATEGORIES, TRAIN_PCT, SEED)
-    return metrics
+    preds, metrics, _ = global_price_model(priced_orders(spark, d), "o_orderkey",
+                                           PRICED_ORDER_FEATURES, "price", ITER_GROUP,
+                                           MAX_CATEGORIES, TRAIN_PCT, SEED)
+    preds = stage(preds, "global-predictions")
+    m = ev.error_metrics(preds, "price", "prediction").crossJoin(F.broadcast(_recomputed(preds, [])))
+    return m.select("n", (_agrees("rmse", "_rmse") & _agrees("mape", "_mape")).alias("metrics_agree"),
+                    (F.col("rmse") < 0.3 * F.col("_spread")).alias("explains_price"))
 
 
 def q_per_group_metrics(spark, d):
     o = split_flag(priced_orders(spark, d), "o_orderkey", TRAIN_PCT, SEED, "is_train")
     staged = stage(o, "orders_by_status", partition_by="o_orderstatus")
-    _, metrics, _ = fit_per_group(staged, "o_orderstatus", PRICED_ORDER_FEATURES, "price",
-                                  "o_orderkey", "is_train", ITER_GROUP, MAX_CATEGORIES, SEED)
-    return metrics
+    preds, _, _ = fit_per_group(staged, "o_orderstatus", PRICED_ORDER_FEATURES, "price",
+                                "o_orderkey", "is_train", ITER_GROUP, MAX_CATEGORIES, SEED)
+    preds = stage(preds, "group-predictions")
+    m = null_safe_join(ev.error_metrics(preds, "price", "prediction", by="o_orderstatus"),
+                       _recomputed(preds, ["o_orderstatus"]), "o_orderstatus")
+    return m.select("o_orderstatus", "n",
+                    (_agrees("rmse", "_rmse") & _agrees("mape", "_mape")).alias("metrics_agree"),
+                    (F.col("rmse") < 0.5 * F.col("_spread")).alias("explains_price"))
+
+
+def _every_row(res, flagged, price_in_z: bool):
+    """Per row of ``flagged`` (all rows, with their clusters): is it clustered
+    as the price test of its cluster says, and scored if and only if it is a
+    test row of a trainable cluster?"""
+    own = F.col("cluster")
+    stats = flagged.groupBy("cluster").agg(F.avg("price").alias("_m"), F.stddev_pop("price").alias("_s"))
+    halves = res.clustered.groupBy("cluster").agg(
+        (F.min("is_train") != F.max("is_train")).alias("_both"))
+    kept = res.clustered.select("o_orderkey", F.lit(True).alias("_kept"))
+    preds = res.predictions.select("o_orderkey", F.col("price").alias("_label"), F.lit(True).alias("_scored"))
+    j = (flagged.join(F.broadcast(stats), "cluster").join(F.broadcast(halves), "cluster", "left")
+         .join(kept, "o_orderkey", "left").join(preds, "o_orderkey", "left").fillna(False, ["_kept", "_scored", "_both"]))
+    inside = F.coalesce(F.abs((F.col("price") - F.col("_m")) / F.nullif("_s", F.lit(0.0))) < Z_K, F.lit(False)) \
+        if price_in_z else F.lit(True)
+    return j.select("o_orderkey", "is_train", own.between(0, K_LEAK_FREE).alias("has_cluster"),
+                    (F.col("_kept") == inside).alias("kept_as_stated"),
+                    (F.col("_scored") == (F.col("_kept") & F.col("_both") & (F.col("is_train") == 0)))
+                    .alias("scored_as_stated"),
+                    F.coalesce(F.col("_label") == F.col("price"), F.lit(True)).alias("real_label"))
+
+
+def _clustered(spark, d):
+    o = priced_orders(spark, d)
+    return o, clustered_price_model(o, "o_orderkey", PRICED_ORDER_FEATURES, PRICED_ORDER_FEATURES,
+                                    "price", K_FINAL, SEED, max_iter=ITER_GROUP, z_k=Z_K)
 
 
 def q_clustered_price_model(spark, d):
-    res = clustered_price_model(priced_orders(spark, d), "o_orderkey", PRICED_ORDER_FEATURES,
-                                PRICED_ORDER_FEATURES, "price", K_FINAL, SEED,
-                                max_iter=ITER_GROUP, z_k=Z_K)
-    return res.metrics
+    o, res = _clustered(spark, d)
+    flagged = split_flag(kmeans_assign(res.kmeans, o), "o_orderkey", TRAIN_PCT, SEED, "is_train")
+    return _every_row(res, flagged, price_in_z=True)
+
+
+def q_clustered_price_summary(spark, d):
+    """Best cluster and summary of PL3, against the predictions themselves."""
+    _, res = _clustered(spark, d)
+    preds = stage(res.predictions, "cluster-predictions")
+    over_all, best = _recomputed(preds, []), _recomputed(preds, ["cluster"])
+    first = best.orderBy("_mape", "cluster").limit(1).select(
+        F.col("cluster").alias("_best"), F.col("_rmse").alias("_best_rmse"), F.col("_mape").alias("_best_mape"))
+    one = (res.summary.crossJoin(F.broadcast(over_all)).crossJoin(F.broadcast(first))
+           .crossJoin(F.broadcast(res.best.select("cluster", F.col("rmse").alias("_of_best")))))
+    rows = res.clustered.select(F.count(F.lit(1))).scalar()
+    return one.select(_agrees("pooled_rmse", "_rmse").alias("rmse_of_the_union"),
+                      _agrees("weighted_mape", "_mape").alias("mape_of_the_union"),
+                      ((F.col("cluster") == F.col("_best")) & _agrees("best_mape", "_best_mape")
+                       & _agrees("_of_best", "_best_rmse")).alias("best_is_lowest"),
+                      (F.col("total_size") == rows).alias("sizes_add_up"))
 
 
 def q_leak_free_cluster_model(spark, d):
-    res = leak_free_cluster_model(priced_orders(spark, d), "o_orderkey",
-                                  PRICED_ORDER_FEATURES, "price", K_LEAK_FREE, SEED,
+    o = priced_orders(spark, d)
+    res = leak_free_cluster_model(o, "o_orderkey", PRICED_ORDER_FEATURES, "price", K_LEAK_FREE, SEED,
                                   max_iter=ITER_GROUP)
-    return res.metrics
+    flagged = res.clustered.select("o_orderkey", "is_train", "cluster").join(
+        o.select("o_orderkey", "price"), "o_orderkey", "right")
+    return _every_row(res, flagged, price_in_z=False)
 
 
 QUERIES: dict[str, Query] = {

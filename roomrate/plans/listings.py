@@ -55,7 +55,8 @@ K_LEAK_FREE = 10
 
 
 def read_listings(spark: SparkSession, path: str, drop_repeated_header: bool = True) -> DataFrame:
-    return read_delimited(spark, path, LISTING_SCHEMA, drop_repeated_header=drop_repeated_header)
+    return read_delimited(spark, path, LISTING_SCHEMA, drop_repeated_header=drop_repeated_header,
+                          by_position=True)  # the file's own header has other names
 
 
 def prepare(spark: SparkSession, path: str, out_path: str | None = None,

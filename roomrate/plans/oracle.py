@@ -1,7 +1,7 @@
 """DuckDB SQL stating the exact result of each full-oracle query in
-``catalog`` (tables are views named after the parquet files). Queries that
-fit models (K-means, GBT) have no entry: their result is checked by row
-count here and by invariants in the tests.
+``catalog`` (tables are views named after the parquet files). For queries that
+fit models (K-means, GBT) it states, for every row, facts that hold for any
+right result; the query computes them from the model's output.
 """
 
 from __future__ import annotations
@@ -102,6 +102,18 @@ _FREQUENT = """(select * from events where user_id in
    (select user_id from events group by user_id
     having count(*) * 200 > (select count(*) from events)))"""
 
+_DAYS = ("Fri", "Mon", "Sat", "Sun", "Thu", "Tue", "Wed")
+
+_OVER_MEAN = """(select * from events where user_id in
+   (select user_id from events group by user_id
+    having count(*) * greatest(2, (select count(distinct user_id) from events)) > (select count(*) from events)))"""
+
+_NULLED = """(select event_id, case when event_id % 4 != 0 then user_id end as user_id,
+   case when event_id % 3 != 0 then event_type end as event_type, value from events)"""
+
+_PRICE = """(100 + 3 * (o_custkey % 50) + case when o_orderpriority = '1-URGENT' then 20 else 0 end
+   + case when o_orderstatus = 'F' then 40 else 0 end + o_orderkey % 7)"""
+
 ORACLE: dict[str, str] = {
     "zscore_filter_k25": _z("events", "value", "2.5", _EVENT_COLS),
     "zscore_filter_k3": _z("events", "value", "3", _EVENT_COLS),
@@ -191,14 +203,76 @@ ORACLE: dict[str, str] = {
           (select count(*) as n, stddev_samp(price) as sd, max(price) - min(price) as rg
            from {_COMPARABLES} c) s
         order by d.price desc, d.c_custkey""",
-    "prepare_listings": f"""select f.event_id, f.user_id, f.value,
+    "prepare_listings": f"""select f.event_id, f.user_id, cast(f.user_id as integer) as user_text,
+        f.value as value_text, f.value,
         {_ind('f.event_type', 'click', 'event_type_click')},
         {_ind('f.event_type', 'error', 'event_type_error')},
         {_ind('f.event_type', 'purchase', 'event_type_purchase')},
         {_ind('f.event_type', 'signup', 'event_type_signup')},
-        {_ind('f.event_type', 'view', 'event_type_view')}
-        from {_FREQUENT} f, (select avg(value) as m, stddev_pop(value) as sd from {_FREQUENT} g) z
+        {_ind('f.event_type', 'view', 'event_type_view')},
+        {', '.join(_ind("strftime(f.ts, '%a')", x, f'day_{x}') for x in _DAYS)}
+        from {_OVER_MEAN} f, (select avg(value) as m, stddev_pop(value) as sd from {_OVER_MEAN} g) z
         where abs((f.value - z.m) / nullif(z.sd, 0)) < 2.5""",
+    "frequency_filter_mean": f"select {_EVENT_COLS} from {_OVER_MEAN} f",
+    "annotate_count_nulls": f"""select event_id, user_id, count(*) over (partition by user_id) as n
+        from {_NULLED} e""",
+    "frequency_filter_nulls": f"""select {_EVENT_COLS} from
+        (select *, count(*) over (partition by user_id) as c from {_NULLED} e) w
+        where c * greatest(2, (select count(distinct user_id) from {_NULLED} e)) > (select count(*) from events)""",
+    "zscore_by_group_nulls": f"""select {_EVENT_COLS} from
+        (select *, avg(value) over (partition by event_type) as m,
+         stddev_pop(value) over (partition by event_type) as sd from {_NULLED} e) w
+        where abs((value - m) / nullif(sd, 0)) < 2.5""",
+    "drop_empty_groups_nulls": f"""select o_orderkey, o_custkey, is_train from
+        (select *, min(is_train) over (partition by o_custkey) as lo,
+         max(is_train) over (partition by o_custkey) as hi from
+         (select o_orderkey, case when o_orderkey % 3 != 0 then o_custkey end as o_custkey, is_train
+          from {_FLAGGED} f) x) w where lo = 0 and hi = 1""",
+    "assign_all_rows": "select o_orderkey, true as has_cluster, true as is_nearest from orders",
+    "missing_counts": """select count(*) as n_rows, cast(count_if(o_orderkey % 5 = 0) as bigint) as n_incomplete,
+        cast(count_if(o_orderkey % 5 = 0) as bigint) as cust_band, cast(0 as bigint) as o_totalprice
+        from orders""",
+    "stage_values": """select o_orderkey, case o_orderkey % 4 when 0 then '007' when 1 then ''
+        when 2 then o_orderstatus end as code from orders""",
+    "corrupt_rows": """select o_orderkey || ',' || o_orderstatus || ',' || o_orderpriority || ',x' as line
+        from orders where o_orderkey % 7 = 0""",
+    "read_without_corrupt": """select o_orderkey, o_orderstatus, o_orderpriority from orders
+        where o_orderkey % 7 != 0""",
+    "read_inferred": "select o_orderkey, o_orderstatus, o_totalprice from orders",
+    "comparables_by_nation": f"""select c_nationkey, count(*) as n, round(stddev_samp(price), 6) as std_samp,
+        round(max(price) - min(price), 6) as range from {_COMPARABLES} c where c_nationkey > 4
+        group by c_nationkey""",
+    "comparables_place": f"""select c_custkey, c_nationkey, price from {_COMPARABLES} c
+        where c_nationkey = 3 order by price desc, c_custkey""",
+    "pipeline_overlay": f"""with f as {_FLAGGED},
+        m as (select o_orderpriority, avg(o_totalprice) as p from f where is_train = 1 group by o_orderpriority),
+        x as (select f.*, round(case when is_train = 0 then m.p else o_totalprice end, 6) as seen
+              from f left join m on f.o_orderpriority = m.o_orderpriority),
+        c as (select ascii(o_orderstatus) as cid, round(avg(seen), 6) as centre from x group by 1),
+        a as (select * from (select x.*, c.cid as cluster, row_number() over (partition by o_orderkey
+              order by round((seen - centre) * (seen - centre), 9), c.cid) as rn from x, c) where rn = 1),
+        g as (select cluster, o_orderpriority, avg(o_totalprice) as prediction from a where is_train = 1
+              group by cluster, o_orderpriority)
+        select a.cluster, count(*) as n,
+          round(avg(abs((o_totalprice - prediction) / nullif(prediction, 0))), 6) as mape,
+          round(sqrt(avg((o_totalprice - prediction) * (o_totalprice - prediction))), 6) as rmse
+        from a left join g on a.cluster = g.cluster and a.o_orderpriority = g.o_orderpriority
+        where is_train = 0 group by a.cluster""",
+    "kmeans_sizes": """select vec_id, true as is_nearest,
+        (select count(*) from embeddings) as total_size from embeddings""",
+    "gbt_predict": f"""select o_orderkey, cast({_PRICE} as double) as price, true as is_scored, true as is_close
+        from orders where {_BUCKET} >= 70""",
+    "global_price_model": f"""select count(*) as n, true as metrics_agree, true as explains_price
+        from orders where {_BUCKET} >= 70""",
+    "per_group_metrics": f"""select o_orderstatus, cast(count_if(is_train = 0) as bigint) as n,
+        true as metrics_agree, true as explains_price from {_FLAGGED} f group by o_orderstatus
+        having count_if(is_train = 1) > 0 and count_if(is_train = 0) > 0""",
+    "clustered_price_model": f"""select o_orderkey, is_train, true as has_cluster, true as kept_as_stated,
+        true as scored_as_stated, true as real_label from {_FLAGGED} f""",
+    "clustered_price_summary": """select true as rmse_of_the_union, true as mape_of_the_union,
+        true as best_is_lowest, true as sizes_add_up""",
+    "leak_free_cluster_model": f"""select o_orderkey, is_train, true as has_cluster, true as kept_as_stated,
+        true as scored_as_stated, true as real_label from {_FLAGGED} f""",
     "delimited_roundtrip": """select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         o_orderpriority from orders""",
     "one_hot_vector": "select o_orderkey, " + ", ".join(

@@ -1,6 +1,6 @@
 """Sources and sinks."""
 
-from roomrate.sources.delimited import read_delimited, read_inferred, write_delimited
-from roomrate.sources.staging import stage, stage_table
+from roomrate.sources.delimited import corrupt_rows, read_delimited, read_inferred, write_delimited
+from roomrate.sources.staging import release_staged, stage, stage_table
 
-__all__ = ["read_delimited", "read_inferred", "write_delimited", "stage", "stage_table"]
+__all__ = ["corrupt_rows", "read_delimited", "release_staged", "read_inferred", "write_delimited", "stage", "stage_table"]

@@ -3,8 +3,9 @@
 The reference read CSV as raw lines, split on every comma and pasted names
 on by position; a quoted value holding a comma shifted all later columns.
 Here the Spark CSV reader parses quotes, a declared schema names the
-columns, and rows whose field count is wrong are dropped (or kept aside in
-a corrupt record column) instead of being silently shifted.
+columns and a header is checked against it, and rows whose field count is wrong
+are dropped (``corrupt_rows`` returns them, to count or to repair) or kept
+aside in a corrupt record column, instead of being silently shifted.
 """
 
 from __future__ import annotations
@@ -23,9 +24,13 @@ CORRUPT_COL = "_corrupt_record"
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
                    header: bool = True, sep: str = ",",
                    drop_repeated_header: bool = False,
-                   keep_corrupt: bool = False) -> DataFrame:
+                   keep_corrupt: bool = False, by_position: bool = False) -> DataFrame:
     """Read delimited text with a declared schema.
 
+    A header must name the schema's columns in their order; a file whose
+    header differs fails rather than being read with its columns exchanged.
+    ``by_position`` skips that test for files whose header has other names.
+
     Fields are read as text and converted with lenient casts (bad values
     become null rather than failing the job, the behaviour the reference
     relied on); empty fields are null. Rows with too few or too many
@@ -43,6 +48,7 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
     fields = [T.StructField(n, T.StringType(), True) for n in names]
     raw = (spark.read.schema(T.StructType(fields + [T.StructField(CORRUPT_COL, T.StringType())]))
            .option("header", header).option("sep", sep)
+           .option("enforceSchema", not header or by_position)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
            .csv(path))
     every_field = F.length(F.concat_ws("", *[F.col(f"`{n}`") for n in names])) >= 0
@@ -63,6 +69,14 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
     return bulk_cast(raw, by_type)
 
 
+def corrupt_rows(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+                 sep: str = ",", by_position: bool = False) -> DataFrame:
+    """The lines that ``read_delimited`` leaves out, as they stand in the file
+    (column ``line``); ``.count()`` them to know what a read lost."""
+    rows = read_delimited(spark, path, schema, header, sep, keep_corrupt=True, by_position=by_position)
+    return rows.filter(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias("line"))
+
+
 def read_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """Header names and inferred types (one extra pass over the file).
     Convenient for exploration; prefer ``read_delimited`` in production."""

@@ -2,28 +2,63 @@
 
 The reference wrote its prepared table to one CSV on the driver so later
 scripts could start from it. We write Parquet from the executors, optionally
-partitioned (e.g. by cluster id, so a per-cluster read prunes to its own
-folder), and read it back. Writing into the shared checkpoint folder also
+partitioned (e.g. by cluster id, so a per-cluster read skips the files of other
+clusters), and read it back. Writing into the shared checkpoint folder also
 cuts the lineage: a lost executor re-reads the staged files instead of
 replaying every stage before them.
+
+A partitioned table keeps its partition columns in the files, with their own
+types; folders are named by a hash of the value, so that ``"007"``, an empty
+string and null come back as they were. Rows are redistributed by that column
+before the write (a rebalance, which splits a value that holds much of the
+table), so files are few and of even size whatever the number of writing tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roomrate.session import scratch_path
 
+#: Folder key of partitioned tables.
+PART = "part_key"
+
 
 def stage_table(df: DataFrame, path: str, partition_by: list[str] | str | None = None,
                 mode: str = "overwrite") -> DataFrame:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    out = df
+    if cols:
+        out = df.withColumn(PART, F.xxhash64(*[F.struct(c) for c in cols])).hint("rebalance", PART)
+    w = out.write.mode(mode)
+    (w.partitionBy(PART) if cols else w).parquet(path)
+    # the data's own schema: nothing is inferred from folder names
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | str | None = None) -> DataFrame:
-    """Stage under a fresh folder of ``spark.checkpoint.dir``."""
-    return stage_table(df, scratch_path(df.sparkSession, name), partition_by)
+    """Stage under a fresh folder of ``spark.checkpoint.dir``. The folder
+    belongs to the session that made it; ``release_staged`` deletes them."""
+    path = scratch_path(df.sparkSession, name)
+    _folders(df.sparkSession).append(path)
+    return stage_table(df, path, partition_by)
+
+
+def _folders(spark: SparkSession) -> list[str]:
+    if not hasattr(spark.sparkContext, "_roomrate_staged"):
+        spark.sparkContext._roomrate_staged = []
+    return spark.sparkContext._roomrate_staged
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete the folders that this session has staged, once no DataFrame read
+    from them is needed any more; returns how many there were."""
+    folders, jvm = _folders(spark), spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for f in folders:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(conf).delete(path, True)
+    n = len(folders)
+    folders.clear()
+    return n
