@@ -241,6 +241,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     were. Rows whose id is null stay."""
     gone = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
                   .filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct(), "near-duplicates")
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    few = gone.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(gone) if few else gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

@@ -101,7 +101,7 @@ def test_toxicity_ignores_labels_of_the_held_out_fold(spark, docs):
 def test_nnpu_finds_the_signal_behind_unlabelled_positives():
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.3
-    x = (rng.random((4000, 20)) < 0.2).astype(np.float32)
+    x = (rng.random((4000, 20)) < 0.05).astype(np.float32)
     x[y, 0] = 1
     labelled = y & (rng.random(4000) < 0.3)
     w, b = toxicity.train_nnpu(x, labelled, 0.23)
