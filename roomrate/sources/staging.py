@@ -7,11 +7,12 @@ clusters), and read it back. Writing into the shared checkpoint folder also
 cuts the lineage: a lost executor re-reads the staged files instead of
 replaying every stage before them.
 
-A partitioned table keeps its partition columns in the files, with their own
-types; folders are named by a hash of the value, so that ``"007"``, an empty
-string and null come back as they were. Rows are redistributed by that column
-before the write (a rebalance, which splits a value that holds much of the
-table), so files are few and of even size whatever the number of writing tasks.
+Partition columns come back with their own types (nothing is inferred from
+folder names), and as a folder cannot tell an empty string from null, text
+columns also keep their value in the files. Rows are redistributed by the
+partition columns before the write (a rebalance, which splits a value that
+holds much of the table), so files are few and of even size whatever the
+number of writing tasks.
 """
 
 from __future__ import annotations
@@ -21,20 +22,22 @@ from pyspark.sql import functions as F
 
 from roomrate.session import scratch_path
 
-#: Folder key of partitioned tables.
-PART = "part_key"
+#: Prefix of the copies of partitioning text columns in the files.
+KEPT = "kept_"
 
 
 def stage_table(df: DataFrame, path: str, partition_by: list[str] | str | None = None,
                 mode: str = "overwrite") -> DataFrame:
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    out = df
+    text = [c for c in cols if dict(df.dtypes)[c] == "string"]
+    out = df.withColumns({KEPT + c: F.col(f"`{c}`") for c in text}) if text else df
     if cols:
-        out = df.withColumn(PART, F.xxhash64(*[F.struct(c) for c in cols])).hint("rebalance", PART)
+        out = out.hint("rebalance", *cols)
     w = out.write.mode(mode)
-    (w.partitionBy(PART) if cols else w).parquet(path)
-    # the data's own schema: nothing is inferred from folder names
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    (w.partitionBy(*cols) if cols else w).parquet(path)
+    back = df.sparkSession.read.schema(out.schema).parquet(path)
+    return back.select(*[F.col(f"`{KEPT + c}`").alias(c) if c in text else F.col(f"`{c}`")
+                         for c in df.columns])
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | str | None = None) -> DataFrame:
