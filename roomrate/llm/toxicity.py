@@ -81,11 +81,18 @@ def present(raw: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tup
     return pair // len(vocabulary), pair % len(vocabulary)
 
 
-def _sample(docs: DataFrame, size: int, id_col: str) -> DataFrame:
-    """``size`` documents of the smallest hashed ids (all, if fewer)."""
-    ids = (docs.select(id_col).distinct()
-           .orderBy(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), id_col).limit(size))
-    return docs.join(ids, id_col, "left_semi")
+def _sample(docs: DataFrame, toxic: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(positive, text) of the sampled documents. Ids are drawn first, so that
+    only they are shuffled, and the few drawn are broadcast to the texts."""
+    ids = docs.select(id_col).distinct().join(toxic.withColumn("positive", F.lit(True)), id_col, "left")
+    order = [F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.col(id_col)]
+    drawn = (ids.filter("positive").orderBy(*order).limit(MAX_POSITIVE)
+             .unionByName(ids.filter("positive is null").orderBy(*order).limit(MAX_UNLABELLED)))
+    drawn = staged(drawn.select(F.col(id_col).alias("drawn"), F.col("positive").isNotNull().alias("positive")),
+                   "toxicity-drawn")
+    found = docs.select(id_col, F.col(text_col).alias("text")).join(
+        F.broadcast(drawn), F.col(id_col) == F.col("drawn"))
+    return staged(found.select("positive", "text"), "toxicity-sample")
 
 
 def _word_counts(sample: DataFrame) -> DataFrame:
@@ -188,12 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc
     prior = min(max(float(share), 1e-3), 0.9)
     nothing = Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     toxic = labels.filter(F.col(label_col) == 1).select(id_col).distinct()
-    train = docs.filter(is_train).select(id_col, F.col(text_col).alias("text"))
-    sample = (_sample(train.join(toxic, id_col, "left_semi"), MAX_POSITIVE, id_col)
-              .withColumn("positive", F.lit(True))
-              .unionByName(_sample(train.join(toxic, id_col, "left_anti"), MAX_UNLABELLED, id_col)
-                           .withColumn("positive", F.lit(False))))
-    sample = staged(sample, "toxicity-sample")
+    sample = _sample(docs.filter(is_train).select(id_col, F.col(text_col).alias("text")), toxic, id_col, "text")
     n = {r[0]: r[1] for r in sample.groupBy("positive").count().collect()}
     if not n.get(True) or not n.get(False):
         return nothing
