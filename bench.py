@@ -23,7 +23,7 @@ from roomrate.session import build_session  # noqa: E402
 
 HEADLINE = [
     "prepare_listings",
-    "frequency_filter",
+    "frequency_filter_mean",
     "zscore_filter_by_group",
     "annotate_count",
     "semi_join_keys",
