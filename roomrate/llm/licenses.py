@@ -10,9 +10,9 @@ and one of similarity 0.6 with probability above 0.999. A retrieved window is
 widened by its step on both sides and verified: the share of the template's
 distinct shingles that it contains exactly must be ``CONTAINMENT`` or more.
 
-Minima over windows come from minima over powers of two, so a coordinate
-costs a few passes over a document whatever the number of templates. The
-templates are given by the caller and broadcast; their size does not depend on
+Windows that hold no shingle of any template cannot share a coordinate with one
+and get no signature, so most text costs one look-up a shingle. The templates
+are given by the caller and broadcast; their size does not depend on
 the documents. Documents are read once, whole, and not shuffled.
 
 Defined results: null and empty texts have no matches; a template with fewer
@@ -104,6 +104,8 @@ class Library:
             self.sets.append(np.unique(h))
             self.n_words.append(len(words))
             by_length.setdefault((len(h), min(SHINGLE, len(words))), []).append(len(self.names) - 1)
+        #: sorted shingles of any template
+        self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(1, np.uint64)
         #: (window, step, words in a shingle, per band: sorted keys and their templates)
         self.lengths = []
         for (n, k), members in sorted(by_length.items()):
@@ -134,49 +136,40 @@ def _window_starts(bounds: np.ndarray, n: int, step: int) -> tuple[np.ndarray, n
 
 
 def retrieve(h: np.ndarray, bounds: np.ndarray, lib: Library, k: int) -> list[tuple[int, int, int]]:
-    """(template, first shingle, shingles) of windows that share a band."""
+    """(template, first shingle, shingles) of windows that share a band.
+
+    A coordinate of a window equals one of a template only if the shingle that
+    gives it is in both, so windows without any template's shingle share no
+    band and get no signature."""
     asked = [x for x in lib.lengths if x[2] == k]
     if not len(h) or not asked:
         return []
-    place = _places(h)
-    windows = [_window_starts(bounds, n, step) for n, step, _, _ in asked]
-    hits: list[set] = [set() for _ in asked]
-    for b in range(lib.bands):
-        # a single shingle is its own minimum: one band finds it surely
-        use = [i for i, (n, _, _, _) in enumerate(asked) if n > 1 or b == 0]
-        if not use:
+    known = lib.known[np.minimum(np.searchsorted(lib.known, h), len(lib.known) - 1)] == h
+    if not known.any():
+        return []
+    before = np.concatenate([[0], np.cumsum(known)])
+    place, out = _places(h), []
+    for n, step, _, tables in asked:
+        start, size = _window_starts(bounds, n, step)
+        some = before[start + size] > before[start]
+        start, size = start[some], size[some]
+        if not len(start):
             continue
-        keys = [np.full(len(windows[i][0]), b + 1, np.uint64) for i in use]
-        for r in range(lib.rows):
-            level, width = _coordinate(place, b * lib.rows + r), 1
-            levels = {1: level}
-            top = max(asked[i][0] for i in use)
-            while 2 * width <= top:  # minima over twice as many shingles
-                wide = level.copy()
-                np.minimum(level[:-width], level[width:], out=wide[:-width])
-                level, width = wide, 2 * width
-                levels[width] = level
-            for at, i in enumerate(use):
-                start, size = windows[i]
-                half = 1 << int(asked[i][0]).bit_length() - 1
-                if (size < half).any():  # documents shorter than the window
-                    low = np.minimum.reduceat(levels[1], np.stack([start, np.minimum(start + size, len(h) - 1)], 1).ravel())[::2]
-                    last = levels[1][start + size - 1]
-                    low = np.minimum(low, last)
-                    full = size >= half
-                    low[full] = np.minimum(levels[half][start[full]], levels[half][start[full] + size[full] - half])
-                else:
-                    low = np.minimum(levels[half][start], levels[half][start + size - half])
-                keys[at] = _mix_band(keys[at], low)
-        for at, i in enumerate(use):
-            table, members = asked[i][3][b]
-            key = mix64(keys[at])
-            lo = np.searchsorted(table, key, "left")
-            found = np.flatnonzero(table[np.minimum(lo, len(table) - 1)] == key)
-            hi = np.searchsorted(table, key[found], "right")
-            for w, a, z in zip(found.tolist(), lo[found].tolist(), hi.tolist()):
-                hits[i].update((int(t), w) for t in members[a:z])
-    return [(t, int(windows[i][0][w]), int(windows[i][1][w])) for i in range(len(asked)) for t, w in hits[i]]
+        # shingles of each window (a short one repeats its last)
+        window = place[start[:, None] + np.minimum(np.arange(n)[None, :], size[:, None] - 1)]
+        hits = set()
+        # a single shingle is its own minimum: one band finds it surely
+        for b in range(lib.bands if n > 1 else 1):
+            key = np.full(len(start), b + 1, np.uint64)
+            for r in range(lib.rows):
+                key = _mix_band(key, _coordinate(window, b * lib.rows + r).min(axis=1))
+            key = mix64(key)
+            table, members = tables[b]
+            lo, hi = np.searchsorted(table, key, "left"), np.searchsorted(table, key, "right")
+            for w in np.flatnonzero(hi > lo).tolist():
+                hits.update((int(t), w) for t in members[lo[w]:hi[w]])
+        out += [(t, int(start[w]), int(size[w])) for t, w in hits]
+    return out
 
 
 def scan_slice(raw: np.ndarray, offsets: np.ndarray, lib: Library, containment: float) -> list[list[tuple]]:
