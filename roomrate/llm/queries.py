@@ -78,7 +78,7 @@ def op1_personal_data(spark, sf_dir):
 @query
 def op6_line_dedup(spark, sf_dir):
     """Fuzzy duplicate lines of documents: line numbers that go."""
-    return lines.line_report(table(spark, sf_dir, "documents"))
+    return lines.line_report(table(spark, sf_dir, "documents"), whole=True)
 
 
 @query
