@@ -4,9 +4,12 @@ Fitted on a bounded sample (``SAMPLE`` distinct vectors of the smallest hashed
 ids): the sample's exact neighbour graph is cut into balanced parts (every
 part within ``BALANCE`` of the mean size) that keep neighbours together, and a
 small softmax classifier learns a vector's part. Every vector is indexed, in
-its most probable part; a query is routed to its ``PROBES`` most probable
+its most probable part; a query is routed to its ``probes`` most probable
 parts, whose vectors are ranked by the exact inner product in double
-precision.
+precision. The number of probes is measured: a router is fitted on half of the
+sample, and held-out vectors of the other half look for their ``NEAREST``
+exact neighbours in it; the fewest probes that find ``RECALL`` of them count,
+but no fewer than ``PROBES``.
 
 Equal vectors have equal scores, and ties go to smaller ids, so of each
 distinct vector only the ``k`` + 1 smallest ids can be among any query's
@@ -36,7 +39,11 @@ from roomrate.llm.common import staged
 SAMPLE, NEIGHBOURS = 4096, 10
 PART_SIZE, MAX_PARTS = 256, 16
 BALANCE = 1.15
+#: Fewest probes, however high their recall.
 PROBES = 6
+#: Recall asked for of the probes (0.9 with a margin), of so many neighbours,
+#: measured on at most so many held-out vectors.
+RECALL, NEAREST, HELD_OUT = 0.94, 20, 1024
 BLOCK, QUERY_BLOCK = 8192, 1024
 ROUNDS, EPOCHS, RATE = 20, 300, 0.05
 
@@ -128,19 +135,44 @@ def _usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                     & F.exists("vec", lambda x: x != 0)))
 
 
+def _train(x: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    graph = neighbour_graph(x, min(NEIGHBOURS, len(x) - 1))
+    part = balanced_parts(x, graph, parts)
+    onehot = np.eye(parts)[part]
+    return fit_router(x, 0.5 * onehot + 0.5 * onehot[graph].mean(axis=1), parts)
+
+
+def _ranked_parts(x: np.ndarray, router: tuple) -> np.ndarray:
+    scale, w, b = router
+    return np.argsort(-((x / scale) @ w + b), axis=1, kind="stable")
+
+
+def _probes(x: np.ndarray, parts: int) -> int:
+    """Fewest probes, ``PROBES`` at least, whose recall on held-out vectors is ``RECALL``."""
+    order = np.random.default_rng(7).permutation(len(x))
+    learned, asked = x[order[len(x) // 2:]], x[order[:len(x) // 2][:HELD_OUT]]
+    router = _train(learned, parts)
+    home = _ranked_parts(learned, router)[:, 0]
+    place = np.argsort(_ranked_parts(asked, router), axis=1)  # of each part in a query's order
+    k = min(NEAREST, len(learned))
+    near = np.argpartition(-(asked @ learned.T), k - 1, axis=1)[:, :k]
+    needs = place[np.arange(len(asked))[:, None], home[near]] + 1
+    recall = np.cumsum(np.bincount(needs.ravel(), minlength=parts + 1)[1:]) / needs.size
+    few = int(np.searchsorted(recall, RECALL)) + 1
+    return min(max(few, PROBES), parts)
+
+
 def fit(vectors: DataFrame) -> tuple | None:
-    """Router from a bounded sample of ``vectors`` (id, vec); None without any."""
+    """Router (scale, weights, bias) and its number of probes from a bounded
+    sample of ``vectors`` (id, vec); None without any."""
     rows = (vectors.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE).select("vec").collect())
     if not rows:
         return None
     x = np.unique(np.array([r.vec for r in rows], np.float64), axis=0)
     parts = int(np.clip(len(x) // PART_SIZE, 1, MAX_PARTS))
     if parts == 1:
-        return np.ones(x.shape[1]), np.zeros((x.shape[1], 1)), np.zeros(1)
-    graph = neighbour_graph(x, min(NEIGHBOURS, len(x) - 1))
-    part = balanced_parts(x, graph, parts)
-    onehot = np.eye(parts)[part]
-    return fit_router(x, 0.5 * onehot + 0.5 * onehot[graph].mean(axis=1), parts)
+        return (np.ones(x.shape[1]), np.zeros((x.shape[1], 1)), np.zeros(1)), 1
+    return _train(x, parts), _probes(x, parts)
 
 
 def route(vectors: DataFrame, router: tuple, probes: int) -> DataFrame:
@@ -205,17 +237,22 @@ def _distinct(vectors: DataFrame, k: int) -> DataFrame:
                                         F.sort_array(F.collect_list("id")).alias("ids")))
 
 
-def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20, probes: int = PROBES,
+def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20, probes: int | None = None,
             id_col: str = "vec_id", vec_col: str = "embedding", router: tuple | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every row
-    for which ``is_query``, a function of the id column, holds."""
+    for which ``is_query``, a function of the id column, holds. ``probes``
+    replaces the measured number; a ``router`` that is given without it
+    searches all parts."""
     usable = _usable(vectors.filter(F.col(vec_col).isNotNull()), id_col, vec_col)
     sizes = usable.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if sizes is None:
         return usable.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"),
                              F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     usable = usable.filter(F.size("vec") == sizes["n"])
-    router = router or fit(usable)
+    measured = None
+    if router is None:
+        router, measured = fit(usable)
+    probes = probes or measured or router[1].shape[1]
     distinct = staged(_distinct(usable, k + 1), "ann-vectors")
     index = staged(
         route(distinct.select(F.col("ids")[0].alias("id"), "vec"), router, 1)

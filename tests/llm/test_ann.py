@@ -46,6 +46,21 @@ def test_recall_on_embeddings(spark):
         assert rows == sorted(rows, key=lambda r: (-r[1], r[0]))
 
 
+def test_recall_with_all_parts_in_use(spark):
+    """Vectors of the embeddings' law (unit norm, nearly isotropic, 64
+    components), enough for the largest number of parts."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6400, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    (_, w, _), probes = ann.fit(ann._usable(df, "vec_id", "embedding"))
+    assert w.shape[1] == ann.MAX_PARTS
+    got, want = found(ann.nearest(df, lambda i: i % 20 == 0)), exact(np.arange(6400), x.astype(np.float64), 20)
+    r = recall(got, want)
+    print(f"probes {probes} recall {r:.4f}")
+    assert r >= 0.9
+
+
 def test_clusters_many_parts_and_hot_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 128)
     monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
