@@ -13,10 +13,11 @@ Interpolated Kneser-Ney: P(c | ab) = (n(abc) - D)/n(ab.) + D * t(ab)/n(ab.) * P(
 with continuation counts for the lower orders and a uniform floor.
 
 The prediction is the language of the lowest cross-entropy per character.
-Rejection is calibrated: a text is in no learned language if its best model
-fits it no better than that model fits texts of the other languages (the
-median over a bounded sample of training documents, ``CALIBRATION`` per
-language), with room for the spread of short texts.
+Rejection is calibrated on all training documents: a text is in no learned
+language if its best model fits it worse than that language's own texts of
+its length (their 0.99 quantile and as much again as this is above the
+median), or no better than it fits texts of the closest other language
+(median), if that is above the quantile.
 
 Defined results: null texts and texts without a letter are ``und``, rejected,
 score 0. Ties go to the language that sorts first. With nothing to learn from,
@@ -32,16 +33,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import string_slices
+from roomrate.llm.common import staged, string_slices
 
 ORDER = 3
 BITS = 8
 SPACE = 32
 DISCOUNT = 0.75
-#: Documents per language whose cross-entropy calibrates the rejection.
-CALIBRATION = 1_000
-#: Standard errors above the limit that are still accepted, for short texts.
-SLACK_Z = 4.0
+#: Share of a language's own training documents at or below its high quantile,
+#: and the room above it, in distances of that quantile from the median.
+QUANTILE, ROOM = 0.99, 1.0
+#: Lengths (powers of two) with fewer documents have no quantiles of their own.
+SIZE_DOCS, SIZES = 200, 32
 #: Characters in a prediction's favour that count at most for its score.
 SCORE_CHARS = 50
 UND = "und"
@@ -191,6 +193,25 @@ def _kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int, symbols: int)
     return out
 
 
+@dataclass
+class Limit:
+    """Cross-entropies that a language's own texts have, by language and
+    length, and those that its model gives to the closest other language."""
+
+    median: np.ndarray   # (language, size)
+    spread: np.ndarray   # (language, size): from the median to the high quantile
+    least: np.ndarray    # (language, size): n-grams from which that spread holds
+    closest: np.ndarray  # per language
+
+    def of(self, j: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Highest cross-entropy of texts of ``n`` n-grams in languages ``j``."""
+        size = np.minimum(np.log2(np.maximum(n, 1)).astype(np.int64), SIZES - 1)
+        # shorter texts than any that were learned from spread more
+        spread = self.spread[j, size] * np.sqrt(np.maximum(self.least[j, size] / np.maximum(n, 1), 1.0))
+        high = self.median[j, size] + spread
+        return np.minimum(high + ROOM * spread, np.maximum(high, self.closest[j]))
+
+
 @dataclass
 class Model:
     """Sorted n-gram hashes (codes) and log-probabilities by language."""
@@ -202,7 +223,7 @@ class Model:
     ctx: list[np.ndarray]          # per order: sorted contexts
     log_weight: list[np.ndarray]   # per order: (context, language); 0 if unseen
     floor: float                   # log-probability of a symbol never seen
-    limit: np.ndarray | None = None  # per language: highest cross-entropy, spread
+    limit: Limit | None = None
 
     def _level(self, codes: np.ndarray, k: int) -> np.ndarray:
         n_lang = len(self.languages)
@@ -263,18 +284,10 @@ def _assemble(counts, order: int) -> Model | None:
     return m
 
 
-def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str, id_col: str) -> None:
-    """For each language, the cross-entropy that its model gives texts of the
-    other languages (median; of even odds over all symbols, if there is no
-    other) and the spread of one character's share, over about
-    ``CALIBRATION`` documents per language, those of small hashed ids."""
+def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str) -> None:
+    """``model.limit`` from the cross-entropies of all training documents,
+    aggregated by language and length (powers of two)."""
     box = train.sparkSession.sparkContext.broadcast(model)
-    # at most a few thousand rows of scalars come back
-    sizes = {r[0]: r[1] for r in train.groupBy(F.col(lang_col).cast("string")).count().collect()}
-    share = F.create_map(*[x for lang in sizes for x in (
-        F.lit(lang), F.lit(min(1.0, CALIBRATION / sizes[lang])))])
-    u = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 20)) / float(1 << 20)
-    sample = train.filter(u < share[F.col(lang_col).cast("string")])
 
     def run(batches):
         m = box.value
@@ -285,27 +298,38 @@ def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str, id_
                     [langs, pa.array(n, pa.int64()), pa.array(list(h), pa.list_(pa.float64()))],
                     ["lang", "n", "h"])
 
-    got = (sample.select(F.col(lang_col).cast("string"), text_col)
-           .mapInArrow(run, "lang string, n long, h array<double>").filter("n > 0").toPandas())
-    limit = np.tile([-model.floor, 0.0], (len(model.languages), 1))
-    if len(got):
-        n, h = got["n"].to_numpy(np.float64), np.stack(got["h"].to_numpy())
-        for j, lang in enumerate(model.languages):
-            own = (got["lang"] == lang).to_numpy()
-            if (~own).any():
-                limit[j, 0] = np.median(h[~own, j])
-            if own.any():
-                limit[j, 1] = np.sqrt(np.mean(np.minimum(n[own] * (h[own, j] - np.median(h[own, j])) ** 2, 25.0)))
-    model.limit = limit
+    number = F.create_map(*[x for j, lang in enumerate(model.languages) for x in (F.lit(lang), F.lit(j))])
+    fits = staged(train.select(F.col(lang_col).cast("string").alias("lang"), text_col)
+                  .mapInArrow(run, "lang string, n long, h array<double>").filter("n > 0")
+                  .withColumn("j", number[F.col("lang")])
+                  .withColumn("size", F.floor(F.log2("n")).cast("int")), "language-fits")
+    own = F.percentile_approx(F.get("h", F.col("j")), [0.5, QUANTILE], 10_000).alias("q")
+    some = F.count(F.lit(1)).alias("docs")
+    med, high, least = (np.zeros((len(model.languages), SIZES)) for _ in range(3))
+    closest = np.full(len(model.languages), -model.floor)
+    whole = fits.groupBy("j").agg(own, F.percentile_approx("n", 0.5).alias("n"), F.array(*[
+        F.percentile_approx(F.get("h", F.lit(j)), 0.5) for j in range(len(model.languages))]).alias("others"))
+    for r in whole.collect():  # a row per language
+        med[r.j], high[r.j], least[r.j] = r.q[0], r.q[1], r.n
+        other = np.arange(len(closest)) != r.j
+        closest[other] = np.minimum(closest[other], np.array(r.others)[other])
+    sizes = fits.groupBy("j", "size").agg(own, some).filter(F.col("docs") >= SIZE_DOCS).collect()
+    first = {}
+    for r in sorted(sizes, key=lambda r: (r.j, r["size"])):
+        # a size with few documents has the values of the one below it, or of the first
+        lo = 0 if r.j not in first else r["size"]
+        first[r.j] = True
+        med[r.j, lo:], high[r.j, lo:], least[r.j, lo:] = r.q[0], r.q[1], 2.0 ** r["size"]
+    model.limit = Limit(med, high - med, least, closest)
 
 
 def fit(docs: DataFrame, is_train: Column, order: int = ORDER, lang_col: str = "lang",
-        text_col: str = "text", id_col: str = "doc_id") -> Model | None:
+        text_col: str = "text") -> Model | None:
     """Model from all rows that ``is_train`` and that name their language."""
     train = docs.filter(is_train & F.col(lang_col).isNotNull())
     model = _assemble(count_ngrams(train, order, lang_col, text_col).toPandas(), order)
     if model is not None:
-        _calibrate(model, train, lang_col, text_col, id_col)
+        _calibrate(model, train, lang_col, text_col)
     return model
 
 
@@ -318,8 +342,7 @@ def _predict_slice(model: Model | None, raw: np.ndarray, offsets: np.ndarray) ->
     low = h[np.arange(n_docs), best]
     gain = np.exp(-(h - low[:, None]) * np.minimum(n, SCORE_CHARS)[:, None])
     score = np.where(n > 0, 1.0 / gain.sum(axis=1), 0.0)
-    limit, spread = model.limit[best, 0], model.limit[best, 1]
-    reject = (n == 0) | (low > limit + SLACK_Z * spread / np.sqrt(np.maximum(n, 1)))
+    reject = (n == 0) | (low > model.limit.of(best, n))
     lang = [model.languages[i] if k else UND for i, k in zip(best.tolist(), n.tolist())]
     return lang, score, np.where(n > 0, low, np.nan), reject
 

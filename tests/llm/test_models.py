@@ -43,6 +43,28 @@ def test_language_awkward(spark, docs, awkward, nothing):
     assert langid.drop_rejected(other, model).count() == 0
 
 
+def test_language_left_out_and_junk_among_scripts(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "lang", "text")
+    model = langid.fit(docs.filter("lang <> 'fr'"), F.lit(True))
+    share = {r.lang: r.kept for r in docs.join(langid.predict(docs, model), "doc_id").groupBy("lang").agg(
+        F.avg((~F.col("rejected")).cast("int")).alias("kept")).collect()}
+    print(share)
+    assert share["fr"] < 0.1
+    assert min(share[x] for x in ("de", "en", "es")) > 0.97
+    rng = np.random.default_rng(6)
+    scripts = {"ru": "абвгдежзийклмнопрст", "zh": "的一是不了人我在有他这中大来上国", "ja": "のにはをたがでてとしれさ"}
+    rows = [(10**6 + 100 * j + i, lang, " ".join("".join(rng.choice(list(s), 5)) for _ in range(150)))
+            for j, (lang, s) in enumerate(scripts.items()) for i in range(60)]
+    many = docs.filter("lang = 'en'").union(spark.createDataFrame(rows, docs.schema))
+    model = langid.fit(many, F.lit(True))
+    other = docs.filter("lang <> 'en'").union(spark.createDataFrame(
+        [(1, "", "xqzk wvxj qqzx " * 30)], docs.schema))
+    kept = langid.drop_rejected(other, model).count() / other.count()
+    print(kept)
+    assert kept < 0.1
+    assert langid.drop_rejected(many, model).count() > 0.97 * many.count()
+
+
 def test_language_counts_are_whole(docs):
     rows = docs.limit(30).collect()
     some = docs.filter(F.col("doc_id").isin([r.doc_id for r in rows]))
