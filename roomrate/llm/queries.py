@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from roomrate.llm import ann, bpe, decontam, langid, licenses, lines, minhash, pii, tokens, toxicity
+from roomrate.llm import (alignment, ann, bpe, decontam, langid, licenses, lines, minhash, oracle, pii, tokens, toxicity,
+                          urls, whitening)
 from roomrate.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,33 @@ def op4_license_scan(spark, sf_dir):
 def op5_nearest(spark, sf_dir):
     """The 20 nearest vectors of every twentieth vector."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0, k=20)
+
+
+#: Rules of the registered URL filter.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op11_url_filter(spark, sf_dir):
+    """Verdicts on page urls: rules, and blocks propagated to aliases."""
+    judged = urls.judge(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    """Whitened embeddings, eight components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    """Alignment of a byte-level BPE and a piece tokenizer on documents."""
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
+ORACLE["op11_url_filter"] = oracle.url_filter(URL_RULES)
