@@ -3,8 +3,7 @@
 K-means is MLlib's (k-means|| init, distributed Lloyd iterations, one
 tree-aggregate per iteration). Its result depends on how rows are laid out
 across partitions even with a fixed seed, so the input is first put in a
-layout that depends only on the data: hash-partitioned by the row key into
-a fixed number of partitions and sorted by key inside each.
+layout that depends only on the data (see ``layout``).
 
 ``assign_nearest`` is the predict half on its own: the centres (K rows, a
 fitted model, size-checked) travel with the task, never as a cross join of
@@ -28,26 +27,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomrate.operators.encode import drop_feature_columns, feature_stages
+from roomrate.operators.layout import lay_out
 
 MAX_CENTRES = 10_000
-# Rows per task of an iterative fit. The number of tasks decides a fit's
-# result, so it follows from the data alone, never from the session.
-ML_ROWS_PER_PARTITION = 20_000
-
-
-def deterministic_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    return df.repartition(partitions, key).sortWithinPartitions(key)
-
-
-def fit_partitions(df: DataFrame, rows_per_partition: int = ML_ROWS_PER_PARTITION) -> int:
-    """Partition count for an iterative fit: rows / ``rows_per_partition``,
-    at least 1. Costs one count over the (pruned) input - small next to the
-    fit's passes."""
-    return partitions_for(df.count(), rows_per_partition)
-
-
-def partitions_for(rows: int, rows_per_partition: int = ML_ROWS_PER_PARTITION) -> int:
-    return max(1, -(-rows // rows_per_partition))
 
 
 def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
@@ -62,8 +44,7 @@ def kmeans_fit(df: DataFrame, inputs: list[str], k: int = 7, seed: int = 123,
     if key is not None:
         # shuffle only the key and the inputs (the layout is for the fit;
         # ``kmeans_assign`` then runs on the full rows where they are)
-        df = df.select(key, *inputs)
-        df = deterministic_layout(df, key, partitions or fit_partitions(df))
+        df = lay_out(df.select(*dict.fromkeys([key, *inputs])), key, partitions)
     else:
         df = df.select(*inputs)
     # K-means makes ~20 passes: materialise its input once for the fit, so

@@ -11,18 +11,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomrate.operators.columns import replace_when
+from roomrate.operators.joins import null_safe_join
 from roomrate.operators.regress import predict
 from roomrate.operators.split import TEST
 
 
+#: What stands for the predictions of one key that differ.
+REPEATED = {"mean": F.avg, "min": F.min, "max": F.max}
+
+
+def one_prediction(predictions: DataFrame, key: str, prediction: str, repeated: str = "error") -> DataFrame:
+    """(key, _pred): one row a key, the null key included."""
+    if repeated not in ("error", *REPEATED):
+        raise ValueError(f"repeated must be error, {', '.join(REPEATED)}")
+    k, p = F.col(f"`{key}`"), F.col(f"`{prediction}`")
+    told = REPEATED["min" if repeated == "error" else repeated](p)
+    if repeated == "error":
+        some = F.count(p)
+        differ = (F.min(p) != F.max(p)) | ((some > 0) & (some < F.count(F.lit(1))))
+        name = F.coalesce(F.max(k.cast("string")), F.lit("null"))
+        told = F.when(differ, F.raise_error(F.concat(F.lit(f"predictions differ for {key} = "), name))
+                      .cast(predictions.schema[prediction].dataType)).otherwise(told)
+    return predictions.groupBy(k.alias(key)).agg(told.alias("_pred"))
+
+
 def overlay_prediction(df: DataFrame, predictions: DataFrame, key: str, flag: str,
-                       target: str, prediction: str = "prediction") -> DataFrame:
+                       target: str, prediction: str = "prediction",
+                       repeated: str = "error") -> DataFrame:
     """J4 + P8 in the reference's form: left outer join of (key,
-    prediction) onto all rows, then replace ``target`` on test rows. The
-    join shuffles both sides on ``key`` (the prediction side grows with
-    the data, so it is not broadcast)."""
-    p = predictions.select(key, F.col(prediction).alias("_pred"))
-    joined = df.join(p, key, "left")
+    prediction) onto all rows, then replace ``target`` on test rows.
+
+    Every row of ``df`` comes out once. A null key is a key like any other and
+    takes the null key's prediction. A key with several predictions that differ
+    is an error, or ``repeated`` says which stands for them (mean, min, max;
+    nulls do not count); equal ones are one. A test row whose key has no
+    prediction gets null. The test for repeats is an aggregate of one row a
+    key; dealing that out again for the join keeps both sides plain shuffles,
+    which the adaptive optimiser may broadcast or, for a hot key (or the null
+    key) of ``df``, split."""
+    joined = null_safe_join(df, one_prediction(predictions, key, prediction, repeated), key, "left")
     out = replace_when(joined, F.col(flag) == F.lit(TEST), target, F.col("_pred"))
     return out.drop("_pred")
 

@@ -20,10 +20,10 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.operators.cluster import deterministic_layout, fit_partitions, partitions_for
 from roomrate.operators.encode import categorical_indexer, drop_feature_columns, feature_stages
 from roomrate.operators.evaluate import error_metrics
 from roomrate.operators.joins import join_small
+from roomrate.operators.layout import lay_out
 from roomrate.session import checkpoint_root
 
 MAX_CONCURRENT_FITS = 16
@@ -46,23 +46,24 @@ def gbt_fit(train: DataFrame, inputs: list[str], label: str, max_iter: int = 20,
             **gbt_params) -> PipelineModel:
     """M4. Rows without a label cannot train and are left out; missing
     inputs are treated as ``missing`` says (see ``encode.feature_stages``), in
-    the fit and whenever the model scores. With ``key``, the training rows are first hash-partitioned by key
-    into a fixed number of partitions and sorted inside each: MLlib's
-    split-candidate sample is drawn per partition, so this makes the model
-    independent of the input's file layout, and it spreads a training set
-    that arrived in few partitions over all cores. The laid-out rows are
-    persisted for the duration of the fit (the indexer pass and the
-    boosting passes then share one shuffle) and released afterwards."""
+    the fit and whenever the model scores. With ``key``, the training rows are
+    first put in the layout of ``layout.lay_out``: MLlib's split-candidate
+    sample is drawn per partition, so this makes the model independent of the
+    input's file layout, and it spreads a training set that arrived in few
+    partitions over all cores. The laid-out rows are persisted for the
+    duration of the fit (the indexer pass and the boosting passes then share
+    one shuffle) and released afterwards."""
     # MLlib checkpoints the boosting state every ``checkpointInterval``
     # trees into the SparkContext checkpoint folder: make sure it is the
     # shared one, so a lost executor does not cost the whole lineage
     checkpoint_root(train.sparkSession)
     # only what the fit reads is shuffled and cached
     t = train.filter(F.col(label).isNotNull()).select(
-        *([key] if key is not None else []), *inputs, F.col(label).cast("double").alias(label))
+        *([key] if key is not None else []), *[c for c in inputs if c != key],
+        F.col(label).cast("double").alias(label))
     pipe = gbt_pipeline(t, inputs, label, max_iter, max_categories, seed, missing, **gbt_params)
     if key is not None:
-        t = deterministic_layout(t, key, partitions or fit_partitions(t))
+        t = lay_out(t, key, partitions)
     t = t.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipe.fit(t)
@@ -93,22 +94,19 @@ def fit_per_group(df: DataFrame, group: str, inputs: list[str], label: str, key:
     """
     from roomrate.operators.filters import trainable_groups
 
-    groups_rows = trainable_groups(df, group, flag).select(group, "n_train").orderBy(group).collect()
-    if max_groups is not None and len(groups_rows) > max_groups:
+    groups = [r[0] for r in trainable_groups(df, group, flag).select(group).orderBy(group).collect()]
+    if max_groups is not None and len(groups) > max_groups:
         raise ValueError(f"more than {max_groups} groups to fit")
-    groups = [r[0] for r in groups_rows]
-    n_train = {r[0]: r[1] for r in groups_rows}
     # default: every group's fit at once (each is a small distributed job;
     # running them together keeps the cluster's slots busy)
     workers = max(1, min(parallelism or MAX_CONCURRENT_FITS, len(groups) or 1))
 
     def fit_one(g):
         part = df.filter(F.col(group).eqNullSafe(F.lit(g)))
-        # each fit is sized by its own rows: a cluster holding a third of
+        # each fit is laid out by its own bytes: a cluster holding a third of
         # the data gets a third-of-the-data's worth of tasks, small ones few
         train = part.filter(F.col(flag) == 1)
-        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key,
-                        partitions=partitions_for(n_train[g]), missing=missing)
+        model = gbt_fit(train, inputs, label, max_iter, max_categories, seed, key=key, missing=missing)
         scored = predict(model, part.filter(F.col(flag) == 0),
                          keep=[key, group, F.col(label).cast("double").alias(label)])
         return g, model, scored

@@ -303,6 +303,21 @@ def q_overlay_prediction(spark, d):
     return out.select("o_orderkey", "is_train", _r6("o_totalprice", "price"))
 
 
+def q_overlay_prediction_nulls(spark, d):
+    """J4 with a null key and keys of several predictions: rows of five orders
+    in seven keep their key, the rest share the null key; the predictions of a
+    key (two for every third order, one of them null for every ninth) count by
+    their mean."""
+    o = _flagged_orders(spark, d).withColumn(
+        "k", F.when(F.col("o_orderkey") % 7 < 5, F.col("o_orderkey") % 1000))
+    own = o.filter(F.col("is_train") == 0).select("k", "o_orderkey", F.col("o_totalprice").alias("prediction"))
+    again = own.filter(F.col("o_orderkey") % 3 == 0).withColumn(
+        "prediction", F.when(F.col("o_orderkey") % 9 != 0, F.col("prediction") + 100))
+    out = overlay_prediction(o.select("o_orderkey", "k", "is_train", "o_totalprice"),
+                             own.unionByName(again), "k", "is_train", "o_totalprice", repeated="mean")
+    return out.select("o_orderkey", "k", "is_train", F.round("o_totalprice", 4).alias("price"))
+
+
 # ------------------------------------------------------------- evaluation
 def q_mape(spark, d):
     m = ev.mape(_group_mean_predictions(spark, d))
@@ -624,7 +639,7 @@ def q_per_group_metrics(spark, d):
                     (F.col("rmse") < 0.5 * F.col("_spread")).alias("explains_price"))
 
 
-def _every_row(res, flagged, price_in_z: bool):
+def _every_row(res, flagged, price_in_z: bool, k: int):
     """Per row of ``flagged`` (all rows, with their clusters): is it clustered
     as the price test of its cluster says, and scored if and only if it is a
     test row of a trainable cluster?"""
@@ -638,7 +653,7 @@ def _every_row(res, flagged, price_in_z: bool):
          .join(kept, "o_orderkey", "left").join(preds, "o_orderkey", "left").fillna(False, ["_kept", "_scored", "_both"]))
     inside = F.coalesce(F.abs((F.col("price") - F.col("_m")) / F.nullif("_s", F.lit(0.0))) < Z_K, F.lit(False)) \
         if price_in_z else F.lit(True)
-    return j.select("o_orderkey", "is_train", own.between(0, K_LEAK_FREE).alias("has_cluster"),
+    return j.select("o_orderkey", "is_train", own.between(0, k - 1).alias("has_cluster"),
                     (F.col("_kept") == inside).alias("kept_as_stated"),
                     (F.col("_scored") == (F.col("_kept") & F.col("_both") & (F.col("is_train") == 0)))
                     .alias("scored_as_stated"),
@@ -654,7 +669,7 @@ def _clustered(spark, d):
 def q_clustered_price_model(spark, d):
     o, res = _clustered(spark, d)
     flagged = split_flag(kmeans_assign(res.kmeans, o), "o_orderkey", TRAIN_PCT, SEED, "is_train")
-    return _every_row(res, flagged, price_in_z=True)
+    return _every_row(res, flagged, price_in_z=True, k=K_FINAL)
 
 
 def q_clustered_price_summary(spark, d):
@@ -680,7 +695,7 @@ def q_leak_free_cluster_model(spark, d):
                                   max_iter=ITER_GROUP)
     flagged = res.clustered.select("o_orderkey", "is_train", "cluster").join(
         o.select("o_orderkey", "price"), "o_orderkey", "right")
-    return _every_row(res, flagged, price_in_z=False)
+    return _every_row(res, flagged, price_in_z=False, k=K_LEAK_FREE)
 
 
 QUERIES: dict[str, Query] = {

@@ -173,6 +173,17 @@ ORACLE: dict[str, str] = {
         select f.o_orderkey, f.is_train,
           round(case when f.is_train = 0 then m.p else f.o_totalprice end, 6) as price
         from f left join m on f.o_orderpriority = m.o_orderpriority""",
+    "overlay_prediction_nulls": f"""with o as (
+          select o_orderkey, case when o_orderkey % 7 < 5 then o_orderkey % 1000 end as k, is_train, o_totalprice
+          from {_FLAGGED} f),
+        p as (select k, o_totalprice as prediction from o where is_train = 0
+              union all
+              select k, case when o_orderkey % 9 <> 0 then o_totalprice + 100 end
+              from o where is_train = 0 and o_orderkey % 3 = 0),
+        m as (select k, avg(prediction) as prediction from p group by k)
+        select o.o_orderkey, o.k, o.is_train,
+          round(case when o.is_train = 0 then m.prediction else o.o_totalprice end, 4) as price
+        from o left join m on o.k is not distinct from m.k""",
     "mape": f"""select count(*) as n,
         round(avg(abs((label - prediction) / nullif(prediction, 0))), 6) as mape
         from {_GROUP_MEAN_PREDS} p""",

@@ -149,6 +149,25 @@ def test_overlay_prediction(spark):
     assert got == {1: 10.0, 2: 25.0, 3: None}
 
 
+def test_overlay_of_null_and_repeated_keys(spark):
+    df = spark.createDataFrame([(1, 1, 10.0), (2, 0, 20.0), (2, 0, 21.0), (None, 0, 30.0), (None, 1, 31.0), (0, 0, 40.0)],
+                               "id int, is_train int, price double").withColumn("row", F.monotonically_increasing_id())
+    schema = "id int, prediction double"
+    twice = spark.createDataFrame([(2, 25.0), (2, 27.0), (None, 5.0), (9, None), (9, 1.0)], schema)
+    for rule, want in (("mean", 26.0), ("min", 25.0), ("max", 27.0)):
+        got = overlay_prediction(df, twice, "id", "is_train", "price", repeated=rule).orderBy("row").collect()
+        assert [r.price for r in got] == [10.0, want, want, 5.0, 31.0, None]
+    with pytest.raises(Exception, match="predictions differ for id = 2"):
+        overlay_prediction(df, twice.filter("id = 2"), "id", "is_train", "price").collect()
+    with pytest.raises(Exception, match="predictions differ"):
+        overlay_prediction(df, twice.filter("id = 9"), "id", "is_train", "price").collect()
+    same = spark.createDataFrame([(2, 25.0), (2, 25.0), (None, 5.0), (None, 5.0)], schema)
+    got = overlay_prediction(df, same, "id", "is_train", "price").orderBy("row").collect()
+    assert [r.price for r in got] == [10.0, 25.0, 25.0, 5.0, 31.0, None]
+    with pytest.raises(ValueError):
+        overlay_prediction(df, same, "id", "is_train", "price", repeated="last")
+
+
 def test_metrics_zero_prediction_and_evaluator(spark):
     from pyspark.ml.evaluation import RegressionEvaluator
 
