@@ -35,7 +35,63 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     checkpoint_root(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def delete_staged(table: DataFrame) -> None:
+    """Delete the files of a table that ``staged`` returned. Nothing may read
+    it any more."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Owns the staged tables of one computation: each is deleted after its
+    last reader (``drop``), the rest when the ``with`` block ends, whether it
+    succeeds or not. What the block returns must be staged outside of it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.tables = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.drop(*self.tables)
+
+    def own(self, table: DataFrame) -> DataFrame:
+        """Take over a table that another function staged."""
+        self.tables.append(table)
+        return table
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return self.own(staged(df, name))
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            delete_staged(t)
+        self.tables = [t for t in self.tables if all(t is not x for x in tables)]
+
+
+_WORKER_TABLES: dict = {}
+
+
+def worker_table(key: tuple, make):
+    """What ``make`` returns, kept in this Python worker from task to task
+    under ``key``. A worker is used by one operator after the other and holds
+    one such table at a time, so that tables do not add up."""
+    if key not in _WORKER_TABLES:
+        _WORKER_TABLES.clear()
+        _WORKER_TABLES[key] = make()
+    return _WORKER_TABLES[key]
+
+
+def free_worker_tables() -> None:
+    """For tasks that keep none: let go of what operators before have kept."""
+    _WORKER_TABLES.clear()
 
 
 def string_slices(ids: pa.Array, texts: pa.Array,

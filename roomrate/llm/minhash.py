@@ -15,11 +15,16 @@ bands of 6 give the same.
 2. Classes that share a band key are linked to the smallest of them (a star,
    never all pairs); components of the stars are clusters that hold every
    candidate pair.
-3. Each cluster is verified on full shingle sets. A cluster is cut into
-   chunks and every pair of chunks is one small group, so a hot cluster
-   spreads over many tasks. A group computes exact intersections and returns
-   only the links that join something new within it, not all pairs.
-4. Components of the verified links; members get their class's component.
+3. Each cluster is verified on full shingle sets. Texts of members are read
+   once (the rest of the corpus is not shuffled for them). A cluster is cut into
+   chunks, each with the cluster's smallest member, the hub; every chunk is
+   one group, which finds what its members share through an index of their
+   shingles and returns only links that join something new. A cluster that this
+   joins, as copies of one text are, is done: each text was shipped once.
+4. In other clusters the members outside the largest group go to all chunks but
+   their own, and are compared with what is there; the rest is shipped a
+   second time and no more.
+5. Components of the verified links; members get their class's component.
 """
 
 from __future__ import annotations
@@ -30,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import (BROADCAST_ROWS, NOT_SPACE, Words, lower_ascii, mix64, shingle_hashes, staged,
-                                 string_slices)
+from roomrate.llm.common import (BROADCAST_ROWS, NOT_SPACE, Scratch, Words, free_worker_tables, lower_ascii, mix64,
+                                 shingle_hashes, staged, string_slices)
 from roomrate.llm.components import components
 
 ROWS, BANDS = 5, 38
@@ -96,6 +101,7 @@ def signatures(docs: DataFrame, shingle: int, rows: int, bands: int,
     """(id, n_shingles, key_a, key_b, bands) per row; no bands for empty sets."""
 
     def run(batches):
+        free_worker_tables()
         for batch in batches:
             for ids, raw, offsets in string_slices(batch.column(0), batch.column(1)):
                 h, bounds = shingle_sets(raw, offsets, shingle)
@@ -163,25 +169,34 @@ def similar_links(sets: list[np.ndarray], groups: np.ndarray, percent: int) -> l
     return links
 
 
-def _verified(classes: DataFrame, clusters: DataFrame, docs: DataFrame, shingle: int, percent: int,
-              id_col: str, text_col: str) -> DataFrame:
-    """Exact links (u, v) between classes of one cluster."""
-    members = clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles", "key_a", "key_b"),
-                            "node")
-    cuts = (clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles"), "node")
-            .groupBy("component")
-            .agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_DOCS),
-                            F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int").alias("cuts")))
-    chunk = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    rows = (members.join(cuts, "component").withColumn("chunk", chunk)
-            .join(texts, "node")
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
-            .select("component", F.least("chunk", "other").alias("i"),
-                    F.greatest("chunk", "other").alias("j"), "chunk", "node", "key_a", "key_b", "text"))
+def _cuts(n_docs: str, n_shingles: str):
+    """Chunks for so many documents and shingles."""
+    return F.greatest(F.ceil(F.col(n_docs) / CHUNK_DOCS), F.ceil(F.col(n_shingles) / CHUNK_SHINGLES)).cast("int")
+
+
+def _member_texts(classes: DataFrame, clusters: DataFrame, docs: DataFrame, id_col: str,
+                  text_col: str, scratch: Scratch) -> DataFrame:
+    """(component, cuts, chunk, node, n_shingles, key_a, key_b, text) of the
+    members of clusters."""
+    members = clusters.join(classes.select(F.col("rep").alias("node"), "n_shingles", "key_a", "key_b"), "node")
+    sizes = (members.groupBy("component").agg(F.count(F.lit(1)).alias("d"), F.sum("n_shingles").alias("s"))
+             .select("component", _cuts("d", "s").alias("cuts")))
+    wanted = scratch.stage(members.join(sizes, "component").withColumn(
+        "chunk", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")), "members")
+    few = wanted.count() <= BROADCAST_ROWS
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = texts.join(F.broadcast(wanted) if few else wanted, F.col("id") == F.col("node"))
+    return scratch.stage(found.select("component", "cuts", "chunk", "node", "n_shingles", "key_a", "key_b", "text"),
+                         "member-texts")
+
+
+def _links(rows: DataFrame, keys: list[str], shingle: int, percent: int) -> DataFrame:
+    """Exact links (u, v) between the classes of each group, those that join
+    something new; of two sides, only links across them."""
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("node", kind="stable")
+        free_worker_tables()
+        pdf = pdf.sort_values(["side", "node"], kind="stable")
         texts = [t.encode() for t in pdf["text"].fillna("")]
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         h, bounds = shingle_sets(np.frombuffer(b"".join(texts), np.uint8), offsets, shingle)
@@ -192,16 +207,45 @@ def _verified(classes: DataFrame, clusters: DataFrame, docs: DataFrame, shingle:
         own = (a == pdf["key_a"].to_numpy()) & (b == pdf["key_b"].to_numpy())
         own &= ~pdf.assign(own=own).duplicated(["node", "own"]).to_numpy()
         at = np.flatnonzero(own)
-        nodes, chunk = pdf["node"].to_numpy()[at], pdf["chunk"].to_numpy()[at]
+        nodes = pdf["node"].to_numpy()[at]
         if len(at) < 2:
             return pd.DataFrame({"u": [], "v": []}, dtype="int64")
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        groups = (chunk == j).astype(int) if i != j else np.zeros(len(at), int)
-        links = similar_links([h[bounds[x]:bounds[x + 1]] for x in at], groups, percent)
+        links = similar_links([h[bounds[x]:bounds[x + 1]] for x in at], pdf["side"].to_numpy()[at], percent)
         return pd.DataFrame({"u": [nodes[x] for x, _ in links], "v": [nodes[y] for _, y in links]},
                             dtype="int64")
 
-    return rows.groupBy("component", "i", "j").applyInPandas(verify, "u long, v long")
+    return (rows.select(*keys, "side", "node", "key_a", "key_b", "text").groupBy(*keys)
+            .applyInPandas(verify, "u long, v long"))
+
+
+def _verified(texts: DataFrame, shingle: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (u, v) that join the similar classes of each cluster."""
+    inside = texts.withColumn("side", F.lit(0))
+    hub = (F.col("cuts") > 1) & (F.col("node") == F.col("component"))
+    inside = inside.filter(~hub).unionByName(
+        inside.filter(hub).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))))
+    first = scratch.stage(_links(inside, ["component", "chunk"], shingle, percent), "chunk-links")
+    joined = scratch.own(components(first))
+    # members outside the largest group of a cluster of several chunks
+    grouped = (texts.filter("cuts > 1").select("component", "cuts", "chunk", "node", "n_shingles").distinct()
+               .join(joined.select("node", F.col("component").alias("grp")), "node", "left")
+               .withColumn("grp", F.coalesce("grp", "node")))
+    main = (grouped.groupBy("component", "grp").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("component").agg(F.max_by("grp", F.struct("n", "grp")).alias("main")))
+    outside = scratch.stage(grouped.join(main, "component").filter("grp <> main")
+                            .select("component", "cuts", "chunk", "node", "n_shingles"), "outside")
+    sizes = scratch.stage(
+        outside.groupBy("component").agg(F.count(F.lit(1)).alias("d"), F.sum("n_shingles").alias("s"))
+        .select("component", _cuts("d", "s").alias("parts")), "outside-sizes")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    there = texts.join(sizes, "component").withColumn("part", F.explode(every)).withColumn("side", F.lit(0))
+    come = (texts.join(outside.select("node"), "node", "left_semi").join(sizes, "component")
+            .withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts")).cast("int"))
+            .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).filter("to <> chunk")
+            .withColumn("chunk", F.col("to")).withColumn("side", F.lit(1)))
+    columns = ["component", "chunk", "part", "side", "node", "key_a", "key_b", "text"]
+    across = there.select(*columns).unionByName(come.select(*columns))
+    return first.unionByName(_links(across, ["component", "chunk", "part"], shingle, percent))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows: int = ROWS,
@@ -212,34 +256,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, rows:
     ``shingle``-word shingles (the whole sequence if there are fewer words);
     ``component_id`` is the smallest id reachable. Null and empty texts have
     no set and are linked with nothing. Rows that repeat an id are one
-    document, with the links of all its texts. Other columns are not read. Ids
-    are integers.
+    document, with the links of all its texts. A null id names no document:
+    such a row is linked with nothing, its ``component_id`` is null, and it is
+    kept. Other columns are not read. Ids are integers.
     """
-    sig = staged(signatures(docs, shingle, rows, bands, id_col, text_col), "signatures")
-    keys = ["key_a", "key_b", "n_shingles"]
-    classes = staged(sig.filter("n_shingles > 0").groupBy(*keys)
-                     .agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "classes")
-    banded = classes.select("rep", F.explode("bands").alias("band"))
-    hubs = (banded.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"))
-            .filter("hub < top").select("band", "hub"))
-    stars = (banded.join(hubs, "band").filter("rep <> hub")
-             .select(F.col("hub").alias("u"), F.col("rep").alias("v")))
-    clusters = components(stars)
-    links = _verified(classes.drop("bands"), clusters, docs, shingle, percent, id_col, text_col)
-    found = components(links).withColumnRenamed("node", "rep")
-    of_class = (classes.drop("bands").join(found, "rep", "left")
-                .select(*keys, F.coalesce("component", "rep").alias("component_id")))
-    out = (sig.drop("bands").join(of_class, keys, "left")
-           .withColumn("component_id", F.coalesce("component_id", "id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
-                      (F.col("id") == F.col("component_id")).alias("kept"))
+    with Scratch(docs.sparkSession) as scratch:
+        sig = scratch.stage(signatures(docs, shingle, rows, bands, id_col, text_col), "signatures")
+        keys = ["key_a", "key_b", "n_shingles"]
+        classes = scratch.stage(sig.filter("n_shingles > 0 and id is not null").groupBy(*keys)
+                                .agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands")), "classes")
+        banded = classes.select("rep", F.explode("bands").alias("band"))
+        hubs = (banded.groupBy("band").agg(F.min("rep").alias("hub"), F.max("rep").alias("top"))
+                .filter("hub < top").select("band", "hub"))
+        stars = (banded.join(hubs, "band").filter("rep <> hub")
+                 .select(F.col("hub").alias("u"), F.col("rep").alias("v")))
+        clusters = scratch.own(components(stars))
+        texts = _member_texts(classes.drop("bands"), clusters, docs, id_col, text_col, scratch)
+        found = scratch.own(components(_verified(texts, shingle, percent, scratch))).withColumnRenamed("node", "rep")
+        of_class = (classes.drop("bands").join(found, "rep", "left")
+                    .select(*keys, F.coalesce("component", "rep").alias("component_id")))
+        out = sig.drop("bands").join(of_class, keys, "left").withColumn(
+            "component_id", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")))
+        return staged(out.select(
+            F.col("id").alias(id_col), "n_shingles", "component_id",
+            F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept")), "near-duplicates")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          **parameters) -> DataFrame:
     """The rows of ``docs`` that are the first of their group, columns as they
     were. Rows whose id is null stay."""
-    gone = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters)
-                  .filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct(), "near-duplicates")
+    with Scratch(docs.sparkSession) as scratch:
+        found = scratch.own(near_duplicates(docs, id_col=id_col, text_col=text_col, **parameters))
+        gone = staged(found.filter(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct(), "gone")
     few = gone.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(gone) if few else gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")

@@ -14,7 +14,7 @@ CLASHES = ["id", "pos", "norm", "k1", "u", "v", "node", "component", "bands", "n
 
 @pytest.fixture(scope="session")
 def docs(spark):
-    return spark.read.parquet(f"{SF}/documents.parquet").cache()
+    return spark.read.parquet(f"{SF}/documents.parquet")
 
 
 @pytest.fixture(scope="session")
@@ -40,7 +40,7 @@ def awkward(spark):
     df = spark.createDataFrame(awkward_rows(), "doc_id long, text string, lang string")
     for c in CLASHES:
         df = df.withColumn(c, F.lit("clash"))
-    return df.cache()
+    return df
 
 
 @pytest.fixture(scope="session")

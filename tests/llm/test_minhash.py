@@ -43,11 +43,11 @@ def brute(rows, k, percent):
     for x, (i, _) in enumerate(sets):
         r = find(x)
         low[r] = min(low.get(r, i), i)
-    return sorted((i, len(s), low[find(x)], i == low[find(x)]) for x, (i, s) in enumerate(sets))
+    return sorted(((i, len(s), low[find(x)], i == low[find(x)]) for x, (i, s) in enumerate(sets)), key=repr)
 
 
 def check(df, k, percent):
-    got = sorted(tuple(r) for r in minhash.near_duplicates(df, k, percent).collect())
+    got = sorted((tuple(r) for r in minhash.near_duplicates(df, k, percent).collect()), key=repr)
     assert got == brute([(r.doc_id, r.text) for r in df.collect()], k, percent)
     return got
 
@@ -108,3 +108,44 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_null_ids(spark, awkward):
+    """Rows without an id are linked with nothing and stay."""
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    more = [(None, rows[5][1]), (None, rows[5][1]), (None, None), (None, "only here, with no id at all, some words")]
+    df = awkward.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = [tuple(r) for r in minhash.near_duplicates(df, 3, 85).collect()]
+    assert sorted((r for r in got if r[0] is not None), key=repr) == brute(rows, 3, 85)
+    assert sorted(r[2:] for r in got if r[0] is None) == [(None, True)] * 4
+    left = minhash.drop_near_duplicates(df, shingle=3, percent=85).collect()
+    assert sum(r.doc_id is None for r in left) == 4
+
+
+def test_a_joined_cluster_is_shipped_once(spark, monkeypatch):
+    """Near copies of one text over many chunks: no second round of texts."""
+    monkeypatch.setattr(minhash, "CHUNK_DOCS", 16)
+    shipped = []
+    own = minhash._links
+    monkeypatch.setattr(minhash, "_links", lambda rows, *a: (shipped.append(rows.count()), own(rows, *a))[1])
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join([*base[:i % 80], f"x{i}", *base[i % 80 + 1:]])) for i in range(240)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(df, 3, 85).collect()
+    assert {r.component_id for r in got} == {0}
+    assert shipped[0] <= 240 + 40 and shipped[1] == 0
+
+
+def test_no_task_holds_a_hub(spark):
+    """A hub with many neighbours is dealt by salt, in both directions."""
+    from pyspark.sql import functions as F
+
+    from roomrate.llm import components as c
+
+    star = spark.range(1, 20_001).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    up = spark.range(30_000, 50_000).select(F.lit(10**6).cast("long").alias("u"), F.col("id").alias("v"))
+    for edges in (star, up):
+        salted = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(c.SALTS)))
+        assert salted.groupBy("u", "salt").count().agg(F.max("count")).first()[0] < 200
+        got = components(edges)
+        assert got.select("component").distinct().count() == 1 and got.count() == 20_001
