@@ -34,6 +34,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from roomrate.llm.common import worker_table
+
 #: Bytes read before settled tokens are sent on.
 LOOK = 1024
 #: A hypothesis is one integer: last token + 1, then the trie node.
@@ -358,16 +360,11 @@ def decode(ids: list[int], bytes_of: dict[int, bytes], block: int = 1 << 16) ->
     yield d.finish()
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
-def _encoder(ranks_file: bytes, pattern: str) -> Encoder:
-    """One encoder a Python worker: its tables stay filled from task to task."""
-    key = (hashlib.sha256(ranks_file).digest(), pattern)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(parse_ranks(ranks_file), pattern)
-    return _ENCODERS[key]
+def worker_encoder(ranks_file: bytes, pattern: str) -> Encoder:
+    """One encoder a Python worker: its tables stay filled from task to task
+    until another operator runs in it."""
+    return worker_table(("bpe", hashlib.sha256(ranks_file).digest(), pattern),
+                        lambda: Encoder(parse_ranks(ranks_file), pattern))
 
 
 def _tokenizer(spark, ranks_path: str, pattern: str | None):
@@ -388,7 +385,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str | None = Non
     ranks, pattern = _tokenizer(docs.sparkSession, ranks_path, pattern)
 
     def run(batches):
-        enc = _encoder(ranks.value, pattern)
+        enc = worker_encoder(ranks.value, pattern)
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
@@ -423,7 +420,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str | None = None,
     ranks, pattern = _tokenizer(docs.sparkSession, ranks_path, pattern)
 
     def run(batches):
-        enc = _encoder(ranks.value, pattern)
+        enc = worker_encoder(ranks.value, pattern)
         bytes_of = enc.transducer.bytes_of
         for b in batches:
             n, ids_sha, text_sha, same = [], [], [], []

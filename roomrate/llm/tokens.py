@@ -1,6 +1,9 @@
 """Token counts of fields and sections by offset mapping (operator 2).
 
-A document is encoded once, whole, so its tokens are those that a model would
+A document is encoded once, whole (with a run longer than ``RUN`` of spaces or
+of anything else, by the transducer of operator 3, which gives the same tokens
+for runs of any length; the library's encoder, a few times as fast, does not
+survive them), so its tokens are those that a model would
 see, and not those of its sections encoded apart. Token lengths in bytes give
 each token's span; together with the bytes that begin a character they give
 spans in code points. Sections are intervals of code points; both lists are
@@ -25,31 +28,42 @@ not read.
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.bpe import parse_ranks
+from roomrate.llm.bpe import Encoder, parse_ranks
+from roomrate.llm.common import worker_table
 
 RULES = ("start", "majority", "fraction")
-_ENCODINGS: dict = {}
+#: Longest run that the library's encoder is given.
+RUN = 1000
+
 
+class TokenLengths:
+    """Byte lengths of the tokens of a text."""
 
-def _encoding(ranks_file: bytes, pattern: str):
-    """tiktoken's encoder and the byte length of each id, one a worker."""
-    import tiktoken
+    def __init__(self, ranks_file: bytes, pattern: str):
+        import tiktoken
 
-    key = (hash(ranks_file), pattern)
-    if key not in _ENCODINGS:
-        ranks = parse_ranks(ranks_file)
-        lengths = np.zeros(max(ranks.values()) + 1, np.int64)
-        for token, i in ranks.items():
-            lengths[i] = len(token)
-        _ENCODINGS.clear()
-        _ENCODINGS[key] = (tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=ranks,
-                                             special_tokens={}), lengths)
-    return _ENCODINGS[key]
+        self.ranks, self.pattern = parse_ranks(ranks_file), pattern
+        self.fast = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        self.any_run: Encoder | None = None
+        self.long_run = re.compile(rf"\s{{{RUN}}}|\S{{{RUN}}}")
+        self.size = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        self.size[list(self.ranks.values())] = [len(t) for t in self.ranks]
+
+    def __call__(self, text: str) -> np.ndarray:
+        if not self.long_run.search(text):
+            ids = self.fast.encode_ordinary(text)
+        else:
+            self.any_run = self.any_run or Encoder(self.ranks, self.pattern)
+            ids = self.any_run.encode(text)
+        return self.size[np.array(ids, np.int64)]
 
 
 def char_to_byte(data: np.ndarray) -> np.ndarray:
@@ -102,9 +116,9 @@ def _line_sections(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _run(box, pattern: str, rule: str, id_col: str, with_sections: bool):
-    def one(enc, lengths, text, sections):
+    def one(lengths, text, sections):
         data = np.frombuffer(text.encode(), np.uint8)
-        token_ends = np.cumsum(lengths[np.array(enc.encode_ordinary(text), np.int64)]) if text else np.zeros(0, np.int64)
+        token_ends = np.cumsum(lengths(text))
         if with_sections:
             sections = [s for s in (sections or []) if s is not None]
             start = np.array([s["start"] or 0 for s in sections], np.int64)
@@ -120,11 +134,12 @@ def _run(box, pattern: str, rule: str, id_col: str, with_sections: bool):
         return names, start, end, allocate(token_ends, lo, hi, rule, data), len(token_ends)
 
     def run(batches):
-        enc, lengths = _encoding(box.value, pattern)
+        lengths = worker_table(("section-tokens", hashlib.sha256(box.value).digest(), pattern),
+                               lambda: TokenLengths(box.value, pattern))
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                rows = [one(enc, lengths, t.as_py() or "", part.column(2)[i].as_py() if with_sections else None)
+                rows = [one(lengths, t.as_py() or "", part.column(2)[i].as_py() if with_sections else None)
                         for i, t in enumerate(part.column(1))]
                 n = np.array([len(r[0]) for r in rows])
                 take = pa.array(np.repeat(np.arange(len(rows)), n))
