@@ -2,12 +2,15 @@
 models, one per language.
 
 Text is lower-cased; every run of characters that are not letters is one
-space. Characters are hashed to 8 bits (Latin letters keep a value of their
-own), so an n-gram of order 3 is a 24-bit code. Counts of all training
-documents come from Spark (each task counts, the shuffle adds up); they are
-bounded by 2**24 codes a language however large the corpus. The driver turns
-them into n-gram probabilities kept in one sorted array of n-gram hashes with
-a column for each language, which tasks search.
+space. A symbol is 16 bits wide: a letter's code point, letters beyond the
+first 65,536 code points hashed to as many, so an n-gram of order 3 is a 48-bit
+code. Counts of all training documents, continuation counts, probabilities and
+the weights of contexts are DataFrames grouped by (language, code) and
+(language, context). Each language's come out as packed sorted arrays, and only
+these reach the driver, which lines them up in one sorted array of n-gram
+hashes with a column for each language, for tasks to search. A model grows
+with the n-grams that languages have, not with the corpus; above
+``MODEL_BYTES`` it is an error, as no part of it may be left out.
 
 Interpolated Kneser-Ney: P(c | ab) = (n(abc) - D)/n(ab.) + D * t(ab)/n(ab.) * P(c | b),
 with continuation counts for the lower orders and a uniform floor.
@@ -29,15 +32,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import staged, string_slices
+from roomrate.llm.common import Scratch, free_worker_tables, string_slices
 
 ORDER = 3
-BITS = 8
+BITS = 16
 SPACE = 32
+#: Distinct n-grams that a task counts before it passes them on, and the
+#: largest model.
+TALLY, MODEL_BYTES = 1 << 20, 1 << 29
 DISCOUNT = 0.75
 #: Share of a language's own training documents at or below its high quantile,
 #: and the room above it, in distances of that quantile from the median.
@@ -52,16 +59,14 @@ _CLASS: np.ndarray | None = None
 
 
 def _char_classes() -> np.ndarray:
-    """Code point -> 8-bit class; 0 for what is not a letter."""
+    """Code point -> 16-bit symbol; 0 for what is not a letter."""
     global _CLASS
     if _CLASS is None:
         points = np.arange(0x110000, dtype=np.uint32)
         letter = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-        hashed = ((points * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
-        cls = np.where(points < 256, points.astype(np.uint8), hashed)
-        cls[cls == 0] = 1
-        cls[(cls == SPACE) & letter] = 1
-        _CLASS = np.where(letter, cls, 0).astype(np.uint8)
+        hashed = (points * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+        cls = np.where(points < 1 << BITS, points, np.maximum(hashed, SPACE + 1))
+        _CLASS = np.where(letter, cls, 0).astype(np.uint16)
     return _CLASS
 
 
@@ -80,7 +85,7 @@ def _symbols(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     lens = np.array([len(t) + 1 for t in texts], np.int64)
     begin = np.concatenate([[0], np.cumsum(lens)])  # position of each text's leading break
     keep[begin] = True
-    sym = np.where(space, np.uint8(SPACE), sym)
+    sym = np.where(space, np.uint16(SPACE), sym)
     before = np.concatenate([[0], np.cumsum(keep)])
     return sym[keep], before[begin]
 
@@ -134,8 +139,15 @@ def count_ngrams(docs: DataFrame, order: int, lang_col: str, text_col: str) -> D
     """(lang, code, n): n-gram counts of all rows, by language."""
 
     def run(batches):
+        free_worker_tables()
         tally: dict[str, list] = {}
 
+        def rows(lang):
+            codes, n = tally.pop(lang)[0]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int64()),
+                 pa.array(n, pa.int64())], ["lang", "code", "n"])
+
         def flush(lang):
             codes = np.concatenate([c for c, _ in tally[lang]])
             n = np.concatenate([k for _, k in tally[lang]])
@@ -152,47 +164,56 @@ def count_ngrams(docs: DataFrame, order: int, lang_col: str, text_col: str) -> D
                     tally.setdefault(lang, []).append((seen, np.bincount(at, minlength=len(seen))))
                     if len(tally[lang]) > 64:
                         flush(lang)
-        for lang in tally:
+                        if len(tally[lang][0][0]) > TALLY:
+                            yield rows(lang)
+        for lang in list(tally):
             flush(lang)
-            codes, n = tally[lang][0]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int64()),
-                 pa.array(n, pa.int64())], ["lang", "code", "n"])
+            yield rows(lang)
 
     return (docs.select(F.col(lang_col).cast("string").alias("lang"), text_col)
             .mapInArrow(run, "lang string, code long, n long")
             .groupBy("lang", "code").agg(F.sum("n").alias("n")))
 
 
-def _lower_order(codes: np.ndarray, values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Continuation counts of (k-1)-grams: distinct k-grams that end in each."""
-    ends, at = np.unique(codes & ((1 << (BITS * (k - 1))) - 1), return_inverse=True)
-    return ends, np.bincount(at).astype(np.float64)
-
-
-def _kneser_ney(codes: np.ndarray, counts: np.ndarray, order: int, symbols: int) -> list[dict]:
-    """Per order 1..n: codes, interpolated probabilities, and for each context
-    the weight that goes to the order below."""
-    tables = {order: (codes, counts.astype(np.float64))}
-    for k in range(order, 1, -1):
-        tables[k - 1] = _lower_order(*tables[k], k)
-    out: list[dict] = []
-    below = None
-    for k in range(1, order + 1):
-        c, n = tables[k]
-        ctx, at = np.unique(c >> BITS, return_inverse=True)
-        total, types = np.bincount(at, n), np.bincount(at).astype(np.float64)
-        weight = DISCOUNT * types / total
+def kneser_ney(counts: DataFrame, order: int, scratch: Scratch) -> list[tuple[DataFrame, DataFrame]]:
+    """Per order 1..n: (lang, code, p), interpolated probabilities, and (lang,
+    ctx, weight), what each context gives to the order below. ``counts``:
+    (lang, code, n) of the highest order."""
+    tables = [counts]
+    for k in range(order, 1, -1):  # continuation counts: distinct k-grams that end in each (k-1)-gram
+        ends = F.col("code").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1))
+        tables.insert(0, scratch.stage(tables[0].groupBy("lang", ends.alias("code"))
+                                       .agg(F.count(F.lit(1)).alias("n")), "continuations"))
+    symbols = tables[0].select(F.count_distinct("code")).first()[0] + 1
+    out, below = [], None
+    for k, t in enumerate(tables, 1):
+        t = t.withColumn("ctx", F.shiftright("code", BITS))
+        ctx = scratch.stage(t.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("types"))
+                            .withColumn("weight", DISCOUNT * F.col("types") / F.col("total")), "contexts")
+        t = t.join(ctx, ["lang", "ctx"])
         if below is None:
-            low = np.full(len(c), 1.0 / symbols)
+            t = t.withColumn("low", F.lit(1.0 / symbols))
         else:
-            low = below["p"][np.searchsorted(below["codes"], c & ((1 << (BITS * (k - 1))) - 1))]
-        p = (n - DISCOUNT) / total[at] + weight[at] * low
-        below = {"codes": c, "p": p, "ctx": ctx, "weight": weight}
-        out.append(below)
+            t = (t.withColumn("ends", F.col("code").bitwiseAND(F.lit((1 << (BITS * (k - 1))) - 1)))
+                 .join(below.select("lang", F.col("code").alias("ends"), F.col("p").alias("low")), ["lang", "ends"]))
+        p = (F.col("n") - DISCOUNT) / F.col("total") + F.col("weight") * F.col("low")
+        below = scratch.stage(t.select("lang", "code", p.alias("p")), "probabilities")
+        out.append((below, ctx.select("lang", "ctx", "weight")))
     return out
 
 
+def _packed(table: DataFrame, key: str, value: str) -> DataFrame:
+    """(lang, keys, logs): a language's codes, sorted, and logarithms, as bytes."""
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        order = np.argsort(pdf[key].to_numpy(), kind="stable")
+        return pd.DataFrame({"lang": pdf["lang"].iloc[:1],
+                             "keys": [pdf[key].to_numpy(np.int64)[order].tobytes()],
+                             "logs": [np.log(pdf[value].to_numpy(np.float64)[order]).astype(np.float32).tobytes()]})
+
+    return table.groupBy("lang").applyInPandas(pack, "lang string, keys binary, logs binary")
+
+
 @dataclass
 class Limit:
     """Cross-entropies that a language's own texts have, by language and
@@ -258,29 +279,37 @@ class Model:
         return n, -total / np.maximum(n, 1)[:, None]
 
 
-def _assemble(counts, order: int) -> Model | None:
-    """Model from the collected counts (lang, code, n)."""
-    languages = sorted(set(counts["lang"]))
-    if not languages:
-        return None
-    symbols = len(np.unique(counts["code"].to_numpy() & ((1 << BITS) - 1))) + 1
-    per = []
-    for lang in languages:
-        own = counts[counts["lang"] == lang].sort_values("code")
-        per.append(_kneser_ney(own["code"].to_numpy(), own["n"].to_numpy(), order, symbols))
-    m = Model(order, languages, [], [], [], [], -float(np.log(symbols)))
-    for k in range(order):
-        codes = np.unique(np.concatenate([p[k]["codes"] for p in per]))
-        ctx = np.unique(np.concatenate([p[k]["ctx"] for p in per]))
-        logp = np.full((len(codes), len(per)), np.nan, np.float32)
-        weight = np.zeros((len(ctx), len(per)), np.float32)
-        for j, p in enumerate(per):
-            logp[np.searchsorted(codes, p[k]["codes"]), j] = np.log(p[k]["p"])
-            weight[np.searchsorted(ctx, p[k]["ctx"]), j] = np.log(p[k]["weight"])
-        m.codes.append(codes)
-        m.logp.append(logp)
-        m.ctx.append(ctx)
-        m.log_weight.append(weight)
+def _aligned(rows: list, languages: list[str], missing: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes of any language, and a column of logarithms for each."""
+    own = {r.lang: (np.frombuffer(r.keys, np.int64), np.frombuffer(r.logs, np.float32)) for r in rows}
+    codes = np.unique(np.concatenate([k for k, _ in own.values()]))
+    logs = np.full((len(codes), len(languages)), missing, np.float32)
+    for j, lang in enumerate(languages):
+        keys, values = own[lang]
+        logs[np.searchsorted(codes, keys), j] = values
+    return codes, logs
+
+
+def _assemble(counts: DataFrame, order: int) -> Model | None:
+    """Model from the counts (lang, code, n) of all training documents."""
+    with Scratch(counts.sparkSession) as scratch:
+        counts = scratch.stage(counts, "ngrams")
+        sizes = {r[0]: r[1] for r in counts.groupBy("lang").count().collect()}  # a row per language
+        languages = sorted(sizes)
+        if not languages:
+            return None
+        # a column for each language, four bytes each, for codes of any of them
+        if 4 * len(languages) * sum(sizes.values()) > MODEL_BYTES:
+            raise ValueError(f"{sum(sizes.values())} n-grams of {len(languages)} languages exceed MODEL_BYTES")
+        levels = kneser_ney(counts, order, scratch)
+        symbols = levels[0][0].select(F.count_distinct("code")).first()[0] + 1
+        m = Model(order, languages, [], [], [], [], -float(np.log(symbols)))
+        for table, contexts in levels:
+            for rows, missing, to in ((_packed(table, "code", "p"), np.nan, (m.codes, m.logp)),
+                                      (_packed(contexts, "ctx", "weight"), 0.0, (m.ctx, m.log_weight))):
+                codes, logs = _aligned(rows.collect(), languages, missing)
+                to[0].append(codes)
+                to[1].append(logs)
     return m
 
 
@@ -290,6 +319,7 @@ def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str) ->
     box = train.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        free_worker_tables()
         m = box.value
         for b in batches:
             for langs, raw, offsets in string_slices(b.column(0), b.column(1)):
@@ -299,27 +329,28 @@ def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str) ->
                     ["lang", "n", "h"])
 
     number = F.create_map(*[x for j, lang in enumerate(model.languages) for x in (F.lit(lang), F.lit(j))])
-    fits = staged(train.select(F.col(lang_col).cast("string").alias("lang"), text_col)
-                  .mapInArrow(run, "lang string, n long, h array<double>").filter("n > 0")
-                  .withColumn("j", number[F.col("lang")])
-                  .withColumn("size", F.floor(F.log2("n")).cast("int")), "language-fits")
-    own = F.percentile_approx(F.get("h", F.col("j")), [0.5, QUANTILE], 10_000).alias("q")
-    some = F.count(F.lit(1)).alias("docs")
-    med, high, least = (np.zeros((len(model.languages), SIZES)) for _ in range(3))
-    closest = np.full(len(model.languages), -model.floor)
-    whole = fits.groupBy("j").agg(own, F.percentile_approx("n", 0.5).alias("n"), F.array(*[
-        F.percentile_approx(F.get("h", F.lit(j)), 0.5) for j in range(len(model.languages))]).alias("others"))
-    for r in whole.collect():  # a row per language
-        med[r.j], high[r.j], least[r.j] = r.q[0], r.q[1], r.n
-        other = np.arange(len(closest)) != r.j
-        closest[other] = np.minimum(closest[other], np.array(r.others)[other])
-    sizes = fits.groupBy("j", "size").agg(own, some).filter(F.col("docs") >= SIZE_DOCS).collect()
-    first = {}
-    for r in sorted(sizes, key=lambda r: (r.j, r["size"])):
-        # a size with few documents has the values of the one below it, or of the first
-        lo = 0 if r.j not in first else r["size"]
-        first[r.j] = True
-        med[r.j, lo:], high[r.j, lo:], least[r.j, lo:] = r.q[0], r.q[1], 2.0 ** r["size"]
+    with Scratch(train.sparkSession) as scratch:
+        fits = scratch.stage(train.select(F.col(lang_col).cast("string").alias("lang"), text_col)
+                      .mapInArrow(run, "lang string, n long, h array<double>").filter("n > 0")
+                      .withColumn("j", number[F.col("lang")])
+                      .withColumn("size", F.floor(F.log2("n")).cast("int")), "language-fits")
+        own = F.percentile_approx(F.get("h", F.col("j")), [0.5, QUANTILE], 10_000).alias("q")
+        some = F.count(F.lit(1)).alias("docs")
+        med, high, least = (np.zeros((len(model.languages), SIZES)) for _ in range(3))
+        closest = np.full(len(model.languages), -model.floor)
+        whole = fits.groupBy("j").agg(own, F.percentile_approx("n", 0.5).alias("n"), F.array(*[
+            F.percentile_approx(F.get("h", F.lit(j)), 0.5) for j in range(len(model.languages))]).alias("others"))
+        for r in whole.collect():  # a row per language
+            med[r.j], high[r.j], least[r.j] = r.q[0], r.q[1], r.n
+            other = np.arange(len(closest)) != r.j
+            closest[other] = np.minimum(closest[other], np.array(r.others)[other])
+        sizes = fits.groupBy("j", "size").agg(own, some).filter(F.col("docs") >= SIZE_DOCS).collect()
+        first = {}
+        for r in sorted(sizes, key=lambda r: (r.j, r["size"])):
+            # a size with few documents has the values of the one below it, or of the first
+            lo = 0 if r.j not in first else r["size"]
+            first[r.j] = True
+            med[r.j, lo:], high[r.j, lo:], least[r.j, lo:] = r.q[0], r.q[1], 2.0 ** r["size"]
     model.limit = Limit(med, high - med, least, closest)
 
 
@@ -327,7 +358,7 @@ def fit(docs: DataFrame, is_train: Column, order: int = ORDER, lang_col: str = "
         text_col: str = "text") -> Model | None:
     """Model from all rows that ``is_train`` and that name their language."""
     train = docs.filter(is_train & F.col(lang_col).isNotNull())
-    model = _assemble(count_ngrams(train, order, lang_col, text_col).toPandas(), order)
+    model = _assemble(count_ngrams(train, order, lang_col, text_col), order)
     if model is not None:
         _calibrate(model, train, lang_col, text_col)
     return model
@@ -354,6 +385,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
     box = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        free_worker_tables()
         for b in batches:
             for ids, raw, offsets in string_slices(b.column(0), b.column(1)):
                 lang, score, h, reject = _predict_slice(box.value, raw, offsets)
@@ -373,6 +405,7 @@ def drop_rejected(docs: DataFrame, model: Model | None, text_col: str = "text")
     at = docs.columns.index(text_col)
 
     def run(batches):
+        free_worker_tables()
         for b in batches:
             keep = [~_predict_slice(box.value, raw, offsets)[3]
                     for _, raw, offsets in string_slices(b.column(at), b.column(at))]
