@@ -5,15 +5,15 @@ documents are unlabelled, toxic ones among them. With class prior p the risk
 of a classifier is p * R+(positives) + max(0, R-(unlabelled) - p * R-(positives)):
 the part of the unlabelled risk that the hidden positives cause is taken off,
 and the rest is held at or above 0 (Kiryo et al., 2017). The classifier is
-a logistic model over the presence of words and word stems, trained in numpy on the driver
-from a bounded sample: at most ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
-documents, those of the smallest hashed ids, and ``MAX_WORDS`` features. Every
-document is scored, from its whole text alone.
-
-Words, and their stems of ``STEMS`` bytes, are hashed (64 bits) after ASCII
-lower-casing. Those whose share among
-positives exceeds that expected of negatives (the prior-corrected share of
-unlabelled documents) most, and most surely, become features.
+a logistic model over the presence of words and word stems. Its features come
+from all training documents: words, and their stems of ``STEMS`` bytes, are
+hashed (64 bits) after ASCII lower-casing; tasks tally how many confirmed and
+unlabelled documents hold each, and the ``MAX_WORDS`` whose share among
+positives differs most surely from that expected of negatives (the
+prior-corrected share of unlabelled documents) become features. Only the
+weights are fitted on a sample, in numpy on the driver: at most
+``MAX_POSITIVE`` and ``MAX_UNLABELLED`` documents, those of the smallest hashed
+ids. Every document is scored, from its whole text alone.
 
 Defined results: null and empty texts have no words and get the score of the
 bias. Without positives or without unlabelled documents every score is
@@ -29,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import ALNUM, Words, lower_ascii, staged, string_slices
+from roomrate.llm.common import BROADCAST_ROWS, ALNUM, Words, free_worker_tables, lower_ascii, staged, string_slices
 
 MAX_POSITIVE, MAX_UNLABELLED = 2_000, 8_000
 #: Lengths of the stems (beginnings of longer words), in bytes.
 STEMS = (3, 4, 5, 6, 7, 8)
 MAX_WORDS = 1_000
-#: A word has to be in this many sampled documents, and a share this many
+#: A word has to be in this many training documents, and a share this many
 #: standard errors from what the other class explains, to be a feature.
 MIN_DOCS, MIN_Z = 3, 3.0
+#: Distinct words that a task tallies before it passes them on.
+TALLY = 1 << 20
 EPOCHS, RATE, L2 = 600, 0.05, 1e-3
 DEFAULT_PRIOR = 0.1
 
@@ -81,24 +83,45 @@ def present(raw: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> tup
     return pair // len(vocabulary), pair % len(vocabulary)
 
 
-def _sample(docs: DataFrame, toxic: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _marked(docs: DataFrame, toxic: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, positive, text) of all rows; texts are shuffled only if there are
+    more confirmed ids than a broadcast may hold."""
+    ids = toxic.select(F.col(id_col).alias("_toxic"))
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    found = docs.join(ids, F.col(id_col) == F.col("_toxic"), "left")
+    return found.select(F.col(id_col).alias("id"), F.col("_toxic").isNotNull().alias("positive"),
+                        F.col(text_col).alias("text"))
+
+
+def _sample(marked: DataFrame) -> DataFrame:
     """(positive, text) of the sampled documents. Ids are drawn first, so that
     only they are shuffled, and the few drawn are broadcast to the texts."""
-    ids = docs.select(id_col).distinct().join(toxic.withColumn("positive", F.lit(True)), id_col, "left")
-    order = [F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.col(id_col)]
+    ids = marked.select("id", "positive").distinct()
+    order = [F.xxhash64(F.col("id").cast("string"), F.lit(7)), F.col("id")]
     drawn = (ids.filter("positive").orderBy(*order).limit(MAX_POSITIVE)
-             .unionByName(ids.filter("positive is null").orderBy(*order).limit(MAX_UNLABELLED)))
-    drawn = staged(drawn.select(F.col(id_col).alias("drawn"), F.col("positive").isNotNull().alias("positive")),
-                   "toxicity-drawn")
-    found = docs.select(id_col, F.col(text_col).alias("text")).join(
-        F.broadcast(drawn), F.col(id_col) == F.col("drawn"))
+             .unionByName(ids.filter("not positive").orderBy(*order).limit(MAX_UNLABELLED)))
+    drawn = staged(drawn.select(F.col("id").alias("drawn")), "toxicity-drawn")
+    found = marked.join(F.broadcast(drawn), F.col("id") == F.col("drawn"))
     return staged(found.select("positive", "text"), "toxicity-sample")
 
 
-def _word_counts(sample: DataFrame) -> DataFrame:
-    """(word, pos, unl): documents of either kind that hold the word."""
+def word_counts(marked: DataFrame) -> DataFrame:
+    """(word, pos, unl): how many documents of either kind hold the word."""
+
+    def merged(parts):
+        h, pos, total = (np.concatenate(x) for x in zip(*parts))
+        u, at = np.unique(h, return_inverse=True)
+        return u, np.bincount(at, pos).astype(np.int64), np.bincount(at, total).astype(np.int64)
+
+    def rows(tally):
+        u, pos, total = tally
+        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(pos), pa.array(total - pos)],
+                                          ["word", "pos", "unl"])
 
     def run(batches):
+        free_worker_tables()
+        parts: list[tuple] = []
         for b in batches:
             for kinds, raw, offsets in string_slices(b.column(0), b.column(1)):
                 kind = np.array(kinds.to_pylist(), bool)
@@ -111,13 +134,16 @@ def _word_counts(sample: DataFrame) -> DataFrame:
                 new = np.ones(len(h), bool)
                 new[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
                 u, at = np.unique(h[new], return_inverse=True)
-                pos = np.bincount(at, kind[d[new]], minlength=len(u)).astype(np.int64)
-                total = np.bincount(at, minlength=len(u))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(u.view(np.int64)), pa.array(pos), pa.array(total - pos)],
-                    ["word", "pos", "unl"])
-
-    return (sample.select("positive", "text").mapInArrow(run, "word long, pos long, unl long")
+                parts.append((u, np.bincount(at, kind[d[new]], minlength=len(u)).astype(np.int64),
+                              np.bincount(at, minlength=len(u)).astype(np.int64)))
+                if len(parts) > 16:
+                    parts = [merged(parts)]
+                    if len(parts[0][0]) > TALLY:
+                        yield rows(parts.pop())
+        if parts:
+            yield rows(merged(parts))
+
+    return (marked.select("positive", "text").mapInArrow(run, "word long, pos long, unl long")
             .groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")))
 
 
@@ -187,7 +213,8 @@ def train_nnpu(x: np.ndarray, positive: np.ndarray, prior: float) -> tuple[np.nd
 def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "toxic") -> Model:
     """Model from the training documents; the class prior is the share of
-    toxic rows among labelled training documents."""
+    toxic rows among labelled training documents. A null id is never
+    confirmed toxic."""
     labels = labels.filter(is_train & F.col(label_col).isNotNull())
     share = labels.agg(F.avg(F.col(label_col).cast("double"))).first()[0]
     if share is None:
@@ -195,14 +222,14 @@ def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc
     prior = min(max(float(share), 1e-3), 0.9)
     nothing = Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     toxic = labels.filter(F.col(label_col) == 1).select(id_col).distinct()
-    sample = _sample(docs.filter(is_train).select(id_col, F.col(text_col).alias("text")), toxic, id_col, "text")
-    n = {r[0]: r[1] for r in sample.groupBy("positive").count().collect()}
+    marked = _marked(docs.filter(is_train), toxic, id_col, text_col)
+    n = {r[0]: r[1] for r in marked.groupBy("positive").count().collect()}
     if not n.get(True) or not n.get(False):
         return nothing
-    words = _features(_word_counts(sample), n[True], n[False], prior)
+    words = _features(word_counts(marked), n[True], n[False], prior)
     if not len(words):
         return nothing
-    lists, positive = _matrix(sample, words)
+    lists, positive = _matrix(_sample(marked), words)
     x = np.zeros((len(lists), len(words)), np.float32)
     for i, f in enumerate(lists):
         x[i, f] = 1
@@ -215,6 +242,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     box = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        free_worker_tables()
         for b in batches:
             for ids, raw, offsets in string_slices(b.column(0), b.column(1)):
                 s = box.value.scores(raw, offsets)

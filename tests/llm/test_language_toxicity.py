@@ -1,13 +1,16 @@
 """Language and toxicity models: held-out accuracy, awkward rows (operators 7, 9)."""
 
+import re
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from llm_fixtures import awkward, docs, nothing  # noqa: F401
 from roomrate.llm import langid, toxicity
+from roomrate.llm.common import ALNUM, Words
 from roomrate.llm.queries import QUERIES
 
 
@@ -80,21 +83,76 @@ def test_language_counts_are_whole(docs):
         assert abs(got[lang] - n) <= 2 * len(rows)
 
 
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(0)
-    sym = rng.integers(97, 103, 4000)
-    codes, counts = np.unique((sym[:-2] << 16) | (sym[1:-1] << 8) | sym[2:], return_counts=True)
-    tables = langid._kneser_ney(codes, counts, 3, 6)
-    t = tables[-1]
-    for c in t["ctx"]:
-        own = t["p"][(t["codes"] >> 8) == c].sum()
-        seen = t["codes"][(t["codes"] >> 8) == c] & 255
-        low = tables[1]
-        last = c & 255
-        rest = low["p"][((low["codes"] >> 8) == last) & ~np.isin(low["codes"] & 255, seen)].sum()
-        total = own + t["weight"][t["ctx"] == c][0] * rest
-        assert total <= 1 + 1e-9
-        assert total > 0.9
+def symbols(text):
+    out = [" "]
+    for c in text.lower():
+        if c.isalpha():
+            out.append(c)
+        elif out[-1] != " ":
+            out.append(" ")
+    return out + [" "]  # the break after the text
+
+
+def trigrams(text):
+    s = symbols(text)
+    return [tuple(s[i:i + 3]) for i in range(len(s) - 2)] if any(c != " " for c in s) else []
+
+
+class Direct:
+    """Interpolated Kneser-Ney written from its definition, on tuples."""
+
+    def __init__(self, texts, alphabet):
+        self.n = [None, {}, {}, {}]
+        for t in texts:
+            for g in trigrams(t):
+                self.n[3][g] = self.n[3].get(g, 0) + 1
+        for k in (2, 1):  # continuation counts
+            for g in self.n[k + 1]:
+                self.n[k][g[1:]] = self.n[k].get(g[1:], 0) + 1
+        self.alphabet = alphabet
+
+    def p(self, g):
+        if not g:
+            return 1 / self.alphabet
+        own = {x: n for x, n in self.n[len(g)].items() if x[:-1] == g[:-1]}
+        if not own:
+            return self.p(g[1:])
+        total = sum(own.values())
+        return max(own.get(g, 0) - langid.DISCOUNT, 0) / total + langid.DISCOUNT * len(own) / total * self.p(g[1:])
+
+
+def test_scores_equal_a_direct_model(spark):
+    """Cross-entropies of the sorted arrays against the definition; letters of
+    several scripts, of them some beyond 16 bits."""
+    texts = {"aa": ["The cat sat. The dog sat!", "a cat, a dog"], "bb": ["Der Hund saß; straße", "die Straße 12"],
+             "zz": ["猫坐在垫子上", "狗坐在𠀀𠀁上 猫"]}
+    rows = [(i, lang, t) for i, (lang, t) in enumerate((lang, t) for lang, ts in texts.items() for t in ts)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = langid.fit(docs, F.lit(True))
+    last = {g[-1] for ts in texts.values() for t in ts for g in trigrams(t)}
+    direct = [Direct(texts[x], len(last) + 1) for x in model.languages]
+    asked = [*(t for _, _, t in rows), "the straße", "猫 the 𠀀", "qqq", "Ωμέγα", "x"]
+    raw = [t.encode() for t in asked]
+    n, h = model.cross_entropy(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    for i, t in enumerate(asked):
+        grams = trigrams(t)
+        assert n[i] == len(grams)
+        for j, d in enumerate(direct):
+            assert h[i, j] == pytest.approx(-np.mean([np.log(d.p(g)) for g in grams]), rel=1e-5)
+    best = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert best == {i: lang for i, lang, _ in rows}
+
+
+def test_a_task_passes_on_what_it_counted(spark, docs, monkeypatch):
+    whole = {tuple(r) for r in langid.count_ngrams(docs, 3, "lang", "text").collect()}
+    monkeypatch.setattr(langid, "TALLY", 10)
+    assert {tuple(r) for r in langid.count_ngrams(docs, 3, "lang", "text").collect()} == whole
+
+
+def test_a_model_beyond_its_bound_is_an_error(docs, monkeypatch):
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1000)
+    with pytest.raises(ValueError, match="MODEL_BYTES"):
+        langid.fit(docs, F.lit(True))
 
 
 def test_toxicity_held_out(spark):
@@ -120,6 +178,47 @@ def test_toxicity_ignores_labels_of_the_held_out_fold(spark, docs):
     assert np.array_equal(a.words, b.words) and np.array_equal(a.weights, b.weights)
 
 
+def one_hash(word, stem=None):
+    raw = np.frombuffer(word, np.uint8)
+    w = Words(raw, np.array([0, len(raw)]), ALNUM)
+    return int(w.hash[0]) if stem is None else int(w.stems(stem, np.array([True]))[0])
+
+
+def test_scores_equal_a_direct_computation(spark):
+    """Each score from the set of a text's words and stems."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF001}/labels.parquet"), F.lit(True))
+    weight = dict(zip(model.words.tolist(), model.weights))
+    assert len(weight) >= 5
+    for r in toxicity.score(docs, model).join(docs.select("doc_id", "text"), "doc_id").collect():
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text)
+        words = {w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)}
+        seen = {one_hash(w) for w in words} | {one_hash(w, n) for w in words for n in toxicity.STEMS if len(w) > n}
+        z = model.bias + sum(weight.get(h, 0.0) for h in seen)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+def test_words_are_counted_over_all_documents(spark, monkeypatch):
+    """Confirmed documents beyond the sample count: their word becomes a
+    feature though no sampled document holds it."""
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 10)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 40)
+    monkeypatch.setattr(toxicity, "TALLY", 20)
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(base, 12)) + (" vile" if i < 100 else "")) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 100)) for i in range(200)], "doc_id long, toxic int")
+    drawn = docs.filter("doc_id < 100").orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), "doc_id").limit(10)
+    inside = {r.doc_id for r in drawn.collect()}
+    docs = docs.withColumn("text", F.when(F.col("doc_id").isin(inside), F.regexp_replace("text", " vile", "")).otherwise(F.col("text")))
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert one_hash(b"vile") in model.words.tolist()
+    counts = {r.word: (r.pos, r.unl) for r in toxicity.word_counts(
+        toxicity._marked(docs, labels.filter("toxic = 1"), "doc_id", "text")).collect()}
+    assert counts[np.uint64(one_hash(b"vile")).view(np.int64)] == (90, 0)
+
+
 def test_nnpu_finds_the_signal_behind_unlabelled_positives():
     rng = np.random.default_rng(0)
     y = rng.random(4000) < 0.3
