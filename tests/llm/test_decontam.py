@@ -65,7 +65,8 @@ def test_awkward(spark, awkward, nothing):
 def test_blocks_and_drop(spark, docs, awkward, monkeypatch):
     bench = spark.read.parquet(f"{SF0001}/benchmark.parquet")
     whole = {tuple(map(str, r)) for r in decontam.contamination(docs, bench).collect()}
-    monkeypatch.setattr(decontam, "ITEMS_PER_BLOCK", 7)
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(decontam, "PIECE_WORDS", 5)
     assert {tuple(map(str, r)) for r in decontam.contamination(docs, bench).collect()} == whole
     left = decontam.drop_contaminated(docs, bench)
     bad = {r.doc_id for r in decontam.contamination(docs, bench).filter("contaminated").collect()}
@@ -81,3 +82,44 @@ def test_positions(spark, n):
     bench = spark.createDataFrame([("x", text)], "item_id string, text string")
     got = decontam.contamination(docs, bench).collect()
     assert all(r.n_hit == n and r.n_words == n + r.doc_id for r in got)
+
+
+def test_benchmark_ten_times_the_budget(spark, docs, awkward, monkeypatch):
+    """Groups of tables one after the other: the same result, and never more
+    than the budget (or one block) broadcast."""
+    bench = spark.read.parquet(f"{SF0001}/benchmark.parquet")
+    rows = [(r.item_id, r.text) for r in bench.collect()]
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(decontam, "SHIFT_BITS", 8)
+    sizes = [r.size for r in decontam.compile_benchmark(bench, 10, "item_id", "text").collect()]
+    budget = sum(sizes) // 10
+    monkeypatch.setattr(decontam, "BUDGET_BYTES", budget)
+    shipped = []
+    own = decontam._box
+
+    def box(compiled, blocks):
+        b = own(compiled, blocks)
+        shipped.append(sum(map(len, b.value)))
+        return b
+
+    monkeypatch.setattr(decontam, "_box", box)
+    for table in (docs, awkward.withColumn("n_hit", decontam.F.lit("clash"))):
+        shipped.clear()
+        got = decontam.contamination(table, bench)
+        have = sorted((r.doc_id, r.n_words, r.n_hit, len(r["items"]),
+                       hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r.contaminated) for r in got.collect())
+        assert have == brute([(r.doc_id, r.text) for r in table.collect()], rows)
+        assert len(shipped) >= 8 and max(shipped) <= max(budget, max(sizes))
+        left = decontam.drop_contaminated(table, bench)
+        assert left.columns == table.columns
+        assert sorted(r.doc_id for r in left.collect()) == sorted(x[0] for x in have if not x[5])
+
+
+def test_a_long_item_is_cut_into_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "PIECE_WORDS", 7)
+    text = " ".join(f"w{i}" for i in range(60))
+    bench = spark.createDataFrame([("x", text), ("y", "w3 w4"), ("z", None)], "item_id string, text string")
+    docs = spark.createDataFrame([(0, text), (1, " ".join(text.split()[20:33])), (2, "w3 w4 w5"), (None, "w9")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontam.contamination(docs, bench).collect()}
+    assert got == {0: (60, ["x", "y"]), 1: (13, ["x"]), 2: (2, ["y"]), None: (0, [])}
