@@ -1,6 +1,8 @@
 """Learned partitions against exact search (operator 5)."""
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -53,8 +55,8 @@ def test_recall_with_all_parts_in_use(spark):
     x = rng.normal(size=(6400, 64))
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    (_, w, _), probes = ann.fit(ann._usable(df, "vec_id", "embedding"))
-    assert w.shape[1] == ann.MAX_PARTS
+    routers, probes = ann.fit(ann._usable(df, "vec_id", "embedding"))
+    assert routers.parts == ann.MAX_PARTS and routers.under is None
     got, want = found(ann.nearest(df, lambda i: i % 20 == 0)), exact(np.arange(6400), x.astype(np.float64), 20)
     r = recall(got, want)
     print(f"probes {probes} recall {r:.4f}")
@@ -63,11 +65,11 @@ def test_recall_with_all_parts_in_use(spark):
 
 def test_clusters_many_parts_and_hot_copies(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 128)
-    monkeypatch.setattr(ann, "QUERY_BLOCK", 16)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(40, 16))
     x = (centres[rng.integers(0, 40, 4000)] + 0.3 * rng.normal(size=(4000, 16))).astype(np.float32)
-    x[1000:2500] = x[1000]  # copies hold over a third
+    x[1000] *= 1.5 * np.linalg.norm(x, axis=1).max() / np.linalg.norm(x[1000])
+    x[1000:2500] = x[1000]  # copies hold over a third, the longest vector of all
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     got, want = found(ann.nearest(df, lambda i: i % 20 == 0)), exact(np.arange(4000), x.astype(np.float64), 20)
     assert recall(got, want) >= 0.9
@@ -96,3 +98,35 @@ def test_parts_are_balanced():
     x = rng.normal(size=(1000, 8)) + 3 * (np.arange(1000) < 700)[:, None]
     part = ann.balanced_parts(x, ann.neighbour_graph(x, 10), 8)
     assert np.bincount(part, minlength=8).max() <= np.ceil(1000 / 8 * ann.BALANCE)
+
+
+@pytest.mark.parametrize("n", [50_000, 200_000])
+def test_two_levels_on_clusters(spark, n):
+    """Recall with a small share of the vectors scored, and rows sent in
+    proportion to the vectors."""
+    rng = np.random.default_rng(n)
+    centres = rng.normal(size=(600, 24))
+    x = (centres[rng.integers(0, 600, n)] + 0.25 * rng.normal(size=(n, 24)))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(n), "embedding": list(x)})).repartition(8)
+    share = 20 if n < 100_000 else 200  # every row is indexed; of the larger table fewer are asked
+    scored = []
+    got = found(ann.nearest(df, lambda i: i % share == 0, scored=scored))
+    y = x.astype(np.float64)
+    want = {}
+    for q in range(0, n, share * 4):
+        s = y @ y[q]
+        near = np.argpartition(-s, 21)[:22]
+        want[q] = [(int(i), s[i]) for i in near[np.lexsort((near, -s[near]))] if i != q][:20]
+    r = recall({q: got[q] for q in want}, want)
+    print(f"n {n} recall {r:.4f} scored {scored[0][0] / scored[0][1]:.4f}")
+    assert r >= 0.9 and scored[0][0] <= 0.25 * scored[0][1]
+
+
+def test_isotropic_vectors_keep_one_level(spark, monkeypatch):
+    monkeypatch.setattr(ann, "TWO_LEVELS", 3000)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4500, 64))
+    df = spark.createDataFrame(pa.table({"id": np.arange(4500), "vec": list(x)}))
+    routers, probes = ann.fit(df)
+    assert routers.under is None and probes > routers.parts / 4
