@@ -18,8 +18,12 @@
 
 A span is found by wrapping matches in U+0001 and splitting there (U+0001 in
 a text is first replaced by U+0002, which no pattern matches either), so
-positions are sums of lengths, in code points. Possessive quantifiers and
-look-behinds state the same matches without backtracking over long runs.
+positions are running sums of lengths, in code points. Running sums, maxima and
+minima over an array are taken in chunks of ``CHUNK`` whose totals are summed
+up the same way, so their cost is linear in the matches of a text; spans of the
+two lists that overlap are found by one sort and two running extremes.
+Possessive quantifiers and look-behinds state the same matches without
+backtracking over long runs.
 
 Defined results: null texts are empty; an empty or clean text has the hash of
 an empty string and no spans; overlapping spans of different kinds all stay;
@@ -49,12 +53,12 @@ BASE = {
 # Looser patterns; the kinds that they propose.
 LOOSE = {
     "email": rf"(?<![{_LOCAL}])[A-Za-z0-9][{_LOCAL}]{{0,63}}+ ?(?:@|\(at\)|\[at\]|\{{at\}}) ?"
-             rf"[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{{dot\}}) ?[A-Za-z0-9-]++){{1,8}}+",
+             rf"[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]|\{{dot\}}) ?[A-Za-z0-9-]++)++",
     "phone": r"(?<![0-9A-Za-z.+-])(?<![+][0-9]{1,3} )\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?i)(?<![a-z0-9])(?:api[_-]?key|access[_-]?key|secret|token|password|passwd|pwd)"
-              r" {0,2}[=:] {0,2}[\"']?[a-z0-9/+_.-]{12,200}+",
+              r" {0,2}[=:] {0,2}[\"']?[a-z0-9/+_.-]{12,}+",
 }
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban", "secret")
 # Gazetteers.
@@ -71,29 +75,78 @@ CONTEXT = {
 }
 AGAINST = "version ver release isbn order invoice issue ticket section chapter page sku serial build"
 AROUND = 32
+#: Values of a running total's chunk, and how often chunks are chunked again.
+CHUNK, LEVELS = 64, 4
 EM_ROUNDS, GD_ROUNDS, GD_RATE, L2 = 60, 400, 0.5, 1e-3
 LABELERS = ("pattern", "gazetteer", "context", "shape")
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string,before:string,after:string,base:boolean>>"
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, an array, with the value found once and bound to a name."""
+    return F.flatten(F.transform(F.array(value), use))
+
+
+def running(values: Column, add, none: Column, level: int = LEVELS) -> Column:
+    """For each place of an array of ints (of ``none`` if there is nothing),
+    the total of the values up to and with it. ``add`` is associative."""
+
+    def plain(xs):
+        return F.slice(F.aggregate(xs, F.array(none), lambda acc, x: F.concat(
+            acc, F.array(add(F.element_at(acc, -1), x)))), F.lit(2), F.greatest(F.size(xs), F.lit(1)))
+
+    if not level:
+        return plain(values)
+
+    def chunked(xs):
+        cuts = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int")),
+                           lambda k: plain(F.slice(xs, k * CHUNK + 1, F.lit(CHUNK))))
+        return _once(cuts, lambda own: _once(
+            running(F.transform(own, lambda c: F.element_at(c, -1)), add, none, level - 1),
+            lambda before: F.flatten(F.transform(own, lambda c, k: F.when(k == 0, c).otherwise(
+                F.transform(c, lambda x: add(F.get(before, k - 1), x)))))))
+
+    return _once(values, lambda xs: F.when(F.size(xs) <= CHUNK, plain(xs)).otherwise(chunked(xs)))
+
+
 def spans(text: Column, pattern: str, kind: str, base: bool) -> Column:
     """Array of the pattern's matches in ``text`` (no U+0001 in it)."""
     parts = F.split(F.regexp_replace(text, pattern, "\u0001$0\u0001"), "\u0001")
 
-    # where each part ends; every other part is a match
-    ends = F.aggregate(parts, F.array(F.lit(0)), lambda acc, part: F.concat(
-        acc, F.array(F.element_at(acc, -1) + F.length(part))))
+    def cuts(p):
+        # where each part ends; every other part is a match
+        ends = running(F.transform(p, F.length), lambda a, b: a + b, F.lit(0))
+        return _once(ends, lambda e: F.transform(F.sequence(F.lit(1), F.size(p) - 2, F.lit(2)), lambda i: F.struct(
+            F.lit(kind).alias("kind"), F.get(e, i - 1).alias("start"), F.get(e, i).alias("end"),
+            F.get(p, i).alias("value"), F.right(F.get(p, i - 1), F.lit(AROUND)).alias("before"),
+            F.left(F.get(p, i + 1), F.lit(2)).alias("after"), F.lit(base).alias("base"))))
+
+    return _once(parts, lambda p: F.when(F.size(p) > 1, cuts(p)).otherwise(F.array().cast(_SPAN)))
+
+
+def without_overlap(loose: Column, base: Column) -> Column:
+    """The spans of ``loose`` that overlap none of ``base``, by start: none
+    that begins before ends later, none that begins inside."""
+    far = F.lit((1 << 31) - 1)
+
+    def sweep(every):
+        ended = running(F.transform(every, lambda s: F.when(s["loose"], 0).otherwise(s["end"])),
+                        lambda a, b: F.greatest(a, b), F.lit(0))
+        nexts = F.reverse(running(
+            F.transform(F.reverse(every), lambda s: F.when(s["loose"], far).otherwise(s["start"])),
+            lambda a, b: F.least(a, b), far))
+        both = F.array(F.struct(ended.alias("ended"), nexts.alias("nexts")))
+        return F.flatten(F.transform(both, lambda r: F.transform(
+            F.filter(every, lambda s, i: s["loose"] & (F.get(r["ended"], i) <= s["start"])
+                     & (F.get(r["nexts"], i) >= s["end"])), lambda s: s["span"])))
 
-    def cuts(row):
-        p, e = row["p"], row["e"]
-        return F.transform(F.sequence(F.lit(1), F.size(p) - 2, F.lit(2)), lambda i: F.struct(
-            F.lit(kind).alias("kind"), e[i].alias("start"), e[i + 1].alias("end"), p[i].alias("value"),
-            F.right(p[i - 1], F.lit(AROUND)).alias("before"), F.left(p[i + 1], F.lit(2)).alias("after"),
-            F.lit(base).alias("base")))
+    def marked(spans_, is_loose):
+        return F.transform(spans_, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(is_loose).alias("loose"), s["end"].alias("end"), s.alias("span")))
 
-    # parts and ends are bound to a name, so that they are found once per text
-    once = F.array(F.struct(parts.alias("p"), ends.alias("e")))
-    return F.when(F.size(parts) > 1, F.flatten(F.transform(once, cuts))).otherwise(F.array().cast(_SPAN))
+    # a base span comes before a loose one of the same start
+    return F.when((F.size(loose) == 0) | (F.size(base) == 0), loose).otherwise(
+        _once(F.array_sort(F.concat(marked(base, False), marked(loose, True))), sweep))
 
 
 def _digits(value: Column) -> Column:
@@ -145,9 +198,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
              for k, p in LOOSE.items()]
     found = clean.select(id_col, F.concat(*base).alias("base"), F.concat(*loose).alias("loose"))
     # what overlaps a base span adds nothing
-    free = F.filter("loose", lambda s: ~F.exists(
-        F.col("base"), lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
-    return found.select(id_col, "base", free.alias("loose"))
+    return found.select(id_col, "base", without_overlap(F.col("loose"), F.col("base")).alias("loose"))
 
 
 def _words(words: str) -> str:

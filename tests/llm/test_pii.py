@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+import time
+from itertools import accumulate
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -101,3 +104,58 @@ def test_estimate_prefers_the_labelers_that_agree():
 @pytest.mark.parametrize("n", ["4539148803436467", "79927398713", "0", "18"])
 def test_luhn(spark, n):
     assert spark.range(1).select(pii.luhn(F.lit(n))).first()[0] == luhn(n)
+
+
+def loose_brute(text):
+    """Loose candidates: matches of the loose patterns that overlap no base span."""
+    text = (text or "").replace("\x01", "\x02")
+    base = brute(text)
+    out = []
+    for kind, p in pii.LOOSE.items():
+        for m in regex.finditer(p, text):
+            if not any(m.start() < e and s < m.end() for s, _, e, _ in base):
+                out.append((kind, m.start(), m.end(), m[0]))
+    return sorted(out)
+
+
+def test_candidates_equal_brute_force(spark, docs, awkward):
+    rng = random.Random(21)
+    bits = ["a", "bob@x.com", "bob (at) x (dot) org", "@", "(555) 234-5678", "219-09-9999", "token=", "0c8b45435718dcc700c1",
+            "password: ", "GB82 WEST 1234 5698 7654 32", " ", "\n", "10.0.0.1", "+1 980 555 6268", "4539 1488 0343 6467", "é", "\x01",
+            "secret=" + "ab12" * 120, "z" * 50 + "@" + "a." * 12 + "com"]
+    rows = [(i, "".join(rng.choices(bits, k=rng.randint(1, 25)))) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for table in (df, docs, awkward):
+        texts = {}
+        for r in table.select("doc_id", "text").collect():
+            texts.setdefault(r.doc_id, r.text)
+        for r in pii.candidates(table, "doc_id", "text").collect():
+            assert sorted((s.kind, s.start, s.end, s.value) for s in r.loose) == loose_brute(texts[r.doc_id])
+
+
+def test_a_long_secret_is_whole(spark):
+    secret = "token = " + "a1b2c3d4" * 100
+    df = spark.createDataFrame([(i, f"x {secret} y") for i in range(30)], "doc_id long, text string")
+    found = pii.find(df).first()
+    assert [(s.kind, s.value) for s in found.spans] == [("secret", secret)]
+
+
+def test_cost_is_linear_in_matches(spark):
+    """200,000 matches in one text, base and loose ones between them."""
+    n = 100_000
+    df = spark.createDataFrame([(0, "1.2.3.4 219-09-9999 " * n)], "doc_id long, text string")
+    began = time.time()
+    r = pii.digest(pii.find(df)).first()
+    assert r.n_ip == n and time.time() - began < 120
+    text = ",".join(f"ip:{20 * i}:{20 * i + 7}" for i in range(n))
+    assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 128, 4096, 4097, 9000])
+def test_running_totals(spark, n):
+    rng = random.Random(n)
+    values = [rng.randrange(100) for _ in range(n)]
+    df = spark.createDataFrame([(values,)], "x array<int>")
+    add = df.select(pii.running(F.col("x"), lambda a, b: a + b, F.lit(0)).alias("r")).first().r
+    top = df.select(pii.running(F.col("x"), lambda a, b: F.greatest(a, b), F.lit(0)).alias("r")).first().r
+    assert add == list(accumulate(values)) and top == list(accumulate(values, max))
