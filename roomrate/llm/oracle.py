@@ -97,3 +97,60 @@ select j.page_id, j.host, j.path, j.rule,
        coalesce(j.action, case when b.node is not null then 'block' else 'allow' end) as verdict
 from judged j left join nodes n on n.url = j.url left join blocked b on b.node = n.node
 """
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def decontamination(window: int) -> str:
+    """Every window of every benchmark item against every window of as many
+    words of every document."""
+    words = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+with d as (select row_number() over () as r, doc_id, {words} as ws from documents),
+b as (select item_id, ws, least(len(ws), {window}) as m from (select item_id, {words} as ws from benchmark)
+      where len(ws) > 0),
+patterns as (
+  select distinct cast(item_id as varchar) as item, m, array_to_string(ws[i + 1:i + m], ' ') as words
+  from (select *, unnest(range(len(ws) - m + 1)) as i from b)),
+windows as (
+  select r, m, i, array_to_string(ws[i + 1:i + m], ' ') as words
+  from (select r, ws, m, unnest(range(len(ws) - m + 1)) as i
+        from d, (select distinct m from patterns) l where len(ws) >= m)),
+found as (select w.r, w.i, w.m, p.item from windows w join patterns p on w.m = p.m and w.words = p.words),
+hit as (
+  select r, count(distinct place) as n_hit
+  from (select r, unnest(range(i, i + m)) as place from (select distinct r, i, m from found)) group by r),
+items as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct r, item from found where item is not null) group by r)
+select d.doc_id, cast(len(d.ws) as bigint) as n_words, coalesce(h.n_hit, 0) as n_hit,
+       coalesce(t.n_items, 0) as n_items, sha256(coalesce(t.items, '')) as items_sha256,
+       coalesce(h.n_hit, 0) > 0 as contaminated
+from d left join hit h on h.r = d.r left join items t on t.r = d.r
+"""
+
+
+def near_duplicates(shingle: int, percent: int) -> str:
+    """All pairs that share a shingle, and the reach of each document over
+    similar ones."""
+    words = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
+    return rf"""
+with recursive d as (select doc_id, {words} as ws from documents),
+shingles as (
+  select distinct doc_id, array_to_string(ws[i + 1:i + {shingle}], ' ') as s
+  from (select *, unnest(range(greatest(len(ws) - {shingle} + 1, 1))) as i from d where len(ws) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as u, b.doc_id as v, count(*) as n from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (
+  select u, v from shared s join sizes a on a.doc_id = u join sizes b on b.doc_id = v
+  where 100 * s.n >= {percent} * (a.n + b.n - s.n)),
+steps as (select u, v from links union select v, u from links),
+reach(u, v) as (select u, v from steps union select r.u, s.v from reach r join steps s on r.v = s.u),
+low as (select u, min(v) as v from reach group by u)
+select d.doc_id, coalesce(z.n, 0) as n_shingles, least(d.doc_id, coalesce(l.v, d.doc_id)) as component_id,
+       d.doc_id <= coalesce(l.v, d.doc_id) as kept
+from d left join sizes z on z.doc_id = d.doc_id left join low l on l.u = d.doc_id
+"""

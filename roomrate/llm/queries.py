@@ -79,7 +79,7 @@ def op1_personal_data(spark, sf_dir):
 @query
 def op6_line_dedup(spark, sf_dir):
     """Fuzzy duplicate lines of documents: line numbers that go."""
-    return lines.line_report(table(spark, sf_dir, "documents"), whole=True)
+    return lines.line_report(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -130,4 +130,6 @@ def op13_token_alignment(spark, sf_dir):
                            public_tokenizers.path("piece_bpe_32k.model"))
 
 
+ORACLE["op8_decontamination"] = oracle.decontamination(10)
+ORACLE["op10_minhash"] = oracle.near_duplicates(3, 85)
 ORACLE["op11_url_filter"] = oracle.url_filter(URL_RULES)
