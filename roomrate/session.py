@@ -47,7 +47,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a shared folder "
                 "(HDFS, S3, ...) before running staged plans on a cluster")
