@@ -35,6 +35,7 @@ def main() -> None:
         with contextlib.redirect_stdout(buf):
             QUERIES[name](spark, sf_dir).explain("formatted")
         out += [f"## {name}", "", "```", buf.getvalue().strip(), "```", ""]
+    os.makedirs(os.path.join(ROOT, "docs"), exist_ok=True)
     with open(os.path.join(ROOT, "docs", "plans.md"), "w") as f:
         f.write("\n".join(out))
     spark.stop()
