@@ -34,7 +34,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from roomrate.llm.common import worker_table
+from roomrate.llm.common import tidy, worker_table
 
 #: Bytes read before settled tokens are sent on.
 LOOK = 1024
@@ -394,7 +394,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str | None = Non
                     [part.column(0), pa.array(ids, pa.list_(pa.int32()))], [id_col, "ids"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id") -> DataFrame:
@@ -409,7 +409,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id"
                                              [id_col, "text"])
 
     kind = dict(encoded.dtypes)[id_col]
-    return encoded.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, text string")
+    return encoded.select(id_col, "ids").mapInArrow(tidy(run), f"`{id_col}` {kind}, text string")
 
 
 def round_trip(docs: DataFrame, ranks_path: str, pattern: str | None = None,
@@ -441,5 +441,5 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str | None = None,
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
+        tidy(run), f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
              "round_trip boolean")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import ALNUM, Scratch, Words, lower_ascii, mix64, staged, string_slices, worker_table
+from roomrate.llm.common import ALNUM, Scratch, Words, lower_ascii, mix64, staged, string_slices, tidy, worker_table
 
 #: Text of a block, compiled tables that are searched at once, and windows of a piece.
 BLOCK_BYTES, BUDGET_BYTES, PIECE_WORDS = 1 << 20, 64 << 20, 4096
@@ -152,7 +152,7 @@ def _pieces(benchmark: DataFrame, window: int, item_col: str, text_col: str) ->
                     [ids.take(pa.array(items, pa.int64())), pa.array(pieces, pa.binary())], ["item", "piece"])
 
     return (benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "item string, piece binary"))
+            .mapInArrow(tidy(run), "item string, piece binary"))
 
 
 def compile_benchmark(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
@@ -234,7 +234,7 @@ def _search(docs: DataFrame, box, id_col: str, text_col: str) -> DataFrame:
                      pa.array(hit > 0, pa.bool_())],
                     [id_col, "n_words", "n_hit", "items", "contaminated"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, _schema(docs, id_col))
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), _schema(docs, id_col))
 
 
 def _hits(docs: DataFrame, box, id_col: str, text_col: str) -> DataFrame:
@@ -261,7 +261,7 @@ def _hits(docs: DataFrame, box, id_col: str, text_col: str) -> DataFrame:
                 at += len(ids)
 
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
-    return keyed.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, key long, "
+    return keyed.mapInArrow(tidy(run), f"id {dict(docs.dtypes)[id_col]}, key long, "
                                  "hits array<struct<start:long,end:long>>, items array<string>"
                             ).dropDuplicates(["id", "key"])
 
@@ -316,7 +316,7 @@ def _word_counts(keyed: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [ids, b.column(1).slice(at, len(ids)), pa.array(n, pa.int64())], [id_col, "key", "n_words"])
                 at += len(ids)
 
-    return keyed.mapInArrow(run, f"`{id_col}` {dict(keyed.dtypes)[id_col]}, key long, n_words long")
+    return keyed.mapInArrow(tidy(run), f"`{id_col}` {dict(keyed.dtypes)[id_col]}, key long, n_words long")
 
 
 def _clean(docs: DataFrame, box, text_col: str) -> DataFrame:
@@ -335,7 +335,7 @@ def _clean(docs: DataFrame, box, text_col: str) -> DataFrame:
             if clean:
                 yield b.filter(pa.array(np.concatenate(clean)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10,

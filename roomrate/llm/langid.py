@@ -32,12 +32,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import Scratch, free_worker_tables, string_slices
+from roomrate.llm.common import Scratch, free_worker_tables, string_slices, tidy
 
 ORDER = 3
 BITS = 16
@@ -171,7 +170,7 @@ def count_ngrams(docs: DataFrame, order: int, lang_col: str, text_col: str) -> D
             yield rows(lang)
 
     return (docs.select(F.col(lang_col).cast("string").alias("lang"), text_col)
-            .mapInArrow(run, "lang string, code long, n long")
+            .mapInArrow(tidy(run), "lang string, code long, n long")
             .groupBy("lang", "code").agg(F.sum("n").alias("n")))
 
 
@@ -202,16 +201,13 @@ def kneser_ney(counts: DataFrame, order: int, scratch: Scratch) -> list[tuple[Da
     return out
 
 
-def _packed(table: DataFrame, key: str, value: str) -> DataFrame:
-    """(lang, keys, logs): a language's codes, sorted, and logarithms, as bytes."""
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        order = np.argsort(pdf[key].to_numpy(), kind="stable")
-        return pd.DataFrame({"lang": pdf["lang"].iloc[:1],
-                             "keys": [pdf[key].to_numpy(np.int64)[order].tobytes()],
-                             "logs": [np.log(pdf[value].to_numpy(np.float64)[order]).astype(np.float32).tobytes()]})
-
-    return table.groupBy("lang").applyInPandas(pack, "lang string, keys binary, logs binary")
+def _packed(table: DataFrame, key: str, value: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Each language's codes, sorted, and their logarithms: one packed row a
+    language reaches the driver."""
+    rows = (table.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct(key, value))).alias("own"))
+            .select("lang", F.col(f"own.{key}").alias("keys"), F.col(f"own.{value}").alias("values")).toArrow())
+    return {lang.as_py(): (keys.values.to_numpy(), np.log(values.values.to_numpy()).astype(np.float32))
+            for lang, keys, values in zip(*(rows.column(c) for c in ("lang", "keys", "values")))}
 
 
 @dataclass
@@ -279,9 +275,8 @@ class Model:
         return n, -total / np.maximum(n, 1)[:, None]
 
 
-def _aligned(rows: list, languages: list[str], missing: float) -> tuple[np.ndarray, np.ndarray]:
+def _aligned(own: dict, languages: list[str], missing: float) -> tuple[np.ndarray, np.ndarray]:
     """Sorted codes of any language, and a column of logarithms for each."""
-    own = {r.lang: (np.frombuffer(r.keys, np.int64), np.frombuffer(r.logs, np.float32)) for r in rows}
     codes = np.unique(np.concatenate([k for k, _ in own.values()]))
     logs = np.full((len(codes), len(languages)), missing, np.float32)
     for j, lang in enumerate(languages):
@@ -305,9 +300,9 @@ def _assemble(counts: DataFrame, order: int) -> Model | None:
         symbols = levels[0][0].select(F.count_distinct("code")).first()[0] + 1
         m = Model(order, languages, [], [], [], [], -float(np.log(symbols)))
         for table, contexts in levels:
-            for rows, missing, to in ((_packed(table, "code", "p"), np.nan, (m.codes, m.logp)),
+            for own, missing, to in ((_packed(table, "code", "p"), np.nan, (m.codes, m.logp)),
                                       (_packed(contexts, "ctx", "weight"), 0.0, (m.ctx, m.log_weight))):
-                codes, logs = _aligned(rows.collect(), languages, missing)
+                codes, logs = _aligned(own, languages, missing)
                 to[0].append(codes)
                 to[1].append(logs)
     return m
@@ -331,7 +326,7 @@ def _calibrate(model: Model, train: DataFrame, lang_col: str, text_col: str) ->
     number = F.create_map(*[x for j, lang in enumerate(model.languages) for x in (F.lit(lang), F.lit(j))])
     with Scratch(train.sparkSession) as scratch:
         fits = scratch.stage(train.select(F.col(lang_col).cast("string").alias("lang"), text_col)
-                      .mapInArrow(run, "lang string, n long, h array<double>").filter("n > 0")
+                      .mapInArrow(tidy(run), "lang string, n long, h array<double>").filter("n > 0")
                       .withColumn("j", number[F.col("lang")])
                       .withColumn("size", F.floor(F.log2("n")).cast("int")), "language-fits")
         own = F.percentile_approx(F.get("h", F.col("j")), [0.5, QUANTILE], 10_000).alias("q")
@@ -395,7 +390,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
+        tidy(run), f"`{id_col}` {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def drop_rejected(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -412,7 +407,7 @@ def drop_rejected(docs: DataFrame, model: Model | None, text_col: str = "text")
             if keep:
                 yield b.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def held_out(id_col: str, folds: int, fold: int) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roomrate.llm.common import (BROADCAST_ROWS, NOT_SPACE, Scratch, Words, free_worker_tables, lower_ascii, mix64,
-                                 shingle_hashes, staged, string_slices)
+                                 shingle_hashes, staged, string_slices, tidy)
 from roomrate.llm.components import components
 
 ROWS, BANDS = 5, 38
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, shingle: int, rows: int, bands: int,
                     ["id", "n_shingles", "key_a", "key_b", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(
-        run, "id long, n_shingles long, key_a long, key_b long, bands array<long>")
+        tidy(run), "id long, n_shingles long, key_a long, key_b long, bands array<long>")
 
 
 def similar_links(sets: list[np.ndarray], groups: np.ndarray, percent: int) -> list[tuple[int, int]]:

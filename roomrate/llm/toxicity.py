@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import BROADCAST_ROWS, ALNUM, Words, free_worker_tables, lower_ascii, staged, string_slices
+from roomrate.llm.common import ALNUM, BROADCAST_ROWS, Words, free_worker_tables, lower_ascii, staged, string_slices, tidy
 
 MAX_POSITIVE, MAX_UNLABELLED = 2_000, 8_000
 #: Lengths of the stems (beginnings of longer words), in bytes.
@@ -143,7 +143,7 @@ def word_counts(marked: DataFrame) -> DataFrame:
         if parts:
             yield rows(merged(parts))
 
-    return (marked.select("positive", "text").mapInArrow(run, "word long, pos long, unl long")
+    return (marked.select("positive", "text").mapInArrow(tidy(run), "word long, pos long, unl long")
             .groupBy("word").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl")))
 
 
@@ -172,7 +172,7 @@ def _matrix(sample: DataFrame, words: np.ndarray) -> tuple[list[np.ndarray], np.
                     ["positive", "features"])
 
     got = sample.select("positive", "text").mapInArrow(
-        run, "positive boolean, features array<short>").toArrow()
+        tidy(run), "positive boolean, features array<short>").toArrow()
     lists = got.column("features").combine_chunks()
     ends = lists.offsets.to_numpy()
     flat = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -251,4 +251,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                     [id_col, "score", "predicted"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int")
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), f"`{id_col}` {kind}, score double, predicted int")
