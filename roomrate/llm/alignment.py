@@ -6,6 +6,13 @@ byte offset at which each token ends to the token's number, for A and for B;
 the intersection of the two key sets, sorted, cuts both id lists into groups.
 Every A token of a group is linked with every B token of it.
 
+No token of either vocabulary runs over a single space between two other
+characters (A's pieces begin there, and no piece of B has a space after
+anything else; both are checked), so a text is the sequence of the parts
+between such spaces, each with the space before it, and its tokens and groups
+are those of its parts. A worker keeps the tokens and groups of the parts that
+it has met; when it has more than ``MAX_PARTS`` only those that come again.
+
 Documents are worked on in blocks of about ``BLOCK_BYTES`` of text, one row a
 block from then on. A block names its distinct id pairs once with the number of
 its documents that hold each, and holds its documents' pairs as numbers of
@@ -32,7 +39,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +48,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import staged, string_slices
+from roomrate.llm.common import free_worker_tables, staged, string_slices, tidy, worker_table
 
 #: Text of a block, and of one call of the tokenizers.
-BLOCK_BYTES, CALL_BYTES = 4 << 20, 1 << 18
+BLOCK_BYTES, CALL_BYTES = 2 << 20, 1 << 17
+#: Parts, and tokens of them, that a worker keeps; uses that a part needs to
+#: stay when there are too many.
+MAX_PARTS, MAX_TOKENS, AGAIN = 200_000, 3_000_000, 4
 #: A group with more links is counted by distinct ids.
 WIDE_GROUP = 1 << 16
 _SPACE = "▁"
@@ -76,22 +87,126 @@ class Tokenizers:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode()
                         for i in range(self.b.get_piece_size()) for p in [self.b.id_to_piece(i)]]
         self.size_a, self.size_b = (np.array([len(t) for t in x], np.int64) for x in (self.bytes_a, self.bytes_b))
+        if any(_SPACE in self.b.id_to_piece(i).lstrip(_SPACE) for i in range(self.b.get_piece_size())):
+            raise ValueError("a piece has a space after another character")
+        pre = json.loads(json_a)["pre_tokenizer"]
+        if pre.get("type") != "ByteLevel" or not pre.get("use_regex") or pre.get("add_prefix_space"):
+            raise ValueError("pieces of the byte-level tokenizer must begin at spaces")
         # ids as they stand in a group's text: with a comma, or with what ends their side
         self.spelled = [f"{i}{end}".encode() for x, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;"))
                         for end in ends for i in range(len(x))]
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text; none if they do not spell it out."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        b = self.b.encode(texts, num_threads=1)
-        for t, x, y in zip(texts, a, b):
-            own = b" " + t.encode()
-            x = x.ids
-            if (t and b"".join(map(self.bytes_a.__getitem__, x)) == own
-                    and b"".join(map(self.bytes_b.__getitem__, y)) == own):
-                yield x, y
-            else:
-                yield [], []
+        self.space = re.compile(r"(?<=\S) (?=\S)")
+        self.beside = re.compile(r"[^\S ] | [^\S ]")  # a space beside other white space
+        self.reset()
+
+    def reset(self) -> None:
+        self.number: dict[str, int] = {}
+        self.text: list[bytes] = []  # each part's groups as text
+        none = np.zeros(0, np.int64)
+        #: tokens and groups of the parts one after another, how many each has,
+        #: and whether its tokens spell it out
+        self.flat = {x: none for x in ("a", "b", "in_a", "in_b")}
+        self.size = {x: none for x in ("a", "b", "groups", "fits")}
+        self.used = none
+
+    def make_room(self) -> None:
+        """Let go of parts that were not used again and again."""
+        if len(self.number) <= MAX_PARTS and len(self.flat["a"]) + len(self.flat["b"]) <= MAX_TOKENS:
+            return
+        stay = np.flatnonzero(self.used >= AGAIN)
+        per = {"a": "a", "b": "b", "in_a": "groups", "in_b": "groups"}
+        kept = {x: _gather(v, self.size[per[x]], stay) for x, v in self.flat.items()}
+        if len(stay) > MAX_PARTS // 2 or len(kept["a"]) + len(kept["b"]) > MAX_TOKENS // 2:
+            return self.reset()
+        names = list(self.number)  # in the order of their numbers
+        self.number = {names[i]: n for n, i in enumerate(stay.tolist())}
+        self.text = [self.text[i] for i in stay.tolist()]
+        self.flat, self.size = kept, {x: v[stay] for x, v in self.size.items()}
+        self.used = self.used[stay] // 2
+
+    def parts(self, text: str) -> list[str]:
+        """The parts of a text, without the space before each."""
+        if "  " in text or text[0] == " " or text[-1] == " " or self.beside.search(text):
+            return self.space.split(text)
+        return text.split(" ")
+
+    def learn(self, parts: list[str]) -> None:
+        """Tokens and groups of parts not met before."""
+        flat, size = {x: [v] for x, v in self.flat.items()}, {x: [v] for x, v in self.size.items()}
+        # parts that are words through and through are encoded as one text; those
+        # with white space at an end (they begin or end a text) one by one
+        edged = [p[0].isspace() or p[-1].isspace() for p in parts]
+        for ends in (False, True):
+            some = [p for p, e in zip(parts, edged) if e == ends]
+            lo = 0
+            while lo < len(some):
+                hi, length = lo, 0
+                while hi < len(some) and (hi == lo or length + len(some[hi]) <= CALL_BYTES):
+                    length += len(some[hi])
+                    hi += 1
+                self._add(some[lo:hi], *((not ends and self._as_one(some[lo:hi])) or self._one_by_one(some[lo:hi])),
+                          flat, size)
+                lo = hi
+        self.flat = {x: np.concatenate(v) for x, v in flat.items()}
+        self.size = {x: np.concatenate(v) for x, v in size.items()}
+        self.used = np.concatenate([self.used, np.zeros(len(parts), np.int64)])
+
+    def _as_one(self, parts: list[str]) -> tuple | None:
+        """Which parts fit (all), tokens of each, and all tokens; None if the
+        tokens do not spell out every part."""
+        text = " ".join(parts)
+        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b = self.b.encode([text], num_threads=1)[0]
+        own = b" " + text.encode()
+        if (b"".join(map(self.bytes_a.__getitem__, a)) != own
+                or b"".join(map(self.bytes_b.__getitem__, b)) != own):
+            return None
+        part_ends = np.cumsum([len(p.encode()) + 1 for p in parts])
+        out = []
+        for ids, size in ((a, self.size_a), (b, self.size_b)):
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum(size[ids])
+            upto = np.searchsorted(ends, part_ends)  # the token that ends where the part does
+            if (ends[upto] != part_ends).any():
+                return None
+            out += [np.diff(upto + 1, prepend=0), ids]
+        return np.ones(len(parts), np.int64), out[0], out[2], out[1], out[3]
+
+    def _one_by_one(self, parts: list[str]) -> tuple:
+        ids_a = [x.ids for x in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
+        ids_b = self.b.encode(parts, num_threads=1)
+        fits = [(own := b" " + p.encode()) == b"".join(map(self.bytes_a.__getitem__, x))
+                and own == b"".join(map(self.bytes_b.__getitem__, y)) for p, x, y in zip(parts, ids_a, ids_b)]
+        ids_a = [x if ok else [] for x, ok in zip(ids_a, fits)]
+        ids_b = [y if ok else [] for y, ok in zip(ids_b, fits)]
+        n_a, n_b = (np.array(list(map(len, x)), np.int64) for x in (ids_a, ids_b))
+        a, b = (np.array(list(chain.from_iterable(x)), np.int64) for x in (ids_a, ids_b))
+        return np.array(fits, np.int64), n_a, n_b, a, b
+
+    def _add(self, parts: list[str], fits: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray,
+             b: np.ndarray, flat: dict, size: dict) -> None:
+        """Keep the tokens of parts, and their groups: the parts are one text
+        after another, and both tokenizers' tokens end where a part does."""
+        cuts_a, cuts_b = (np.array(x, np.int64) for x in common_cuts(
+            np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist()))
+        of_group = np.searchsorted(np.cumsum(n_a), cuts_a)  # the first part that ends there or later
+        in_a, in_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        code = np.empty(len(a) + len(b), np.int64)
+        for ids, cuts, own, other, first, last in (
+                (a, cuts_a, in_a, cuts_b - in_b, 0, len(self.bytes_a)),
+                (b, cuts_b, in_b, cuts_a, 2 * len(self.bytes_a), len(self.bytes_b))):
+            mark = ids + first
+            mark[cuts - 1] += last
+            code[np.arange(len(ids)) + np.repeat(other, own)] = mark
+        spelled = list(map(self.spelled.__getitem__, code.tolist()))
+        ends = np.cumsum(n_a + n_b).tolist()
+        self.number.update(zip(parts, range(len(self.text), len(self.text) + len(parts))))
+        self.text += [b"".join(spelled[x:y])[:-1] for x, y in zip([0, *ends[:-1]], ends)]
+        for x, v in (("a", a), ("b", b), ("in_a", in_a), ("in_b", in_b)):
+            flat[x].append(v)
+        groups = np.bincount(of_group, minlength=len(parts))
+        for x, v in (("a", n_a), ("b", n_b), ("groups", groups), ("fits", fits)):
+            size[x].append(v)
 
 
 def common_cuts(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
@@ -103,56 +218,50 @@ def common_cuts(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[i
     return list(map(at_a.__getitem__, keys)), list(map(at_b.__getitem__, keys))
 
 
+def _gather(flat: np.ndarray, size: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs of ``flat``, of the given sizes, that ``which`` names, in order."""
+    n = size[which]
+    begin = (np.cumsum(size) - size)[which]
+    return flat[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+
+
 class Block:
     """Tokens, groups and links of the documents of a block."""
 
     def __init__(self, tok: Tokenizers, texts: list[str]):
-        ids_a, ids_b, cuts_a, cuts_b = [], [], [], []
-        lo = 0
-        while lo < len(texts):
-            hi, size = lo, 0
-            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= CALL_BYTES):
-                size += len(texts[hi])
-                hi += 1
-            for a, b in tok.encode(texts[lo:hi]):
-                a, b = np.array(a, np.int64), np.array(b, np.int64)
-                x, y = common_cuts(np.cumsum(tok.size_a[a]).tolist(), np.cumsum(tok.size_b[b]).tolist())
-                ids_a.append(a)
-                ids_b.append(b)
-                cuts_a.append(x)
-                cuts_b.append(y)
-            lo = hi
-        count = lambda lists: np.array([len(x) for x in lists], np.int64)
-        self.n_a, self.n_b, self.n_groups = count(ids_a), count(ids_b), count(cuts_a)
-        self.a, self.b = np.concatenate(ids_a), np.concatenate(ids_b)
-        # ends of groups in the block's tokens, and the documents' bounds among groups
-        begin = lambda n: np.concatenate([[0], np.cumsum(n)])
+        tok.make_room()
+        parts = [tok.parts(t) if t else [] for t in texts]
+        new = set(chain.from_iterable(parts)).difference(tok.number)
+        if new:
+            tok.learn(list(new))
+        count = np.array(list(map(len, parts)), np.int64)
+        at = np.array(list(map(tok.number.__getitem__, chain.from_iterable(parts))), np.int64)
+        flat, size = tok.flat, tok.size
+        tok.used += np.bincount(at, minlength=len(tok.used))
+        doc = np.repeat(np.arange(len(texts)), count)
+        bad = np.zeros(len(texts), bool)
+        bad[doc[size["fits"][at] == 0]] = True
+        at, count = at[~bad[doc]], np.where(bad, 0, count)
+        ends = np.cumsum(count).tolist()
+        self.own = [at[x:y].tolist() for x, y in zip([0, *ends[:-1]], ends)]
+        self.text = tok.text
+        self.a, self.b = _gather(flat["a"], size["a"], at), _gather(flat["b"], size["b"], at)
+        self.in_a = _gather(flat["in_a"], size["groups"], at)
+        self.in_b = _gather(flat["in_b"], size["groups"], at)
+        doc = np.repeat(np.arange(len(texts)), count)
+        total = lambda x: np.bincount(doc, size[x][at], minlength=len(texts)).astype(np.int64)
+        self.n_a, self.n_b, self.n_groups = total("a"), total("b"), total("groups")
         self.of_group = np.repeat(np.arange(len(texts)), self.n_groups)
-        self.bounds = begin(self.n_groups)
-        end_a = np.array([c for x in cuts_a for c in x], np.int64) + begin(self.n_a)[self.of_group]
-        end_b = np.array([c for x in cuts_b for c in x], np.int64) + begin(self.n_b)[self.of_group]
-        self.in_a, self.in_b = np.diff(end_a, prepend=0), np.diff(end_b, prepend=0)
-        self.begin_a, self.begin_b = end_a - self.in_a, end_b - self.in_b
+        self.bounds = np.concatenate([[0], np.cumsum(self.n_groups)])
+        # groups' begins in the block's tokens
+        self.begin_a, self.begin_b = np.cumsum(self.in_a) - self.in_a, np.cumsum(self.in_b) - self.in_b
         links = np.concatenate([[0], np.cumsum(self.in_a * self.in_b)])
         self.n_links = links[self.bounds[1:]] - links[self.bounds[:-1]]
 
-    def hashes(self, tok: Tokenizers) -> list[str]:
+    def hashes(self) -> list[str]:
         """SHA-256 of the groups as text, per document; '' without tokens."""
-        group = np.arange(len(self.in_a))
-        code = np.empty(len(self.a) + len(self.b), np.int64)
-        last = np.zeros(len(self.a), np.int64)
-        last[self.begin_a + self.in_a - 1] = len(tok.bytes_a)
-        code[np.arange(len(self.a)) + self.begin_b[np.repeat(group, self.in_a)]] = self.a + last
-        last = np.zeros(len(self.b), np.int64)
-        last[self.begin_b + self.in_b - 1] = len(tok.bytes_b)
-        code[np.arange(len(self.b)) + (self.begin_a + self.in_a)[np.repeat(group, self.in_b)]] = (
-            self.b + last + 2 * len(tok.bytes_a))
-        ends = np.cumsum(self.n_a + self.n_b)
-        out = []
-        for lo, hi in zip((ends - self.n_a - self.n_b).tolist(), ends.tolist()):
-            text = b"".join(map(tok.spelled.__getitem__, code[lo:hi].tolist()))[:-1]
-            out.append(hashlib.sha256(text).hexdigest() if hi > lo else "")
-        return out
+        return [hashlib.sha256(b";".join(map(self.text.__getitem__, own))).hexdigest() if own else ""
+                for own in self.own]
 
     def _expanded(self, groups: np.ndarray) -> np.ndarray:
         """document << 32 | A id << 16 | B id of every link of ``groups``."""
@@ -185,16 +294,10 @@ class Block:
         return np.unique(keys, return_counts=True)
 
 
-_TOKENIZERS: dict[tuple, Tokenizers] = {}
-
-
 def _tokenizers(json_a: bytes, model_b: bytes) -> Tokenizers:
     """One pair of tokenizers a Python worker."""
-    key = (hashlib.sha256(json_a).digest(), hashlib.sha256(model_b).digest())
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = Tokenizers(json_a, model_b)
-    return _TOKENIZERS[key]
+    return worker_table(("alignment", hashlib.sha256(json_a).digest(), hashlib.sha256(model_b).digest()),
+                        lambda: Tokenizers(json_a, model_b))
 
 
 def _files(spark, path_a: str, path_b: str):
@@ -237,7 +340,7 @@ def groups(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
 
     kind = dict(docs.dtypes)[id_col]
     return docs.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {kind}, ids_a array<int>, ids_b array<int>, ends_a array<int>, ends_b array<int>")
+        tidy(run), f"`{id_col}` {kind}, ids_a array<int>, ids_b array<int>, ends_a array<int>, ends_b array<int>")
 
 
 def blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str) -> DataFrame:
@@ -264,14 +367,14 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                      *[one(x, pa.int64()) for x in (blk.n_a, blk.n_b, blk.n_groups, blk.n_links)],
-                     one(blk.hashes(tok), pa.string()), one(some, pa.int32()), one(steps, pa.int32()),
+                     one(blk.hashes(), pa.string()), one(some, pa.int32()), one(steps, pa.int32()),
                      one(times, pa.int64()), one(pairs, pa.int64()), one(np.bincount(at, minlength=len(pairs)), pa.int64())],
                     ["block", "ids", "n_a", "n_b", "n_groups", "n_links", "hashes", "some", "steps", "times",
                      "pairs", "docs"])
                 block += 1
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(id_col, text_col).mapInArrow(run, (
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), (
         f"block long, ids array<{kind}>, n_a array<long>, n_b array<long>, n_groups array<long>, "
         "n_links array<long>, hashes array<string>, some array<int>, steps array<int>, times array<long>, "
         "pairs array<long>, docs array<long>"))
@@ -303,6 +406,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
     joined = rows.drop("pairs", "docs").join(own, "block", "left")
 
     def run(batches):
+        free_worker_tables()
         for b in batches:
             col = {name: b.column(i) for i, name in enumerate(b.schema.names)}
             for r in range(b.num_rows):
@@ -327,5 +431,5 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
                     [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     kind = dict(docs.dtypes)[id_col]
-    return joined.mapInArrow(run, (f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, "
+    return joined.mapInArrow(tidy(run), (f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, "
                                    "count_sum long, groups_sha256 string"))

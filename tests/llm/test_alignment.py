@@ -95,8 +95,11 @@ def test_awkward(spark, awkward, nothing, monkeypatch, limit):
     tokens as text; wide groups counted by distinct ids as well."""
     monkeypatch.setattr(alignment, "WIDE_GROUP", limit)
     monkeypatch.setattr(alignment, "BLOCK_BYTES", 1 << 14)
+    monkeypatch.setattr(alignment, "MAX_PARTS", 50)
     more = [(20, "a▁b"), (21, "<|endoftext|> <s> <0x0A>"), (22, "  two  spaces \n\n\n and\ttabs "), (23, "👩‍👩‍👧 ‮x"),
-            (24, " " * 3000 + "x"), (25, "a" * 3000), (26, "中文字符 한국어 ไทย"), (None, "no id"), (20, "again")]
+            (24, " " * 3000 + "x"), (25, "a" * 3000), (26, "中文字符 한국어 ไทย"),
+            (27, "a \x1c b \x85c d\u00a0 e \u2003f \u3000 g"), (28, " lead"), (29, "trail "), (30, "it's  we'll 's  'd x'"),
+            (31, "\ttab \t tab\n \n x"), (32, "nul\x00 byte \x00"), (33, "e\u0301 \u0301 \ufb01 \uff21 \u200b z"), (None, "no id"), (20, "again")]
     rows = [(r.doc_id, r.text) for r in awkward.collect()] + more
     df = awkward.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True)
     got = tuples(alignment.align(df, A, B))
