@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -43,7 +44,7 @@ NODE_BITS = 24
 NODE = (1 << NODE_BITS) - 1
 MAX_STATES = 200_000
 MAX_PIECES = 150_000
-MAX_PAIRS = 1_000_000
+MAX_PAIRS = 300_000
 
 
 def parse_ranks(data: bytes) -> dict[bytes, int]:
@@ -79,9 +80,12 @@ class _Below:
 
 
 class _State(dict):
-    """byte -> (token that may end here or -1, next state)."""
+    """byte -> (token that may end here or -1, next state), made when first asked for."""
 
-    __slots__ = ("hypotheses",)
+    __slots__ = ("hypotheses", "step")
+
+    def __missing__(self, byte: int):
+        return self.step(self, byte)
 
 
 class Transducer:
@@ -90,27 +94,32 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks = ranks
         self.bytes_of = {r: t for t, r in ranks.items()}
-        # trie of the tokens: children by byte, token id (or -1) of each node
-        self.children: list[dict[int, int]] = [{}]
-        self.token_at, self.depth = [-1], [0]
+        # trie of the tokens: (node, byte) in one integer -> child, its token id
+        # (or -1), whether it has children
+        child_of: dict[int, int] = {}
+        token_at, self.depth, inner = [-1], [0], {0}
         for t, r in ranks.items():
             node = 0
             for b in t:
-                nxt = self.children[node].get(b)
+                nxt = child_of.get(node << 8 | b)
                 if nxt is None:
-                    nxt = self.children[node][b] = len(self.children)
-                    self.children.append({})
-                    self.token_at.append(-1)
+                    nxt = child_of[node << 8 | b] = len(token_at)
+                    token_at.append(-1)
                     self.depth.append(self.depth[node] + 1)
+                    inner.add(node)
                 node = nxt
-            self.token_at[node] = r
+            token_at[node] = r
+        self.arcs = {k: (c, token_at[c], c in inner) for k, c in child_of.items()}
         self.max_states = max_states
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._step = self.step  # one bound method for all states
+        self._pairs: dict[int, bool] = {}  # by both tokens in one integer
         self._split: dict[int, tuple[int, int] | None] = {}
         self._made: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
+        for st in getattr(self, "states", {}).values():
+            st.clear()  # states refer to each other: freed now, not when cycles are looked for
         self.states: dict[tuple, _State] = {}
         self.start = self._state((0,))
 
@@ -118,7 +127,7 @@ class Transducer:
         st = self.states.get(hypotheses)
         if st is None:
             st = self.states[hypotheses] = _State()
-            st.hypotheses = hypotheses
+            st.hypotheses, st.step = hypotheses, self._step
         return st
 
     def _halves(self, token: int) -> tuple[int, int] | None:
@@ -142,7 +151,7 @@ class Transducer:
         if last < 0:
             self._halves(token)
             return self._made[token]
-        key = (last, token)
+        key = last << 32 | token
         ok = self._pairs.get(key)
         if ok is not None:
             return ok
@@ -179,15 +188,20 @@ class Transducer:
         """Build the transition of ``state`` on ``byte``. The encoding of a
         prefix is unique, so at most one hypothesis completes a token here;
         the others keep their order (latest boundary last)."""
-        after, done, children, token_at = [], -1, self.children, self.token_at
+        after, done, arcs, pairs = [], -1, self.arcs, self._pairs
         for h in state.hypotheses:
-            child = children[h & NODE].get(byte)
-            if child is None:
+            node = h & NODE
+            arc = arcs.get(node << 8 | byte)
+            if arc is None:
                 continue
-            if done < 0 and (token := token_at[child]) >= 0 and self.may_follow((h >> NODE_BITS) - 1, token):
-                done = token
-            if children[child]:
-                after.append(h - (h & NODE) + child)
+            child, token, more = arc
+            if done < 0 <= token:
+                last = (h >> NODE_BITS) - 1
+                ok = pairs.get(last << 32 | token)
+                if self.may_follow(last, token) if ok is None else ok:
+                    done = token
+            if more:
+                after.append(h - node + child)
         if done >= 0:
             after.append((done + 1) << NODE_BITS)
         made = state[byte] = (done, self._state(tuple(after)))
@@ -211,10 +225,7 @@ class Transducer:
             self._reset()
         state, ends, sent = self.start, [-1], 0
         for b in data:
-            made = state.get(b)
-            if made is None:
-                made = self.step(state, b)
-            token, state = made
+            token, state = state[b]
             ends.append(token)
             if len(ends) - sent > LOOK:
                 # boundaries still possible, and the last one they all share
@@ -237,7 +248,15 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is a token is that token
             return (whole,)
-        return tuple(chain.from_iterable(self.stream(piece)))
+        if len(piece) > LOOK:
+            return tuple(chain.from_iterable(self.stream(piece)))
+        if len(self.states) > self.max_states:
+            self._reset()
+        state, ends = self.start, [-1]
+        for b in piece:
+            token, state = state[b]
+            ends.append(token)
+        return tuple(self._walk_back(ends, len(piece), 0))
 
 
 class _Cache(dict):
@@ -262,12 +281,17 @@ class _Unsafe(Exception):
     pass
 
 
+def _packed(ids: tuple[int, ...]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Splits text by ``pattern`` and encodes each piece by the transducer.
 
     Texts are first cut at single spaces between two other characters: each
     part with its leading space then splits on its own exactly as inside the
-    text, so the encodings of frequent parts are kept (bounded).
+    text, so the encodings of frequent parts are kept (bounded). What is kept
+    are ids as little-endian 32-bit integers, once for a part that is one piece.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = MAX_PIECES):
@@ -276,33 +300,38 @@ class Encoder:
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")
                                      .replace(r"\S", r"\P{White_Space}"))
         self.safe_space = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
-        self.pieces = _Cache(lambda p: self.transducer.encode_piece(p.encode()), max_pieces)
+        self.pieces = _Cache(self._piece, max_pieces)
         self.parts = _Cache(self._part, max_pieces)
 
-    def _split(self, text: str) -> tuple[int, ...]:
-        pieces = self.pattern.findall(text)
-        if len(pieces) == 1:
-            return self.pieces[pieces[0]]
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, pieces)))
+    def _piece(self, piece: str) -> bytes:
+        return _packed(self.transducer.encode_piece(piece.encode()))
+
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
 
-    def _part(self, part: str) -> tuple[int, ...]:
+    def _part(self, part: str) -> bytes:
         if not part or part[0].isspace() or part[-1].isspace():
             raise _Unsafe
-        return self._split(" " + part)
+        pieces = self.pattern.findall(" " + part)
+        if len(pieces) == 1:  # kept as a part
+            return self._piece(pieces[0])
+        return b"".join(map(self.pieces.__getitem__, pieces))
 
-    def encode(self, text: str) -> list[int]:
+    def encode_packed(self, text: str) -> bytes:
+        """Token ids as little-endian unsigned 32-bit integers."""
         if not text:
-            return []
+            return b""
         parts = text.split(" ")
         try:
             if text[0].isspace() or text[-1].isspace() or not parts[0] or parts[0][-1].isspace():
                 raise _Unsafe
-            return [*self._split(parts[0]),
-                    *chain.from_iterable(map(self.parts.__getitem__, parts[1:]))]
+            return self._split(parts[0]) + b"".join(map(self.parts.__getitem__, parts[1:]))
         except _Unsafe:
             parts = self.safe_space.split(text)
-            return [*self._split(parts[0]),
-                    *chain.from_iterable(self._split(" " + p) for p in parts[1:])]
+            return self._split(parts[0]) + b"".join([self._split(" " + p) for p in parts[1:]])
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.encode_packed(text), dtype="<u4").tolist()
 
 
 # UTF-8 as a state machine: state -> ((low byte, high byte, next state), ...).
@@ -426,13 +455,12 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str | None = None,
             n, ids_sha, text_sha, same = [], [], [], []
             for t in b.column(1):
                 text = t.as_py() or ""
-                ids = enc.encode(text)
-                h = hashlib.sha256()
+                packed = enc.encode_packed(text)
+                ids = np.frombuffer(packed, dtype="<u4").tolist()
                 back = "".join(decode(ids, bytes_of))
-                h.update(back.encode())
                 n.append(len(ids))
-                ids_sha.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-                text_sha.append(h.hexdigest())
+                ids_sha.append(hashlib.sha256(packed).hexdigest())
+                text_sha.append(hashlib.sha256(back.encode()).hexdigest())
                 same.append(back == text)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()),

@@ -88,3 +88,14 @@ def test_query_over_documents(spark, docs, awkward, nothing, reference):
 def test_encode_then_decode(docs, doc_rows):
     back = bpe.decode_documents(bpe.encode_documents(docs, bpe_vocabulary()), bpe_vocabulary())
     assert {r.doc_id: r.text for r in back.collect()} == doc_rows
+
+
+def test_parts_are_kept_once(ranks, reference):
+    """A part that is one piece is not kept as a piece too; what is kept is packed."""
+    enc = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    text = "Some unlikelywordhere, some unlikelywordhere 中文"
+    ids = reference.encode_ordinary(text)
+    assert enc.encode_packed(text) == np.array(ids, "<u4").tobytes() and enc.encode(text) == ids
+    assert " unlikelywordhere" in enc.pieces and "unlikelywordhere" in enc.parts
+    assert " some" not in enc.pieces and isinstance(enc.parts["some"], bytes)
+    assert enc.encode_packed("") == b""
