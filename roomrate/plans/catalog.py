@@ -675,7 +675,7 @@ def q_clustered_price_model(spark, d):
 def q_clustered_price_summary(spark, d):
     """Best cluster and summary of PL3, against the predictions themselves."""
     _, res = _clustered(spark, d)
-    preds = stage(res.predictions, "cluster-predictions")
+    preds = res.predictions
     over_all, best = _recomputed(preds, []), _recomputed(preds, ["cluster"])
     first = best.orderBy("_mape", "cluster").limit(1).select(
         F.col("cluster").alias("_best"), F.col("_rmse").alias("_best_rmse"), F.col("_mape").alias("_best_mape"))

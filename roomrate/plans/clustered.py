@@ -13,7 +13,8 @@ Shape of both plans at scale:
    own folder.
 4. One GBT per cluster, several at once from a small thread pool; each is
    a distributed MLlib job over that cluster's rows.
-5. Metrics for all clusters in one aggregate over the unioned predictions.
+5. The unioned predictions are written once; metrics for all clusters are one
+   aggregate over them, and whoever reads them does not score again.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from roomrate.operators.aggregates import group_sizes
 from roomrate.operators.cluster import kmeans_assign, kmeans_fit
-from roomrate.operators.evaluate import best_group, metric_summary
+from roomrate.operators.evaluate import best_group, error_metrics, metric_summary
 from roomrate.operators.filters import zscore_filter_by
 from roomrate.operators.overlay import overlay_from_model
 from roomrate.operators.regress import fit_per_group, gbt_fit
@@ -51,9 +52,11 @@ class ClusteredResult:
 def _score_clusters(staged: DataFrame, key: str, features: list[str], label: str, k: int,
                     kmeans: PipelineModel, max_iter: int, max_categories: int,
                     seed: int, parallelism: int, missing: str) -> ClusteredResult:
-    preds, metrics, models = fit_per_group(staged, CLUSTER, features, label, key, FLAG,
-                                           max_iter, max_categories, seed, parallelism,
-                                           max_groups=k, missing=missing)
+    preds, _, models = fit_per_group(staged, CLUSTER, features, label, key, FLAG,
+                                     max_iter, max_categories, seed, parallelism,
+                                     max_groups=k, missing=missing)
+    preds = stage(preds, "cluster-predictions")
+    metrics = error_metrics(preds, label, "prediction", by=CLUSTER)
     sizes = group_sizes(staged, CLUSTER, "size")
     # K rows, written once: metrics, best and summary do not score again
     metrics = stage(metrics.join(F.broadcast(sizes), CLUSTER, "inner"), "cluster-metrics")
