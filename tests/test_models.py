@@ -88,6 +88,15 @@ def test_clustered_plan_invariants(spark):
                               PRICED_ORDER_FEATURES, "price", k=3)
 
 
+def test_clustered_predictions_are_written_once(spark):
+    """The predictions are a staged table: reading them scores nothing."""
+    o = priced_orders(spark, SF0001)
+    res = clustered_price_model(o, "o_orderkey", PRICED_ORDER_FEATURES, PRICED_ORDER_FEATURES,
+                                "price", k=2, max_iter=2)
+    files = res.predictions.inputFiles()
+    assert files and all("/cluster-predictions-" in f for f in files)
+
+
 def test_leak_free_plan_scores_only_test_rows(spark):
     o = priced_orders(spark, SF0001)
     res = leak_free_cluster_model(o, "o_orderkey", PRICED_ORDER_FEATURES, "price", k=4,
