@@ -20,8 +20,8 @@ these, so corpus-wide counts shuffle block pairs, not documents' pairs:
 
 1. blocks, written to the shared folder;
 2. (pair, documents) summed over all blocks, the highest count of each A id;
-3. both joined back to the blocks' pairs, gathered by block, and joined to the
-   blocks, where each document adds up its own.
+3. both joined back to the blocks' pairs and grouped by block with the blocks,
+   where each document adds up its own.
 
 Nothing is broadcast but the vocabularies (a few MB, whatever the corpus), and
 no group holds more than one block. Links inside a group with very many are
@@ -48,15 +48,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomrate.llm.common import free_worker_tables, staged, string_slices, tidy, worker_table
+from roomrate.llm.common import free_worker_tables, give_back, staged, string_slices, tidy, worker_table
 
-#: Text of a block, and of one call of the tokenizers.
-BLOCK_BYTES, CALL_BYTES = 2 << 20, 1 << 17
+#: Text of a block, of the documents of a block that are worked on together,
+#: and of one call of the tokenizers.
+BLOCK_BYTES, PIECE_BYTES, CALL_BYTES = 2 << 20, 1 << 20, 1 << 17
 #: Parts, and tokens of them, that a worker keeps; uses that a part needs to
 #: stay when there are too many.
 MAX_PARTS, MAX_TOKENS, AGAIN = 200_000, 3_000_000, 4
 #: A group with more links is counted by distinct ids.
 WIDE_GROUP = 1 << 16
+#: Links of a block that are spelled out at once (a document's at least).
+SOME_LINKS = 1 << 17
+#: Blocks in a file: a reader of nested columns holds all rows of a file.
+FILE_BLOCKS = 4
 _SPACE = "▁"
 
 
@@ -105,7 +110,7 @@ class Tokenizers:
         none = np.zeros(0, np.int64)
         #: tokens and groups of the parts one after another, how many each has,
         #: and whether its tokens spell it out
-        self.flat = {x: none for x in ("a", "b", "in_a", "in_b")}
+        self.flat = {x: np.zeros(0, np.int32) for x in ("a", "b", "in_a", "in_b")}
         self.size = {x: none for x in ("a", "b", "groups", "fits")}
         self.used = none
 
@@ -203,7 +208,7 @@ class Tokenizers:
         self.number.update(zip(parts, range(len(self.text), len(self.text) + len(parts))))
         self.text += [b"".join(spelled[x:y])[:-1] for x, y in zip([0, *ends[:-1]], ends)]
         for x, v in (("a", a), ("b", b), ("in_a", in_a), ("in_b", in_b)):
-            flat[x].append(v)
+            flat[x].append(v.astype(np.int32))
         groups = np.bincount(of_group, minlength=len(parts))
         for x, v in (("a", n_a), ("b", n_b), ("groups", groups), ("fits", fits)):
             size[x].append(v)
@@ -245,9 +250,8 @@ class Block:
         ends = np.cumsum(count).tolist()
         self.own = [at[x:y].tolist() for x, y in zip([0, *ends[:-1]], ends)]
         self.text = tok.text
-        self.a, self.b = _gather(flat["a"], size["a"], at), _gather(flat["b"], size["b"], at)
-        self.in_a = _gather(flat["in_a"], size["groups"], at)
-        self.in_b = _gather(flat["in_b"], size["groups"], at)
+        self.a, self.b, self.in_a, self.in_b = (_gather(flat[x], size[n], at).astype(np.int64) for x, n in (
+            ("a", "a"), ("b", "b"), ("in_a", "groups"), ("in_b", "groups")))
         doc = np.repeat(np.arange(len(texts)), count)
         total = lambda x: np.bincount(doc, size[x][at], minlength=len(texts)).astype(np.int64)
         self.n_a, self.n_b, self.n_groups = total("a"), total("b"), total("groups")
@@ -275,11 +279,25 @@ class Block:
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct document << 32 | A id << 16 | B id, sorted, and how many
-        links each stands for."""
-        n = self.in_a * self.in_b
-        keys = [self._expanded(np.flatnonzero(n <= WIDE_GROUP))]
+        links each stands for. Documents are taken a few at a time, so that
+        what is sorted stays small beside the result."""
+        upto = np.cumsum(self.n_links)
+        lo, found = 0, []
+        while lo < len(upto):
+            most = (upto[lo - 1] if lo else 0) + SOME_LINKS
+            hi = max(lo + 1, int(np.searchsorted(upto, most, side="right")))
+            found.append(self._links_of(np.arange(self.bounds[lo], self.bounds[hi])))
+            lo = hi
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found])
+
+    def _links_of(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``links`` of the groups of some documents."""
+        n = self.in_a[groups] * self.in_b[groups]
+        keys = [self._expanded(groups[n <= WIDE_GROUP])]
         times = [np.ones(len(keys[0]), np.int64)]
-        for g in np.flatnonzero(n > WIDE_GROUP):
+        for g in groups[n > WIDE_GROUP]:
             a, count_a = np.unique(self.a[self.begin_a[g]:][:self.in_a[g]], return_counts=True)
             b, count_b = np.unique(self.b[self.begin_b[g]:][:self.in_b[g]], return_counts=True)
             keys.append(((self.of_group[g] << 32) | (a[:, None] << 16) | b[None, :]).ravel())
@@ -315,6 +333,23 @@ def _texts(raw: np.ndarray, offsets: np.ndarray) -> list[str]:
     return [data[x:y].decode("utf-8", "replace") for x, y in zip(at[:-1], at[1:])]
 
 
+def _aligned(tok: Tokenizers, raw: np.ndarray, offsets: np.ndarray) -> tuple:
+    """Counts, hashes, links and their numbers (``Block.links``) of a block's
+    documents, a piece of the block at a time."""
+    counts, hashes, keys, times = [], [], [], []
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PIECE_BYTES, side="right")) - 1)
+        blk = Block(tok, _texts(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
+        some, n = blk.links()
+        counts.append((blk.n_a, blk.n_b, blk.n_groups, blk.n_links))
+        hashes += blk.hashes()
+        keys.append(some + (lo << 32))
+        times.append(n)
+        lo = hi
+    return [np.concatenate(x) for x in zip(*counts)], hashes, np.concatenate(keys), np.concatenate(times)
+
+
 def _lists(values: np.ndarray, bounds: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
@@ -354,8 +389,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             for ids, raw, offsets in string_slices(batch.column(0), batch.column(1), BLOCK_BYTES):
-                blk = Block(tok, _texts(raw, offsets))
-                keys, times = blk.links()
+                counts, hashes, keys, times = _aligned(tok, raw, offsets)
                 pairs, at = np.unique(keys & 0xFFFFFFFF, return_inverse=True)
                 of = keys >> 32
                 some = np.bincount(of, minlength=len(ids))
@@ -366,8 +400,7 @@ def blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str
                 one = lambda values, kind: pa.array([values], pa.list_(kind))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                     *[one(x, pa.int64()) for x in (blk.n_a, blk.n_b, blk.n_groups, blk.n_links)],
-                     one(blk.hashes(), pa.string()), one(some, pa.int32()), one(steps, pa.int32()),
+                     *[one(x, pa.int64()) for x in counts], one(hashes, pa.string()), one(some, pa.int32()), one(steps, pa.int32()),
                      one(times, pa.int64()), one(pairs, pa.int64()), one(np.bincount(at, minlength=len(pairs)), pa.int64())],
                     ["block", "ids", "n_a", "n_b", "n_groups", "n_links", "hashes", "some", "steps", "times",
                      "pairs", "docs"])
@@ -396,40 +429,41 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id",
     every row of ``docs``: tokens, groups, links; links whose id pair is held
     linked by as many documents as any pair of its A id; the sum of these
     counts over the links; the hash of ``a1,a2|b1;a3|b2,b3``."""
-    rows = staged(blocks(docs, path_a, path_b, id_col, text_col), "token-blocks")
+    rows = staged(blocks(docs, path_a, path_b, id_col, text_col), "token-blocks", FILE_BLOCKS)
     counts = staged(pair_counts(rows), "pair-counts")
-    # back to the blocks: a block's pairs in their order, the best ones negative
+    # back to the blocks: counts of a block's pairs by their places, the best ones
+    # negative; a task holds one block and its pairs at a time
     own = (rows.select("block", F.posexplode("pairs").alias("at", "pair")).join(counts, "pair")
-           .groupBy("block").agg(F.sort_array(F.collect_list(F.struct(
-               "at", F.when(F.col("best"), -F.col("n")).otherwise(F.col("n")).alias("n")))).alias("own"))
-           .select("block", F.col("own.n").alias("own")))
-    joined = rows.drop("pairs", "docs").join(own, "block", "left")
+           .select(F.col("block").alias("of"), "at", F.when(F.col("best"), -F.col("n")).otherwise(F.col("n")).alias("n")))
 
-    def run(batches):
+    def run(rows, own):
         free_worker_tables()
-        for b in batches:
-            col = {name: b.column(i) for i, name in enumerate(b.schema.names)}
+        n = np.zeros(len(own), np.int64)
+        n[own["at"].to_numpy()] = own["n"].to_numpy()
+        out = []
+        for b in rows.to_batches():
             for r in range(b.num_rows):
-                get = lambda name: np.asarray(col[name][r].values)
-                some = get("some").astype(np.int64)
+                col = {name: b.column(i)[r].values for i, name in enumerate(b.schema.names) if name != "block"}
+                some, times, at = (np.asarray(col[x]).astype(np.int64) for x in ("some", "times", "steps"))
                 n_best, total = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
-                if col["own"][r].is_valid:
-                    own, times, at = get("own"), get("times"), get("steps").astype(np.int64)
+                if len(at):
                     # steps start anew with each document
-                    ends = np.cumsum(some)
                     walked = np.cumsum(at)
-                    begin = ends - some
+                    begin = np.cumsum(some) - some
                     has = some > 0
                     before = np.zeros(len(some), np.int64)
                     before[has] = walked[begin[has]] - at[begin[has]]
-                    n = own[walked - np.repeat(before, some)]
-                    n_best[has] = np.add.reduceat(np.where(n < 0, times, 0), begin[has])
-                    total[has] = np.add.reduceat(np.abs(n) * times, begin[has])
-                yield pa.RecordBatch.from_arrays(
-                    [col["ids"][r].values, *[col[x][r].values for x in ("n_a", "n_b", "n_groups", "n_links")],
-                     pa.array(n_best), pa.array(total), col["hashes"][r].values],
-                    [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+                    held = n[walked - np.repeat(before, some)]
+                    n_best[has] = np.add.reduceat(np.where(held < 0, times, 0), begin[has])
+                    total[has] = np.add.reduceat(np.abs(held) * times, begin[has])
+                out.append(pa.RecordBatch.from_arrays(
+                    [*[col[x] for x in ("ids", "n_a", "n_b", "n_groups", "n_links")],
+                     pa.array(n_best), pa.array(total), col["hashes"]], fields))
+        give_back()
+        return pa.Table.from_batches(out)
 
     kind = dict(docs.dtypes)[id_col]
-    return joined.mapInArrow(tidy(run), (f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, "
-                                   "count_sum long, groups_sha256 string"))
+    schema = (f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, "
+              "count_sum long, groups_sha256 string")
+    fields = [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return rows.drop("pairs", "docs").groupBy("block").cogroup(own.groupBy("of")).applyInArrow(run, schema)

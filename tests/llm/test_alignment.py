@@ -131,3 +131,40 @@ def test_very_long_runs(spark):
 def test_common_cuts():
     assert alignment.common_cuts([2, 5, 6, 9], [1, 2, 6, 7, 9]) == ([1, 3, 4], [2, 3, 5])
     assert alignment.common_cuts([], []) == ([], [])
+
+
+def test_pieces_of_a_block(monkeypatch):
+    """Links a few documents at a time, and blocks a piece at a time, are those
+    of the whole block."""
+    import numpy as np
+
+    with open(A, "rb") as a, open(B, "rb") as b:
+        tok = alignment.Tokenizers(a.read(), b.read())
+    texts = ["", "one two  three", "é" * 50, "the same words the same words", "\n", "x" * 200, "last one"] * 4
+    whole = alignment.Block(tok, texts)
+    keys, times = whole.links()
+    monkeypatch.setattr(alignment, "SOME_LINKS", 7)
+    monkeypatch.setattr(alignment, "PIECE_BYTES", 60)
+    some = [x.tolist() for x in whole.links()]
+    assert some == [keys.tolist(), times.tolist()]
+    raw = [t.encode() for t in texts]
+    got = alignment._aligned(tok, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert [x.tolist() for x in got[0]] == [x.tolist() for x in (whole.n_a, whole.n_b, whole.n_groups, whole.n_links)]
+    assert got[1] == whole.hashes() and [x.tolist() for x in got[2:]] == some
+
+
+def test_one_block_at_a_time(spark, docs, monkeypatch):
+    """Files hold few blocks, as a reader holds all rows of one; blocks meet
+    their counts one by one, not many collected lists in a task."""
+    made, own, blocks = [], alignment.staged, alignment.blocks
+    monkeypatch.setattr(alignment, "staged", lambda df, name, *n: (made.append(own(df, name, *n)), made[-1])[1])
+    few = docs.limit(3)
+    many = few.unionByName(few).repartition(1)
+    monkeypatch.setattr(alignment, "blocks", lambda *a: blocks(*a).crossJoin(
+        spark.range(9, numPartitions=1).select((F.col("id") * 1000).alias("more"))).withColumn(
+        "block", F.col("block") + F.col("more")).drop("more").coalesce(1))
+    got = alignment.align(many, A, B)
+    assert "collect_list" not in got._jdf.queryExecution().toString()
+    files = made[0].groupBy(F.input_file_name()).count().collect()
+    assert sum(f["count"] for f in files) == 9 and max(f["count"] for f in files) <= alignment.FILE_BLOCKS
+    assert got.count() == 9 * 6
